@@ -2,7 +2,8 @@
 
 ``BatchedTable`` grows by numbered batches. ``VersionedTables`` replaces a set of tables at once,
 which is how a table is rewritten from its own contents: overwriting a folder that the running
-plan still reads destroys it.
+plan still reads destroys it. Records also hold the schema, since a table without rows may have no
+file to read it from.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyhouse.sources.storage import CommitLog
 
@@ -34,20 +35,20 @@ class BatchedTable:
         df.write.mode("overwrite").parquet(self.path(batch))
         return self.spark.read.schema(df.schema).parquet(self.path(batch))
 
-    def commit(self, batch: int, **facts: object) -> None:
-        self.log.commit(batch, facts)
+    def commit(self, batch: int, written: DataFrame, **facts: object) -> None:
+        self.log.commit(batch, {**facts, "schema": written.schema.jsonValue()})
 
-    def batch(self, batch: int) -> DataFrame:
-        return self.spark.read.parquet(self.path(batch))
+    def batches(self, first: int, last: int) -> DataFrame:
+        """Rows of a range of committed batches; no other folder is listed or read."""
+        schema = StructType.fromJson(self.state()[1]["schema"])
+        return self.spark.read.schema(schema).parquet(
+            *[self.path(n) for n in range(first, last + 1)]
+        )
 
     def read(self, after: int = 0) -> DataFrame | None:
-        """Rows of the committed batches numbered above ``after``; only their folders are read."""
+        """Rows of the committed batches numbered above ``after``, or None when there are none."""
         last, _ = self.state()
-        if last <= after:
-            return None
-        number = F.col("batch")
-        rows = self.spark.read.parquet(self.root)
-        return rows.where((number > after) & (number <= last)).drop("batch")
+        return self.batches(after + 1, last) if last > after else None
 
 
 class Draft:
@@ -57,13 +58,13 @@ class Draft:
         self.store = store
         number, self.record = store.state()
         self.version = number + 1
-        self.written: dict[str, int] = {}
+        self.written: dict[str, dict] = {}
 
     def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write a table's new contents and return them as read back."""
         path = self.store.path(table, self.version)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        self.written[table] = self.version
+        self.written[table] = {"version": self.version, "schema": df.schema.jsonValue()}
         return self.store.spark.read.schema(df.schema).parquet(path)
 
     def commit(self, **facts: object) -> int:
@@ -87,8 +88,11 @@ class VersionedTables:
 
     def read(self, table: str) -> DataFrame | None:
         """The committed version, or None before the first."""
-        version = self.state()[1].get("tables", {}).get(table)
-        return None if version is None else self.spark.read.parquet(self.path(table, version))
+        entry = self.state()[1].get("tables", {}).get(table)
+        if entry is None:
+            return None
+        schema = StructType.fromJson(entry["schema"])
+        return self.spark.read.schema(schema).parquet(self.path(table, entry["version"]))
 
     def draft(self) -> Draft:
         return Draft(self)

@@ -42,16 +42,16 @@ def _oldest(df: DataFrame, ts: str, n: int, grain: str) -> DataFrame:
     """A superset of the n oldest rows: those up to the end of the period holding the n-th row.
 
     Without it each of a large scan's tasks would offer n rows to the one task that picks the
-    batch. Counting rows per period is a small aggregate; only periods that can matter stay.
+    batch. Counting rows per period is a small aggregate (one row per period of the calendar), and
+    the bound is a comparison on the stored column, which the file scan can use to skip data.
     """
-    period = F.date_trunc(grain, ts)
-    counts = df.groupBy(period.alias("__p")).agg(F.count("*").alias("__n"))
+    counts = df.groupBy(F.date_trunc(grain, ts).alias("__p")).agg(F.count("*").alias("__n"))
     running = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = counts.withColumn("__seen", F.sum("__n").over(running))
-    last_period = reached.agg(
-        F.coalesce(F.min(F.when(F.col("__seen") >= n, F.col("__p"))), F.max("__p")).alias("p")
-    )
-    return df.where(period <= last_period.scalar())
+    last_period = F.coalesce(F.min(F.when(F.col("__seen") >= n, F.col("__p"))), F.max("__p"))
+    end = last_period + F.expr(f"INTERVAL '1' {grain}")
+    bound = reached.agg(end.cast(df.schema[ts].dataType).alias("bound"))
+    return df.where(F.col(ts) < bound.scalar())
 
 
 def next_batch(

@@ -48,7 +48,7 @@ def ingest(source: DataFrame, bronze: BatchedTable, batch_rows: int = BATCH_ROWS
     written = bronze.write(done + 1, batch)
     rows, mark = written.agg(F.count("*"), F.unix_micros(F.max(TS))).first()
     if rows:
-        bronze.commit(done + 1, mark=mark, rows=rows)
+        bronze.commit(done + 1, written, mark=mark, rows=rows)
     return rows
 
 
@@ -65,12 +65,11 @@ def refine(
     done, _ = silver.state()
     last, _ = bronze.state()
     for number in range(done + 1, last + 1):
-        rows = clean(bronze.batch(number))
+        rows = clean(bronze.batches(number, number))
         known = silver.read() if skip_known else None
         if known is not None:
             rows = rows.join(known.select(skip_known), skip_known, "left_anti")
-        silver.write(number, rows)
-        silver.commit(number)
+        silver.commit(number, silver.write(number, rows))
     return max(last - done, 0)
 
 
@@ -110,7 +109,7 @@ def check_silver(silver: Mapping[str, BatchedTable]) -> None:
     for name, table in silver.items():
         last, _ = table.state()
         if last:
-            rows = table.batch(last)
+            rows = table.batches(last, last)
             reports.append(validate(rows, silver_suite(rows.columns), name))
     if reports:
         assert_all(union_by_name(reports))
@@ -125,8 +124,8 @@ def check_gold(gold: VersionedTables) -> None:
 def _stream_step(silver: BatchedTable, batch: DataFrame, epoch: int) -> None:
     number = epoch + 1
     if number > silver.state()[0]:
-        silver.write(number, clean_videos(with_publish_instant(batch)))
-        silver.commit(number)
+        written = silver.write(number, clean_videos(with_publish_instant(batch)))
+        silver.commit(number, written)
 
 
 def stream_to_silver(

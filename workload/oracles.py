@@ -497,9 +497,10 @@ ORACLES: dict[str, str] = {
     "dq_primary_key": _dq_primary_key(),
     "dq_foreign_key": _dq_foreign_key(),
     # incremental
-    "incr_batch": _with("hourly fresh", """
-        SELECT event_id, event_type, strftime(publish_ts, '%Y-%m-%d %H:%M:%S.%f') AS publish_ts
-        FROM (SELECT * FROM fresh ORDER BY publish_ts, event_id LIMIT 5000)"""),
+    "incr_batch": """
+        SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS publish_ts
+        FROM (SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-03 12:00:00'
+              ORDER BY ts, event_id LIMIT 5000)""",
     "incr_batch_ties": _with("hourly fresh", """
         SELECT event_id, event_type, strftime(publish_ts, '%Y-%m-%d %H:%M:%S.%f') AS publish_ts
         FROM fresh WHERE publish_ts <= (

@@ -219,11 +219,12 @@ def _hourly(t: Tables) -> DataFrame:
 
 
 def _incr_batch(t: Tables) -> DataFrame:
-    return batches.next_batch(_hourly(t), "publish_ts", ["event_id"], EVENT_MARK, BATCH_ROWS, "DAY")
+    events = t.read("events").select("event_id", "event_type", F.col("ts").alias("publish_ts"))
+    return batches.next_batch(events, "publish_ts", ["event_id"], EVENT_MARK, BATCH_ROWS)
 
 
 def _incr_batch_ties(t: Tables) -> DataFrame:
-    return batches.next_batch_whole(_hourly(t), "publish_ts", EVENT_MARK, BATCH_ROWS, "DAY")
+    return batches.next_batch_whole(_hourly(t), "publish_ts", EVENT_MARK, BATCH_ROWS)
 
 
 def _incr_late_dropped(t: Tables) -> DataFrame:
