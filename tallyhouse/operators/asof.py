@@ -1,8 +1,9 @@
 """First event on or after a date, last event before a date.
 
-The search works on distinct (key, day) pairs: however many rows a key has, it meets the anchor
-join with at most one row per calendar day. The chosen days are then joined back on (key, day),
-which spreads a busy key over its days.
+When the anchors are few enough to broadcast, each task reduces its own events to one bound per
+anchor. Otherwise the search works on distinct (key, day) pairs: however many rows a key has, it
+meets the anchor join with at most one row per calendar day. The chosen days are then joined back
+on (key, day), which spreads a busy key over its days.
 """
 
 from __future__ import annotations
@@ -10,29 +11,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.joins import BROADCAST_ROWS, small_side
+
 
 def _at_bound(
-    events: DataFrame, anchors: DataFrame, key: str, day: str, anchor: str, keep: Column, pick
+    events: DataFrame,
+    anchors: DataFrame,
+    key: str,
+    day: str,
+    anchor: str,
+    keep: Column,
+    pick,
+    broadcast_rows: int,
 ) -> DataFrame:
-    days = events.select(key, day).distinct()
-    bound = (
-        days.join(anchors.select(key, anchor), key)
-        .where(keep)
-        .groupBy(key, anchor)
-        .agg(pick(day).alias(day))
-    )
+    points = anchors.select(key, anchor)
+    small = small_side(points, broadcast_rows)
+    days = events.select(key, day)
+    met = days.distinct().join(points, key) if small is None else days.join(small, key)
+    bound = met.where(keep).groupBy(key, anchor).agg(pick(day).alias(day))
     return events.join(bound, [key, day])
 
 
 def first_on_or_after(
-    events: DataFrame, anchors: DataFrame, key: str, day: str, anchor: str
+    events: DataFrame,
+    anchors: DataFrame,
+    key: str,
+    day: str,
+    anchor: str,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """All events on the earliest day that is not before the anchor (several on the same day)."""
-    return _at_bound(events, anchors, key, day, anchor, F.col(day) >= F.col(anchor), F.min)
+    keep = F.col(day) >= F.col(anchor)
+    return _at_bound(events, anchors, key, day, anchor, keep, F.min, broadcast_rows)
 
 
 def last_before(
-    events: DataFrame, anchors: DataFrame, key: str, day: str, anchor: str
+    events: DataFrame,
+    anchors: DataFrame,
+    key: str,
+    day: str,
+    anchor: str,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """All events on the latest day strictly before the anchor."""
-    return _at_bound(events, anchors, key, day, anchor, F.col(day) < F.col(anchor), F.max)
+    keep = F.col(day) < F.col(anchor)
+    return _at_bound(events, anchors, key, day, anchor, keep, F.max, broadcast_rows)

@@ -13,6 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# A table of this many short rows fits the memory of every task with room to spare.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """The table marked for broadcast when it has at most ``rows`` rows (counted now), else None."""
+    return F.broadcast(df) if df.count() <= rows else None
+
+
 def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     """Add the columns of a lookup that has one row per key; NULL keys match NULL keys.
 

@@ -1,7 +1,8 @@
 """Ranks, row numbers, tiles, top-k and group statistics that do not pile up in one task.
 
 A plain window sends all rows of a group to one task, and all rows of the table when there is no
-group. The rank operators count the largest group first. Up to ``group_limit`` rows they use the
+group. The rank operators count the largest group first (so pass a table that is cheap to read
+twice, not a long unsaved computation). Up to ``group_limit`` rows they use the
 plain window. Beyond it they rank distinct values instead of rows, cut the value range into slots
 of similar weight, number the values inside each (group, slot) and add what the earlier slots
 hold. Slot borders become literals, so a retried task always sees the same slots.
@@ -27,9 +28,14 @@ def _sorted(c: str, descending: bool) -> Column:
     return F.col(c).desc() if descending else F.col(c).asc()
 
 
-def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+def _groups_fit(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether no group has more than ``limit`` rows; a table below the limit needs no grouping."""
+    if df.count() <= limit:
+        return True
+    if not keys:
+        return False
     sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    return sizes.agg(F.max("n")).first()[0] <= limit
 
 
 def _ordinal(df: DataFrame, value: str) -> Column:
@@ -111,7 +117,7 @@ def with_rank(
     slots: int = 256,
 ) -> DataFrame:
     """Add the rank (or dense rank) of ``value`` inside each group; no keys ranks the table."""
-    if _largest_group(df, keys) <= group_limit:
+    if _groups_fit(df, keys, group_limit):
         window = Window.partitionBy(*keys).orderBy(_sorted(value, descending))
         place = F.dense_rank() if dense else F.rank()
         return df.withColumn(name, place.over(window).cast("bigint"))
@@ -133,7 +139,7 @@ def with_row_number(
     In a large group a row's number is the rank of its first order column plus its position among
     the rows that tie on it, which is the same question with one more key and one column less.
     """
-    if _largest_group(df, keys) <= group_limit:
+    if _groups_fit(df, keys, group_limit):
         window = Window.partitionBy(*keys).orderBy(*[_sorted(c, d) for c, d in order])
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     (first, descending), *rest = order
@@ -157,7 +163,7 @@ def with_ntile(
     slots: int = 256,
 ) -> DataFrame:
     """Split each group into ``tiles`` runs whose sizes differ by at most one, larger runs first."""
-    if _largest_group(df, keys) <= group_limit:
+    if _groups_fit(df, keys, group_limit):
         window = Window.partitionBy(*keys).orderBy(*[_sorted(c, d) for c, d in order])
         return df.withColumn(name, F.ntile(tiles).over(window).cast("bigint"))
     numbered = with_row_number(df, order, keys, "__rn", group_limit, slots)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.asof import first_on_or_after, last_before
+from tallyhouse.operators.joins import BROADCAST_ROWS, small_side
 from tallyhouse.operators.ranking import leaders, top_rows
 
 POINTS_PER_UNIT = 10
@@ -77,37 +78,58 @@ def top_item_per_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
     return leaders(counted, ["customer_id"], "total_ordered")
 
 
-def first_item_after(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
+def first_item_after(
+    sales: DataFrame, menu: DataFrame, members: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """The day is chosen before the menu is joined: an unlisted product is not replaced."""
-    found = first_on_or_after(sales, members, "customer_id", "order_date", "join_date")
+    found = first_on_or_after(
+        sales, members, "customer_id", "order_date", "join_date", broadcast_rows
+    )
     return found.join(menu, "product_id").select(
         "customer_id", F.col("product_name").alias("FirstProduct"), "order_date"
     )
 
 
-def last_item_before(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    found = last_before(sales, members, "customer_id", "order_date", "join_date")
+def last_item_before(
+    sales: DataFrame, menu: DataFrame, members: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    found = last_before(sales, members, "customer_id", "order_date", "join_date", broadcast_rows)
     return found.join(menu, "product_id").select(
         "customer_id", F.col("product_name").alias("ProductBeforeMem"), "order_date"
     )
 
 
-def _per_day(sales: DataFrame, menu: DataFrame, how: str, *totals: Column) -> DataFrame:
-    """Customer-day totals: the membership join then meets a busy customer once per day."""
-    return sales.join(menu, "product_id", how).groupBy("customer_id", "order_date").agg(*totals)
+def _with_membership(
+    bought: DataFrame, members: DataFrame, totals: list[str], broadcast_rows: int
+) -> DataFrame:
+    """Purchases with their customer's join date.
+
+    Few members are broadcast. Many are joined with customer-day totals, so that a busy customer
+    reaches the join, and the grouping by customer after it, with one row per day.
+    """
+    small = small_side(members, broadcast_rows)
+    if small is not None:
+        return bought.join(small, "customer_id")
+    days = bought.groupBy("customer_id", "order_date").agg(*[F.sum(t).alias(t) for t in totals])
+    return days.join(members, "customer_id")
 
 
-def before_member_totals(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
+def before_member_totals(
+    sales: DataFrame, menu: DataFrame, members: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Members without earlier purchases stay, with 0 items and a NULL amount.
 
     The date range is applied in an inner join, where either side may be broadcast; the members
     it loses come back in an outer join of one row per customer.
     """
-    days = _per_day(
-        sales, menu, "left", F.count("product_id").alias("n"), F.sum("price").alias("amount")
+    bought = sales.join(menu, "product_id", "left").select(
+        "customer_id",
+        "order_date",
+        F.col("product_id").isNotNull().cast("int").alias("n"),
+        F.col("price").alias("amount"),
     )
     totals = (
-        days.join(members, "customer_id")
+        _with_membership(bought, members, ["n", "amount"], broadcast_rows)
         .where(F.col("order_date") < F.col("join_date"))
         .groupBy("customer_id")
         .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount_spent"))
@@ -136,16 +158,20 @@ def points_first_week(
     members: DataFrame,
     until: dt.date,
     special: str = "sushi",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Points of members up to a day: all items doubled from the join day for seven days, the
     special product doubled always. Purchases before joining count too."""
     is_special = F.col("product_name") == special
-    days = _per_day(
-        sales.where(F.col("order_date") <= F.lit(until)),
-        menu,
-        "inner",
-        F.sum("price").alias("amount"),
-        F.sum(F.when(is_special, F.col("price")).otherwise(0)).alias("special_amount"),
+    bought = (
+        sales.where(F.col("order_date") <= F.lit(until))
+        .join(menu, "product_id")
+        .select(
+            "customer_id",
+            "order_date",
+            F.col("price").alias("amount"),
+            F.when(is_special, F.col("price")).otherwise(0).alias("special_amount"),
+        )
     )
     in_week = F.col("order_date").between(
         F.col("join_date"), F.date_add("join_date", FIRST_WEEK_DAYS)
@@ -154,7 +180,7 @@ def points_first_week(
         F.col("amount") + F.col("special_amount") * (BONUS - 1)
     )
     return (
-        days.join(members, "customer_id")
+        _with_membership(bought, members, ["amount", "special_amount"], broadcast_rows)
         .groupBy("customer_id")
         .agg(F.sum(weighted * POINTS_PER_UNIT).alias("total_points"))
     )

@@ -84,27 +84,33 @@ def test_most_purchased_and_favourites(sales, menu, rows):
     ]
 
 
-def test_first_after_and_last_before_joining(sales, menu, members, rows):
-    assert rows(loyalty.first_item_after(sales, menu, members)) == [
+# 0: members do not fit a broadcast, so the customer-day form runs.
+both_sizes = pytest.mark.parametrize("size", [1_000_000, 0])
+
+
+@both_sizes
+def test_first_after_and_last_before_joining(sales, menu, members, rows, size):
+    assert rows(loyalty.first_item_after(sales, menu, members, size)) == [
         ("A", "curry", day(7)),
         ("B", "ramen", day(16)),
     ]
-    assert rows(loyalty.last_item_before(sales, menu, members)) == [
+    assert rows(loyalty.last_item_before(sales, menu, members, size)) == [
         ("A", "sushi", day(1)),
         ("B", "sushi", day(4)),
     ]
 
 
-def test_all_items_of_the_chosen_day_are_returned(table, menu, members, rows):
+@both_sizes
+def test_all_items_of_the_chosen_day_are_returned(table, menu, members, rows, size):
     sales = table(
         "customer_id string, order_date date, product_id int",
         [("A", day(8), 1), ("A", day(8), 2), ("A", day(9), 3), ("A", day(6), 3), ("A", day(6), 3)],
     )
-    assert rows(loyalty.first_item_after(sales, menu, members)) == [
+    assert rows(loyalty.first_item_after(sales, menu, members, size)) == [
         ("A", "curry", day(8)),
         ("A", "sushi", day(8)),
     ]
-    assert rows(loyalty.last_item_before(sales, menu, members)) == [
+    assert rows(loyalty.last_item_before(sales, menu, members, size)) == [
         ("A", "ramen", day(6)),
         ("A", "ramen", day(6)),
     ]
@@ -119,7 +125,8 @@ def test_unlisted_first_product_gives_no_row_not_the_next_one(table, menu, membe
     assert rows(loyalty.last_item_before(sales, menu, members)) == []
 
 
-def test_two_memberships_are_anchored_separately(table, menu, rows):
+@both_sizes
+def test_two_memberships_are_anchored_separately(table, menu, rows, size):
     sales = table(
         "customer_id string, order_date date, product_id int",
         [("A", day(2), 1), ("A", day(8), 2)],
@@ -127,39 +134,47 @@ def test_two_memberships_are_anchored_separately(table, menu, rows):
     members = table(
         "customer_id string, join_date date", [("A", day(1)), ("A", day(5))]
     )
-    assert rows(loyalty.first_item_after(sales, menu, members)) == [
+    assert rows(loyalty.first_item_after(sales, menu, members, size)) == [
         ("A", "curry", day(8)),
         ("A", "sushi", day(2)),
     ]
 
 
-def test_totals_before_joining(sales, menu, members, rows):
-    assert rows(loyalty.before_member_totals(sales, menu, members)) == [
+@both_sizes
+def test_totals_before_joining(sales, menu, members, rows, size):
+    assert rows(loyalty.before_member_totals(sales, menu, members, size)) == [
         ("A", 1, 10),
         ("B", 2, 25),
         ("D", 0, None),
     ]
 
 
-def test_totals_count_unlisted_products_without_amount(table, menu, members, rows):
+@both_sizes
+def test_totals_count_unlisted_products_without_amount(table, menu, members, rows, size):
     sales = table("customer_id string, order_date date, product_id int", [("A", day(1), 99)])
-    found = rows(loyalty.before_member_totals(sales, menu, members))
+    found = rows(loyalty.before_member_totals(sales, menu, members, size))
     assert found[0] == ("A", 1, None)
 
 
-def test_points(sales, menu, members, rows):
+@both_sizes
+def test_points(sales, menu, members, rows, size):
     assert rows(loyalty.points_sushi(sales, menu)) == [("A", 500), ("B", 470), ("C", 120)]
-    found = loyalty.points_first_week(sales, menu, members, until=day(31))
+    found = loyalty.points_first_week(
+        sales, menu, members, until=day(31), broadcast_rows=size
+    )
     assert rows(found) == [("A", 800), ("B", 470)]
 
 
-def test_points_week_includes_day_six_and_stops_at_the_end_date(table, menu, rows):
+@both_sizes
+def test_points_week_includes_day_six_and_stops_at_the_end_date(table, menu, rows, size):
     sales = table(
         "customer_id string, order_date date, product_id int",
         [("A", day(13), 3), ("A", day(14), 3), ("A", day(1, 2), 3)],
     )
     members = table("customer_id string, join_date date", [("A", day(7))])
-    found = loyalty.points_first_week(sales, menu, members, until=day(31))
+    found = loyalty.points_first_week(
+        sales, menu, members, until=day(31), broadcast_rows=size
+    )
     assert rows(found) == [("A", 12 * 20 + 12 * 10)]
 
 

@@ -5,7 +5,9 @@ import re
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tallyhouse.plans import loyalty
 from tests.compare import DATA, connect, difference
+from workload.tables import Tables
 
 FOLDER = str(DATA / "sf0.001")
 QUERIES, ORACLES = queries(), oracle_sql()
@@ -55,13 +57,21 @@ def test_losers_are_dropped_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit.*Partial", plan(spark, name))
 
 
-@pytest.mark.parametrize("name", ["first_item_after", "last_item_before"])
-def test_anchor_join_sees_one_row_per_day(spark, no_broadcast, name):
-    text = re.sub(r"#\d+L?", "", plan(spark, name))
+def test_many_anchors_meet_one_row_per_day(spark, no_broadcast):
+    t = Tables(spark, FOLDER)
+    found = loyalty.first_item_after(t.loyalty_sales(), t.menu(), t.members(), broadcast_rows=0)
+    text = re.sub(r"#\d+L?", "", found._jdf.queryExecution().executedPlan().toString())
     anchored = text[text.index("SortMergeJoin [customer_id], [customer_id], Inner") :]
     assert "HashAggregate(keys=[customer_id, order_date], functions=[]" in anchored
 
 
+@pytest.mark.parametrize(
+    "name", ["first_item_after", "last_item_before", "before_member_totals", "points_first_week"]
+)
+def test_few_members_are_broadcast(spark, no_broadcast, name):
+    assert "BroadcastHashJoin [customer_id" in re.sub(r"#\d+L?", "", plan(spark, name))
+
+
 @pytest.mark.parametrize(
     "name, pushed, columns",
     [

@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyhouse.functions import money
 from tallyhouse.operators.grouping import union_by_name
@@ -25,12 +26,19 @@ ROLLUP_MARK = dt.datetime(2024, 1, 16)
 BATCH_ROWS = 5_000
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The footer of a table is read for its schema once, however often a query scans it."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # --- loyalty: a supplier buys what its order lines ship ---
 
