@@ -31,18 +31,23 @@ def rejected_lines(lines: DataFrame, items: DataFrame) -> DataFrame:
     return screen_lines(lines, items).where(F.col("reason").isNotNull())
 
 
-def _fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    item, left = None, 0
-    for batch in batches:
-        taken = np.zeros(len(batch), dtype=bool)
-        triples = zip(batch["item_id"], batch["qty"], batch["__stock"])
-        for i, (this_item, qty, stock) in enumerate(triples):
-            if this_item != item:
-                item, left = this_item, stock
-            if qty <= left:
-                left -= qty
-                taken[i] = True
-        yield batch.loc[taken].drop(columns="__stock")
+def _in_order_pass():
+    """The per-partition step, made here so that it travels by value: executors need no copy of
+    this package."""
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        item, left = None, 0
+        for batch in batches:
+            taken = []
+            for this_item, qty, stock in zip(batch["item_id"], batch["qty"], batch["__stock"]):
+                if this_item != item:
+                    item, left = this_item, stock
+                taken.append(qty <= left)
+                if qty <= left:
+                    left -= qty
+            yield batch.loc[np.array(taken, dtype=bool)].drop(columns="__stock")
+
+    return fill
 
 
 def fill_lines(
@@ -69,7 +74,7 @@ def fill_lines(
         .select(*lines.columns, "__stock")
     )
     ordered = hopeful.repartition("item_id").sortWithinPartitions("item_id", *sequence)
-    return ordered.mapInPandas(_fill, lines.schema)
+    return ordered.mapInPandas(_in_order_pass(), lines.schema)
 
 
 def remaining_stock(items: DataFrame, filled: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 A plain window sends all rows of a group to one task, and all rows of the table when there is no
 group. The rank operators count the largest group first (so pass a table that is cheap to read
-twice, not a long unsaved computation). Up to ``group_limit`` rows they use the
-plain window. Beyond it they rank distinct values instead of rows, cut the value range into slots
-of similar weight, number the values inside each (group, slot) and add what the earlier slots
-hold. Slot borders become literals, so a retried task always sees the same slots.
+again, not a long unsaved computation). Up to ``group_limit`` rows they use the plain window.
+Beyond it they rank distinct values instead of rows, cut the value range into slots of similar
+weight, number the values inside each (group, slot) and add what the earlier slots hold. Slot
+borders become literals, so a retried task always sees the same slots.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tallyhouse.operators.joins import attach
 
 GROUP_LIMIT = 2_000_000
+MIN_SLOTS, MAX_SLOTS = 64, 8192
 
 
 def _sorted(c: str, descending: bool) -> Column:
@@ -38,6 +39,10 @@ def _groups_fit(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
     return sizes.agg(F.max("n")).first()[0] <= limit
 
 
+def _slot_count(df: DataFrame, limit: int) -> int:
+    return min(MAX_SLOTS, max(MIN_SLOTS, 2 * df.count() // max(limit, 1)))
+
+
 def _ordinal(df: DataFrame, value: str) -> Column:
     """The value as a double that sorts the same way (equal doubles may stand for close values)."""
     kind = df.schema[value].dataType
@@ -54,20 +59,29 @@ def _ordinal(df: DataFrame, value: str) -> Column:
     raise TypeError(f"cannot cut {value} ({kind.simpleString()}) into slots")
 
 
-def _with_slot(df: DataFrame, value: str, slots: int) -> DataFrame:
-    """Add ``__slot``: a non-decreasing function of the value, NULL first."""
-    keyed = df.withColumn("__ord", _ordinal(df, value))
+def _slot(df: DataFrame, value: str, slots: int) -> Bucketizer:
+    """Cut points that leave each slot about the same number of rows.
+
+    A value shared by many rows takes several cut points; they merge into one, so a slot never
+    holds more than its share of distinct values.
+    """
+    ordinals = df.select(_ordinal(df, value).alias("__ord"))
     probabilities = [i / slots for i in range(1, slots)]
-    borders = keyed.approxQuantile("__ord", probabilities, 1 / (4 * slots))
+    borders = ordinals.approxQuantile("__ord", probabilities, 1 / (4 * slots))
     inner = sorted({b for b in borders if math.isfinite(b)}) or [0.0]
-    cut = Bucketizer(
+    return Bucketizer(
         splits=[-math.inf, *inner, math.inf],
         inputCol="__ord",
         outputCol="__cut",
         handleInvalid="keep",
-    ).transform(keyed)
-    slot = F.when(F.col("__ord").isNull(), -1).otherwise(F.col("__cut").cast("int"))
-    return cut.withColumn("__slot", slot).drop("__ord", "__cut")
+    )
+
+
+def _with_slot(df: DataFrame, value: str, slot: Bucketizer) -> DataFrame:
+    """Add ``__slot``: a non-decreasing function of the value, NULL first."""
+    cut = slot.transform(df.withColumn("__ord", _ordinal(df, value)))
+    number = F.when(F.col("__ord").isNull(), -1).otherwise(F.col("__cut").cast("int"))
+    return cut.withColumn("__slot", number).drop("__ord", "__cut")
 
 
 def _value_places(
@@ -75,7 +89,7 @@ def _value_places(
 ) -> DataFrame:
     """One row per (group, value) with its rank and dense rank."""
     tallies = df.groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    slotted = _with_slot(tallies, value, slots)
+    slotted = _with_slot(tallies, value, _slot(df, value, slots))
 
     order = _sorted("__slot", descending)
     earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -114,14 +128,13 @@ def with_rank(
     descending: bool = True,
     dense: bool = False,
     group_limit: int = GROUP_LIMIT,
-    slots: int = 256,
 ) -> DataFrame:
     """Add the rank (or dense rank) of ``value`` inside each group; no keys ranks the table."""
     if _groups_fit(df, keys, group_limit):
         window = Window.partitionBy(*keys).orderBy(_sorted(value, descending))
         place = F.dense_rank() if dense else F.rank()
         return df.withColumn(name, place.over(window).cast("bigint"))
-    places = _value_places(df, keys, value, descending, slots)
+    places = _value_places(df, keys, value, descending, _slot_count(df, group_limit))
     places = places.select(*keys, value, F.col("__dense" if dense else "__rank").alias(name))
     return attach(df, places, [*keys, value])
 
@@ -132,25 +145,34 @@ def with_row_number(
     keys: Sequence[str] = (),
     name: str = "row_number",
     group_limit: int = GROUP_LIMIT,
-    slots: int = 256,
 ) -> DataFrame:
     """Number the rows of each group. ``order`` is (column, descending) and must be unique.
 
-    In a large group a row's number is the rank of its first order column plus its position among
-    the rows that tie on it, which is the same question with one more key and one column less.
+    A row's number is the rank of its first order column, plus its position among the rows that
+    tie on it, which is the same question with one more key. Order columns are taken over as keys
+    until the groups are small enough for a plain window.
     """
-    if _groups_fit(df, keys, group_limit):
-        window = Window.partitionBy(*keys).orderBy(*[_sorted(c, d) for c, d in order])
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    (first, descending), *rest = order
-    places = _value_places(df, keys, first, descending, slots)
-    places = places.select(*keys, first, F.col("__rank").alias(f"__base_{first}"))
-    ranked = attach(df, places, [*keys, first])
-    base = F.col(f"__base_{first}")
-    if not rest:
-        return ranked.withColumn(name, base).drop(f"__base_{first}")
-    tied = with_row_number(ranked, rest, [*keys, first], "__tie", group_limit, slots)
-    return tied.withColumn(name, base + F.col("__tie") - 1).drop(f"__base_{first}", "__tie")
+    columns = [c for c, _ in order]
+    depth = 0
+    while depth < len(order) and not _groups_fit(df, [*keys, *columns[:depth]], group_limit):
+        depth += 1
+
+    numbered, number = df, F.lit(0)
+    slots = _slot_count(df, group_limit) if depth else 0
+    for i, (column, descending) in enumerate(order[:depth]):
+        group = [*keys, *columns[:i]]
+        places = _value_places(df, group, column, descending, slots)
+        places = places.select(*group, column, (F.col("__rank") - 1).alias(f"__above_{i}"))
+        numbered = attach(numbered, places, [*group, column])
+        number = number + F.col(f"__above_{i}")
+
+    if depth < len(order):
+        window = Window.partitionBy(*keys, *columns[:depth])
+        tail = F.row_number().over(window.orderBy(*[_sorted(c, d) for c, d in order[depth:]]))
+    else:
+        tail = F.lit(1)
+    above = [f"__above_{i}" for i in range(depth)]
+    return numbered.withColumn(name, (number + tail).cast("bigint")).drop(*above)
 
 
 def with_ntile(
@@ -160,13 +182,12 @@ def with_ntile(
     keys: Sequence[str] = (),
     name: str = "ntile",
     group_limit: int = GROUP_LIMIT,
-    slots: int = 256,
 ) -> DataFrame:
     """Split each group into ``tiles`` runs whose sizes differ by at most one, larger runs first."""
     if _groups_fit(df, keys, group_limit):
         window = Window.partitionBy(*keys).orderBy(*[_sorted(c, d) for c, d in order])
         return df.withColumn(name, F.ntile(tiles).over(window).cast("bigint"))
-    numbered = with_row_number(df, order, keys, "__rn", group_limit, slots)
+    numbered = with_row_number(df, order, keys, "__rn", group_limit)
     sized = with_group_value(numbered, keys, F.count("*"), "__size")
     small = F.floor(F.col("__size") / tiles)
     extra = F.col("__size") % tiles

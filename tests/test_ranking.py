@@ -60,12 +60,15 @@ def test_leaders_keep_ties(table, rows):
 
 @pytest.mark.parametrize("keys", [["k"], []], ids=["grouped", "whole table"])
 @pytest.mark.parametrize("seed, descending, tiles", [(1, True, 4), (2, False, 7)])
-def test_large_group_path_equals_the_plain_window(spark, seed, descending, tiles, keys):
+def test_large_group_path_equals_the_plain_window(spark, monkeypatch, seed, descending, tiles, keys):
     rng = random.Random(seed)
     groups, values = ["hot"] * 6 + ["x", None], [*range(-3, 4), None]
     data = [(i, rng.choice(groups), rng.choice(values)) for i in range(200)]
     df = spark.createDataFrame(data, "id int, k string, v int")
+    monkeypatch.setattr(ranking, "MIN_SLOTS", 4)
     order = [("v", descending), ("id", not descending)]
+    # 0: every order column is ranked on its own; 40: only groups above 40 rows are.
+    limit = {1: 0, 2: 40}[seed]
     for build in (
         lambda **o: ranking.with_rank(df, "v", keys, "p", descending, **o),
         lambda **o: ranking.with_rank(df, "v", keys, "p", descending, dense=True, **o),
@@ -73,7 +76,7 @@ def test_large_group_path_equals_the_plain_window(spark, seed, descending, tiles
         lambda **o: ranking.with_ntile(df, tiles, order, keys, "p", **o),
     ):
         plain = build(group_limit=10**6)
-        spread = build(group_limit=0, slots=4)
+        spread = build(group_limit=limit)
         assert rows_of(spread.select("id", "p")) == rows_of(plain.select("id", "p"))
 
 
@@ -89,7 +92,7 @@ def test_large_group_path_equals_the_plain_window(spark, seed, descending, tiles
 def test_large_group_path_over_value_types(spark, kind, values):
     df = spark.createDataFrame(list(enumerate(values)), f"id int, v {kind}")
     plain = ranking.with_rank(df, "v", group_limit=100)
-    spread = ranking.with_rank(df, "v", group_limit=0, slots=5)
+    spread = ranking.with_rank(df, "v", group_limit=0)
     assert rows_of(spread.select("id", "rank")) == rows_of(plain.select("id", "rank"))
 
 
@@ -102,6 +105,6 @@ def test_text_cannot_be_cut_into_slots(spark):
 def test_large_group_path_spreads_one_group(spark):
     """No task of the in-slot numbering holds much more than its share of a single hot group."""
     df = spark.range(20_000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
-    slotted = ranking._with_slot(df, "v", 16)
+    slotted = ranking._with_slot(df, "v", ranking._slot(df, "v", 16))
     sizes = [r["count"] for r in slotted.groupBy("k", "__slot").count().collect()]
     assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
