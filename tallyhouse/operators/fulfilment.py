@@ -6,6 +6,7 @@ carts(cart_id, distance_km).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import delivery_charge
 from tallyhouse.operators.changes import update_by_key
-from tallyhouse.operators.ranking import GROUP_LIMIT, with_row_number
+from tallyhouse.operators.lineage import saved
+from tallyhouse.operators.ranking import GROUP_LIMIT, with_row_number, with_running_total
 
 
 def screen_lines(lines: DataFrame, items: DataFrame) -> DataFrame:
@@ -50,31 +52,59 @@ def _in_order_pass():
     return fill
 
 
+def _still_possible(
+    lines: DataFrame, stock: DataFrame, most: int, sequence: Sequence[str], group_limit: int
+) -> DataFrame:
+    """Lines that are not refused for certain, with their item's stock as ``__stock``."""
+    numbered = with_row_number(
+        lines, [(c, False) for c in sequence], ["item_id", "qty"], "__nth", group_limit
+    ).where(F.col("__nth") <= F.lit(most))
+    enough = F.col("__nth") * F.col("qty") <= F.col("__stock")
+    return numbered.join(stock, "item_id").where(enough).drop("__nth")
+
+
+def _in_sequence(hopeful: DataFrame, sequence: Sequence[str]) -> DataFrame:
+    lines = hopeful.drop("__stock")
+    ordered = hopeful.repartition("item_id").sortWithinPartitions("item_id", *sequence)
+    return ordered.mapInPandas(_in_order_pass(), lines.schema)
+
+
 def fill_lines(
     lines: DataFrame, items: DataFrame, sequence: Sequence[str], group_limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """The lines that get stock when each item serves its lines in sequence order.
 
-    A line is filled when its quantity is still there, and only filled lines use stock. Stock only
-    falls, so once a quantity is refused the same quantity is refused ever after: among an item's
-    lines of quantity q only the first floor(stock / q) can be filled. The others are dropped
-    before the in-order pass. What is left per item depends on its stock (less than
-    stock * (1 + ln stock) lines), not on how many lines ask for it, and streams through one task
-    in batches.
+    A line is filled when its quantity is still there, and only filled lines use stock. Going
+    through an item's lines one by one is the last step, on few of them:
+
+    * Stock only falls, so once a quantity is refused it is refused ever after: among an item's
+      lines of quantity q only the first floor(stock / q) can be filled. That leaves less than
+      stock * (1 + ln stock) lines per item, however many ask for it.
+    * If that is still too many for one task, all lines up to the point where the running total
+      of the quantities first exceeds the stock are filled as they stand. What is then left is
+      less than the next line's quantity, and the first rule is applied to it again.
+
+    ``sequence`` must order the lines of an item uniquely.
     """
     usable = lines.where((F.col("qty") > 0) & F.col("item_id").isNotNull())
-    most = items.agg(F.max("stock")).first()[0] or 0
-    numbered = with_row_number(
-        usable, [(c, False) for c in sequence], ["item_id", "qty"], "__nth", group_limit
-    ).where(F.col("__nth") <= F.lit(int(most)))
     stock = items.select("item_id", F.col("stock").alias("__stock"))
-    hopeful = (
-        numbered.join(stock, "item_id")
-        .where(F.col("__nth") * F.col("qty") <= F.col("__stock"))
-        .select(*lines.columns, "__stock")
+    most = int(items.agg(F.max("stock")).first()[0] or 0)
+    hopeful = _still_possible(usable, stock, most, sequence, group_limit)
+    if most * (1 + math.log(max(most, 1))) <= group_limit:
+        return _in_sequence(hopeful, sequence).select(*lines.columns)
+
+    order = [(c, False) for c in sequence]
+    totalled = saved(
+        with_running_total(saved(hopeful), "qty", order, ["item_id"], "__asked", group_limit)
     )
-    ordered = hopeful.repartition("item_id").sortWithinPartitions("item_id", *sequence)
-    return ordered.mapInPandas(_in_order_pass(), lines.schema)
+    outright = totalled.where(F.col("__asked") <= F.col("__stock")).select(*lines.columns)
+    used = outright.groupBy("item_id").agg(F.sum("qty").alias("__used"))
+    left = stock.join(used, "item_id", "left").select(
+        "item_id", (F.col("__stock") - F.coalesce("__used", F.lit(0))).alias("__stock")
+    )
+    later = totalled.where(F.col("__asked") > F.col("__stock")).select(*lines.columns)
+    remaining = _still_possible(later, left, most, sequence, group_limit)
+    return outright.unionByName(_in_sequence(remaining, sequence).select(*lines.columns))
 
 
 def remaining_stock(items: DataFrame, filled: DataFrame) -> DataFrame:

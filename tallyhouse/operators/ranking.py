@@ -1,11 +1,11 @@
 """Ranks, row numbers, tiles, top-k and group statistics that do not pile up in one task.
 
 A plain window sends all rows of a group to one task, and all rows of the table when there is no
-group. The rank operators count the largest group first (so pass a table that is cheap to read
-again, not a long unsaved computation). Up to ``group_limit`` rows they use the plain window.
-Beyond it they rank distinct values instead of rows, cut the value range into slots of similar
-weight, number the values inside each (group, slot) and add what the earlier slots hold. Slot
-borders become literals, so a retried task always sees the same slots.
+group. The rank operators count the largest group first. Up to ``group_limit`` rows they use the
+plain window. Beyond it they rank distinct values instead of rows, cut the value range into slots
+of similar weight, number the values inside each (group, slot) and add what the earlier slots
+hold. Slot borders become literals, so a retried task always sees the same slots. This reads the
+input several times: ``save=True`` stores a computed input first; a plain table needs no copy.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.operators.joins import attach
+from tallyhouse.operators.lineage import saved
 
 GROUP_LIMIT = 2_000_000
 MIN_SLOTS, MAX_SLOTS = 64, 8192
@@ -128,12 +129,14 @@ def with_rank(
     descending: bool = True,
     dense: bool = False,
     group_limit: int = GROUP_LIMIT,
+    save: bool = False,
 ) -> DataFrame:
     """Add the rank (or dense rank) of ``value`` inside each group; no keys ranks the table."""
     if _groups_fit(df, keys, group_limit):
         window = Window.partitionBy(*keys).orderBy(_sorted(value, descending))
         place = F.dense_rank() if dense else F.rank()
         return df.withColumn(name, place.over(window).cast("bigint"))
+    df = saved(df) if save else df
     places = _value_places(df, keys, value, descending, _slot_count(df, group_limit))
     places = places.select(*keys, value, F.col("__dense" if dense else "__rank").alias(name))
     return attach(df, places, [*keys, value])
@@ -157,8 +160,15 @@ def with_row_number(
     while depth < len(order) and not _groups_fit(df, [*keys, *columns[:depth]], group_limit):
         depth += 1
 
-    numbered, number = df, F.lit(0)
-    slots = _slot_count(df, group_limit) if depth else 0
+    if depth < len(order):
+        window = Window.partitionBy(*keys, *columns[:depth])
+        number = F.row_number().over(window.orderBy(*[_sorted(c, d) for c, d in order[depth:]]))
+    else:
+        number = F.lit(1)
+    if depth == 0:
+        return df.withColumn(name, number.cast("bigint"))
+
+    numbered, slots = df, _slot_count(df, group_limit)
     for i, (column, descending) in enumerate(order[:depth]):
         group = [*keys, *columns[:i]]
         places = _value_places(df, group, column, descending, slots)
@@ -166,13 +176,8 @@ def with_row_number(
         numbered = attach(numbered, places, [*group, column])
         number = number + F.col(f"__above_{i}")
 
-    if depth < len(order):
-        window = Window.partitionBy(*keys, *columns[:depth])
-        tail = F.row_number().over(window.orderBy(*[_sorted(c, d) for c, d in order[depth:]]))
-    else:
-        tail = F.lit(1)
     above = [f"__above_{i}" for i in range(depth)]
-    return numbered.withColumn(name, (number + tail).cast("bigint")).drop(*above)
+    return numbered.withColumn(name, number.cast("bigint")).drop(*above)
 
 
 def with_ntile(
@@ -199,6 +204,43 @@ def with_ntile(
     return sized.withColumn(name, tile.cast("bigint")).drop("__rn", "__size")
 
 
+def with_running_total(
+    df: DataFrame,
+    measure: str,
+    order: Sequence[tuple[str, bool]],
+    keys: Sequence[str] = (),
+    name: str = "running_total",
+    group_limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """Sum of a column over a row and all rows before it in its group; ``order`` must be unique.
+
+    A large group is cut into runs of ``group_limit`` rows by row number. Totals of earlier runs
+    are added to the running total inside a run.
+    """
+    rows = (Window.unboundedPreceding, Window.currentRow)
+    if _groups_fit(df, keys, group_limit):
+        window = Window.partitionBy(*keys).orderBy(*[_sorted(c, d) for c, d in order])
+        return df.withColumn(name, F.sum(measure).over(window.rowsBetween(*rows)))
+    numbered = with_row_number(df, order, keys, "__rn", group_limit)
+    run = F.floor((F.col("__rn") - 1) / max(group_limit, 1))
+    in_runs = numbered.withColumn("__run", run)
+    local = Window.partitionBy(*keys, "__run").orderBy("__rn").rowsBetween(*rows)
+    earlier = Window.partitionBy(*keys).orderBy("__run").rowsBetween(rows[0], -1)
+    before = (
+        in_runs.groupBy(*keys, "__run")
+        .agg(F.sum(measure).alias("__total"))
+        .select(
+            *keys, "__run", F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__before")
+        )
+    )
+    summed = in_runs.withColumn("__local", F.sum(measure).over(local))
+    return (
+        attach(summed, before, [*keys, "__run"])
+        .withColumn(name, F.col("__before") + F.col("__local"))
+        .drop("__rn", "__run", "__local", "__before")
+    )
+
+
 def with_group_value(
     df: DataFrame, keys: Sequence[str], aggregate: Column, name: str
 ) -> DataFrame:

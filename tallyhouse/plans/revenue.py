@@ -14,7 +14,9 @@ from tallyhouse.operators.ranking import GROUP_LIMIT, with_rank
 
 def customer_revenue_rank(orders: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFrame:
     revenue = orders.groupBy("order_customer_id").agg(F.sum(money("sum")).alias("total_revenue"))
-    return with_rank(revenue, "total_revenue", name="rank", group_limit=group_limit)
+    return with_rank(
+        revenue, "total_revenue", name="rank", group_limit=group_limit, save=True
+    )
 
 
 def status_pivot(orders: DataFrame, statuses: Sequence[str]) -> DataFrame:

@@ -64,7 +64,7 @@ def test_large_group_path_equals_the_plain_window(spark, monkeypatch, seed, desc
     rng = random.Random(seed)
     groups, values = ["hot"] * 6 + ["x", None], [*range(-3, 4), None]
     data = [(i, rng.choice(groups), rng.choice(values)) for i in range(200)]
-    df = spark.createDataFrame(data, "id int, k string, v int")
+    df = spark.createDataFrame(data, "id int, k string, v int").withColumn("w", F.col("id") % 5)
     monkeypatch.setattr(ranking, "MIN_SLOTS", 4)
     order = [("v", descending), ("id", not descending)]
     # 0: every order column is ranked on its own; 40: only groups above 40 rows are.
@@ -74,6 +74,7 @@ def test_large_group_path_equals_the_plain_window(spark, monkeypatch, seed, desc
         lambda **o: ranking.with_rank(df, "v", keys, "p", descending, dense=True, **o),
         lambda **o: ranking.with_row_number(df, order, keys, "p", **o),
         lambda **o: ranking.with_ntile(df, tiles, order, keys, "p", **o),
+        lambda **o: ranking.with_running_total(df, "w", order, keys, "p", **o),
     ):
         plain = build(group_limit=10**6)
         spread = build(group_limit=limit)
