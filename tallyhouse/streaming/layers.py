@@ -35,7 +35,7 @@ from tallyhouse.plans.gold import (
     with_month,
 )
 from tallyhouse.sources.versions import BatchedTable, VersionedTables
-from tallyhouse.streaming.batches import next_batch_whole
+from tallyhouse.streaming.batches import next_batch_whole, without_timestamp
 
 BATCH_ROWS = 10_000
 TS = "publish_ts"
@@ -52,6 +52,11 @@ def ingest(source: DataFrame, bronze: BatchedTable, batch_rows: int = BATCH_ROWS
     return rows
 
 
+def unreadable(source: DataFrame) -> DataFrame:
+    """Source rows whose publish time cannot be read; no batch will ever hold them."""
+    return without_timestamp(with_publish_instant(source), TS)
+
+
 def refine(
     bronze: BatchedTable,
     silver: BatchedTable,

@@ -91,6 +91,13 @@ def test_batch_of_unreadable_rows_does_not_stop_the_pipeline(lake):
     lake.assert_gold_is_whole()
 
 
+def test_rows_without_a_time_can_be_listed(lake):
+    rows = [*feed(0, 1), video("x", "soon")]
+    assert [r.video_id for r in layers.unreadable(lake.source(rows)).collect()] == ["x"]
+    lake.run({"ca": rows})
+    assert lake.bronze["ca"].read().count() == 1
+
+
 def test_same_video_in_two_batches(lake):
     again = [video("v0", "2017-11-14T10:00:00.000Z", views="5", channel_title="c0")]
     source = feed(0, 3)
