@@ -29,7 +29,8 @@ def _at_bound(
     days = events.select(key, day)
     met = days.distinct().join(points, key) if small is None else days.join(small, key)
     bound = met.where(keep).groupBy(key, anchor).agg(pick(day).alias(day))
-    return events.join(bound, [key, day])
+    # At most one bound per anchor, so few anchors mean few bounds.
+    return events.join(bound if small is None else F.broadcast(bound), [key, day])
 
 
 def first_on_or_after(

@@ -17,21 +17,30 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the table has at most ``rows`` rows, counted now."""
+    return df.count() <= rows
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """The table marked for broadcast when it has at most ``rows`` rows (counted now), else None."""
-    return F.broadcast(df) if df.count() <= rows else None
+    """The table marked for broadcast when it is small, else None."""
+    return F.broadcast(df) if is_small(df, rows) else None
 
 
-def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
+def attach(
+    df: DataFrame, lookup: DataFrame, on: Sequence[str], broadcast: bool = False
+) -> DataFrame:
     """Add the columns of a lookup that has one row per key; NULL keys match NULL keys.
 
-    The lookup is unique per key, so a hot key is heavy on one side only: adaptive execution
-    broadcasts the lookup when its measured size allows, and otherwise splits the hot partition.
+    The lookup is unique per key, so a hot key is heavy on one side only, and adaptive execution
+    splits its partition. ``broadcast=True`` is for lookups whose size the caller has checked; it
+    spares the other side its shuffle.
     """
     renamed = lookup.select(
         *[F.col(k).alias(f"__on_{k}") for k in on],
         *[c for c in lookup.columns if c not in on],
     )
+    renamed = F.broadcast(renamed) if broadcast else renamed
     match = reduce(
         lambda a, b: a & b, [df[k].eqNullSafe(renamed[f"__on_{k}"]) for k in on]
     )

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.operators.joins import attach
+from tallyhouse.operators.joins import attach, is_small
 from tallyhouse.operators.lineage import saved
 
 GROUP_LIMIT = 2_000_000
@@ -40,6 +40,11 @@ def _groups_fit(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
     return sizes.agg(F.max("n")).first()[0] <= limit
 
 
+def _packed(keys: Sequence[str]) -> Column:
+    """The group as one value that is never NULL, so windows and joins on it share a partitioning."""
+    return F.struct(*keys) if keys else F.lit(0)
+
+
 def _slot_count(df: DataFrame, limit: int) -> int:
     return min(MAX_SLOTS, max(MIN_SLOTS, 2 * df.count() // max(limit, 1)))
 
@@ -90,22 +95,22 @@ def _value_places(
 ) -> DataFrame:
     """One row per (group, value) with its rank and dense rank."""
     tallies = df.groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    slotted = _with_slot(tallies, value, _slot(df, value, slots))
+    slotted = _with_slot(tallies, value, _slot(df, value, slots)).withColumn("__key", _packed(keys))
 
     order = _sorted("__slot", descending)
-    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("__key").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        slotted.groupBy(*keys, "__slot")
+        slotted.groupBy("__key", "__slot")
         .agg(F.sum("__n").alias("__rows"), F.count("*").alias("__values"))
         .select(
-            *keys,
+            "__key",
             "__slot",
             F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__rows_before"),
             F.coalesce(F.sum("__values").over(earlier), F.lit(0)).alias("__values_before"),
         )
     )
 
-    local = Window.partitionBy(*keys, "__slot").orderBy(_sorted(value, descending))
+    local = Window.partitionBy("__key", "__slot").orderBy(_sorted(value, descending))
     above = local.rowsBetween(Window.unboundedPreceding, -1)
     placed = slotted.withColumns(
         {
@@ -113,7 +118,7 @@ def _value_places(
             "__local_values": F.row_number().over(local),
         }
     )
-    return attach(placed, before, [*keys, "__slot"]).select(
+    return placed.join(before, ["__key", "__slot"]).select(
         *keys,
         value,
         (F.col("__rows_before") + F.col("__local_rows") + 1).cast("bigint").alias("__rank"),
@@ -121,6 +126,21 @@ def _value_places(
     )
 
 
+def _attach_places(
+    rows: DataFrame,
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    place: Column,
+    descending: bool,
+    slots: int,
+) -> DataFrame:
+    """Add an expression over ``__rank`` and ``__dense``, computed on ``df``, to ``rows``."""
+    places = _value_places(df, keys, value, descending, slots).select(*keys, value, place)
+    few = is_small(df.select(*keys, value).distinct())
+    return attach(rows, places, [*keys, value], broadcast=few)
+
+
 def with_rank(
     df: DataFrame,
     value: str,
@@ -137,9 +157,9 @@ def with_rank(
         place = F.dense_rank() if dense else F.rank()
         return df.withColumn(name, place.over(window).cast("bigint"))
     df = saved(df) if save else df
-    places = _value_places(df, keys, value, descending, _slot_count(df, group_limit))
-    places = places.select(*keys, value, F.col("__dense" if dense else "__rank").alias(name))
-    return attach(df, places, [*keys, value])
+    place = F.col("__dense" if dense else "__rank").alias(name)
+    slots = _slot_count(df, group_limit)
+    return _attach_places(df, df, keys, value, place, descending, slots)
 
 
 def with_row_number(
@@ -171,9 +191,8 @@ def with_row_number(
     numbered, slots = df, _slot_count(df, group_limit)
     for i, (column, descending) in enumerate(order[:depth]):
         group = [*keys, *columns[:i]]
-        places = _value_places(df, group, column, descending, slots)
-        places = places.select(*group, column, (F.col("__rank") - 1).alias(f"__above_{i}"))
-        numbered = attach(numbered, places, [*group, column])
+        place = (F.col("__rank") - 1).alias(f"__above_{i}")
+        numbered = _attach_places(numbered, df, group, column, place, descending, slots)
         number = number + F.col(f"__above_{i}")
 
     above = [f"__above_{i}" for i in range(depth)]
@@ -223,31 +242,35 @@ def with_running_total(
         return df.withColumn(name, F.sum(measure).over(window.rowsBetween(*rows)))
     numbered = with_row_number(df, order, keys, "__rn", group_limit)
     run = F.floor((F.col("__rn") - 1) / max(group_limit, 1))
-    in_runs = numbered.withColumn("__run", run)
-    local = Window.partitionBy(*keys, "__run").orderBy("__rn").rowsBetween(*rows)
-    earlier = Window.partitionBy(*keys).orderBy("__run").rowsBetween(rows[0], -1)
+    in_runs = numbered.withColumns({"__run": run, "__key": _packed(keys)})
+    local = Window.partitionBy("__key", "__run").orderBy("__rn").rowsBetween(*rows)
+    earlier = Window.partitionBy("__key").orderBy("__run").rowsBetween(rows[0], -1)
     before = (
-        in_runs.groupBy(*keys, "__run")
+        in_runs.groupBy("__key", "__run")
         .agg(F.sum(measure).alias("__total"))
         .select(
-            *keys, "__run", F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__before")
+            "__key", "__run", F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__before")
         )
     )
-    summed = in_runs.withColumn("__local", F.sum(measure).over(local))
     return (
-        attach(summed, before, [*keys, "__run"])
+        in_runs.withColumn("__local", F.sum(measure).over(local))
+        .join(before, ["__key", "__run"])
         .withColumn(name, F.col("__before") + F.col("__local"))
-        .drop("__rn", "__run", "__local", "__before")
+        .drop("__rn", "__run", "__key", "__local", "__before")
     )
 
 
 def with_group_value(
     df: DataFrame, keys: Sequence[str], aggregate: Column, name: str
 ) -> DataFrame:
-    """Add a group aggregate to every row, aggregating map-side first and joining it back."""
+    """Add a group aggregate to every row, aggregating map-side first and joining it back.
+
+    With few groups the totals are broadcast, so the rows are not shuffled by a possibly hot key.
+    """
     if not keys:
         return df.withColumn(name, df.agg(aggregate).scalar())
-    return attach(df, df.groupBy(*keys).agg(aggregate.alias(name)), keys)
+    totals = df.groupBy(*keys).agg(aggregate.alias(name))
+    return attach(df, totals, keys, broadcast=is_small(totals))
 
 
 def above_group_mean(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -280,7 +303,9 @@ def nth_value_rows(df: DataFrame, keys: Sequence[str], value: str, n: int) -> Da
         .where(F.col("__place") == n)
         .drop("__place")
     )
-    return attach(df, nth, [*keys, value])
+    # At most one value per group, so few groups mean few values.
+    few = is_small(df.select(*keys).distinct())
+    return attach(df, nth, [*keys, value], broadcast=few)
 
 
 def top_rows(df: DataFrame, value: str, tie_break: Sequence[str], k: int, skip: int = 0) -> DataFrame:

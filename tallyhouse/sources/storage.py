@@ -19,6 +19,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(_fs(spark, path).exists(_path(spark, path)))
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder; none when it does not exist."""
+    fs, folder = _fs(spark, path), _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)
+
+
 class CommitLog:
     """Numbered JSON records in a folder; the highest number is the current state.
 
@@ -32,21 +42,18 @@ class CommitLog:
 
     def latest(self) -> tuple[int, dict]:
         """(number, record); (0, {}) before the first commit."""
-        fs = _fs(self.spark, self.folder)
-        folder = _path(self.spark, self.folder)
-        if not fs.exists(folder):
-            return 0, {}
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        names = children(self.spark, self.folder)
         numbers = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
-        if not numbers:
-            return 0, {}
-        newest = max(numbers)
-        stream = fs.open(_path(self.spark, f"{self.folder}/{newest:09d}.json"))
+        return (max(numbers), self.record(max(numbers))) if numbers else (0, {})
+
+    def record(self, number: int) -> dict:
+        path = f"{self.folder}/{number:09d}.json"
+        stream = _fs(self.spark, path).open(_path(self.spark, path))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return newest, json.loads(text)
+        return json.loads(text)
 
     def commit(self, number: int, record: dict) -> None:
         """Publish a record; fails when the number is taken."""

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tallyhouse.sources.storage import CommitLog
+from tallyhouse.sources.storage import CommitLog, children, remove
 
 
 class BatchedTable:
@@ -102,3 +102,24 @@ class VersionedTables:
         draft = self.draft()
         draft.write(table, df)
         return draft.commit(**facts)
+
+    def drop_older(self, keep: int = 2) -> list[str]:
+        """Delete table versions that none of the last ``keep`` commits points at.
+
+        Readers that started on an older commit must be done by then. Folders newer than the last
+        commit belong to a running draft and stay.
+        """
+        last, _ = self.state()
+        needed, dropped = set(), []
+        tables: set[str] = set()
+        for number in range(max(last - keep + 1, 1), last + 1):
+            for table, entry in self.log.record(number).get("tables", {}).items():
+                tables.add(table)
+                needed.add((table, entry["version"]))
+        for table in sorted(tables):
+            for name in children(self.spark, f"{self.root}/{table}"):
+                version = int(name.removeprefix("version="))
+                if version <= last and (table, version) not in needed:
+                    remove(self.spark, self.path(table, version))
+                    dropped.append(f"{table}/{name}")
+        return dropped

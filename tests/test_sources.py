@@ -51,6 +51,18 @@ def test_table_can_be_replaced_from_itself(spark, tmp_path, table, rows):
     assert store.state()[0] == 3
 
 
+def test_old_versions_can_be_dropped(spark, tmp_path, table, rows):
+    store = VersionedTables(spark, str(tmp_path))
+    assert store.drop_older() == []
+    store.overwrite("b", table("a int", [(0,)]))
+    for i in range(1, 5):
+        store.overwrite("t", table("a int", [(i,)]))
+    store.draft().write("t", table("a int", [(9,)]))
+    assert store.drop_older(keep=2) == ["t/version=2", "t/version=3"]
+    assert rows(store.read("t")) == [(4,)] and rows(store.read("b")) == [(0,)]
+    assert exists(spark, store.path("t", 6))
+
+
 def test_other_tables_keep_their_version(spark, tmp_path, table, rows):
     store = VersionedTables(spark, str(tmp_path))
     store.overwrite("a", table("v int", [(1,)]))
