@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, mixing, rules, sharding
+from tallyhouse.llm import chat, decontamination, language, mixing, quality_model, rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,14 +39,33 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    labels = _read(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    return quality_model.classify(_read(spark, folder, "documents"), labels)
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(_read(spark, folder, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(
+        _read(spark, folder, "documents"), _read(spark, folder, "benchmark")
+    )
+    return found.drop("text_key")
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(_read(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_quality_model": op2_quality_model,
         "op3_sharding": op3_sharding,
         "op4_chat_formatting": op4_chat_formatting,
         "op5_mixing": op5_mixing,
+        "op6_language": op6_language,
+        "op7_decontamination": op7_decontamination,
         "op9_quality_rules": op9_quality_rules,
     }
