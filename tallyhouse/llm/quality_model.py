@@ -31,35 +31,45 @@ class Ftrl:
     l2: float = 0.01
 
 
-def features(part: tx.Slice) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct slots of the words and word pairs of each text, and where each text's slots begin."""
+def features(part: tx.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct slots of the words and word pairs of each text, their values, and where each text begins.
+
+    All pairs of one word with itself share a slot, so repetition is seen whatever the word. A value
+    is 1 + log(count), over the length of the text's vector of values.
+    """
     w = tx.words(part.data, part.bounds, tx.SPACED)
     h = tx.Hashes(part.data).spans(w.starts, w.ends)
     at, pairs = tx.runs_of(h, w, 2)
+    pairs[h[at] == h[at + 1]] = 0
     rows = np.concatenate([w.rows, w.rows[at]])
     slots = (np.concatenate([h, pairs]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    key = np.unique((rows << SLOT_BITS) | slots)
-    return key & (SLOTS - 1), np.searchsorted(key >> SLOT_BITS, np.arange(part.rows + 1))
+    key, n = np.unique((rows << SLOT_BITS) | slots, return_counts=True)
+    value = 1 + np.log(n)
+    row = key >> SLOT_BITS
+    length = np.sqrt(np.bincount(row, value * value, part.rows))
+    return key & (SLOTS - 1), value / length[row], np.searchsorted(row, np.arange(part.rows + 1))
 
 
-def train(examples: list[tuple[np.ndarray, int]], ftrl: Ftrl = Ftrl(), epochs: int = EPOCHS) -> np.ndarray:
-    """Weights of the slots; the last place is the bias. One pass after the other, row by row."""
-    z, n = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
+def train(examples: list[tuple[np.ndarray, np.ndarray, int]], ftrl: Ftrl = Ftrl(), epochs: int = EPOCHS) -> np.ndarray:
+    """Weights of the slots; the last place is the bias. One pass after the other, row by row.
+
+    The bias is the log-odds of the labels, which is what a text without any known word gets.
+    """
+    z, n = np.zeros(SLOTS), np.zeros(SLOTS)
+    ones = sum(label for _, _, label in examples)
+    bias = np.log((ones + 1) / (len(examples) - ones + 1))
 
     def weights(at) -> np.ndarray:
         rate = (ftrl.beta + np.sqrt(n[at])) / ftrl.alpha + ftrl.l2
         return np.where(np.abs(z[at]) <= ftrl.l1, 0.0, (np.sign(z[at]) * ftrl.l1 - z[at]) / rate)
 
     for _ in range(epochs):
-        for slots, label in examples:
-            at = np.append(slots, SLOTS)
-            x = np.full(len(at), 1 / np.sqrt(max(len(slots), 1)))
-            x[-1] = 1.0
+        for at, x, label in examples:
             w = weights(at)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
+            g = (1 / (1 + np.exp(-np.clip(w @ x + bias, -35, 35))) - label) * x
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ftrl.alpha * w
             n[at] += g * g
-    return weights(slice(None)).astype(np.float32)
+    return np.append(weights(slice(None)), bias).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> np.ndarray:
@@ -76,24 +86,34 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> np.ndar
     def work(batch: pa.RecordBatch) -> pa.Table:
         out = []
         for part in tx.slices(batch.column("text")):
-            slots, first = features(part)
+            slots, values, first = features(part)
             rows = batch.slice(part.first, part.rows)
-            found = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(slots, pa.int32()))
-            out.append(pa.table({"doc_id": rows.column("doc_id"), "label": rows.column("label"), "slots": found}))
+            first = pa.array(first, pa.int32())
+            out.append(
+                pa.table(
+                    {
+                        "doc_id": rows.column("doc_id"),
+                        "label": rows.column("label"),
+                        "slots": pa.ListArray.from_arrays(first, pa.array(slots, pa.int32())),
+                        "x": pa.ListArray.from_arrays(first, pa.array(values, pa.float32())),
+                    }
+                )
+            )
         return pa.concat_tables(out)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = []
         for batch in batches:
-            lists = batch.column("slots")
-            first, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            lists, values = batch.column("slots"), batch.column("x").values.to_numpy()
+            first, slots = lists.offsets.to_numpy(), lists.values.to_numpy()
             for i, y in enumerate(batch.column("label").to_pylist()):
-                examples.append((values[first[i] : first[i + 1]], y))
+                own = slice(first[i], first[i + 1])
+                examples.append((slots[own], values[own], y))
         yield pa.RecordBatch.from_pydict({"weights": [train(examples).tobytes()]})
 
     # max_docs pairs of numbers are broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    slots = in_arrow(rows, work, "doc_id long, label int, slots array<int>")
+    slots = in_arrow(rows, work, "doc_id long, label int, slots array<int>, x array<float>")
     slots = slots.orderBy(F.xxhash64("doc_id"), "doc_id", "slots").limit(max_docs)
     found = slots.mapInArrow(learn, "weights binary").collect()
     return np.frombuffer(found[0]["weights"], np.float32) if found else np.zeros(SLOTS + 1, np.float32)
@@ -102,18 +122,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> np.ndar
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """doc_id, score for every row of docs: the probability that the label is 1.
 
-    A score is the sparse dot product of the weights with the text's slots, each 1 / sqrt(number of
-    slots). Null and empty texts have no slots and get the score of the bias. Every whole text is read.
+    A score is the sparse dot product of the weights with the text's values, plus the bias. Null and
+    empty texts have no slots and get the score of the bias. Every whole text is read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def work(batch: pa.RecordBatch) -> pa.Table:
         w, out = shared.value, []
         for part in tx.slices(batch.column("text")):
-            slots, first = features(part)
-            n = np.diff(first)
-            rows = np.repeat(np.arange(part.rows), n)
-            total = np.bincount(rows, w[slots].astype(float), part.rows) / np.sqrt(np.maximum(n, 1)) + float(w[-1])
+            slots, values, first = features(part)
+            rows = np.repeat(np.arange(part.rows), np.diff(first))
+            total = np.bincount(rows, w[slots] * values, part.rows) + float(w[-1])
             p = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
             out.append(pa.table({"doc_id": batch.column("doc_id").slice(part.first, part.rows), "score": p}))
         return pa.concat_tables(out)
