@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, decontamination, language, mixing, quality_model, rules, sharding
+from tallyhouse.llm import chat, decontamination, language, mixing, ngram_join, quality_model, rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(_read(spark, folder, "documents"))
+
+
 def op2_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     labels = _read(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
     return quality_model.classify(_read(spark, folder, "documents"), labels)
@@ -61,6 +65,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_quality_model": op2_quality_model,
         "op3_sharding": op3_sharding,
         "op4_chat_formatting": op4_chat_formatting,
