@@ -25,7 +25,7 @@ def digits(key: Column, salt: str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def in_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], pa.Table | None], schema: str):
+def in_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], pa.Table | None], schema) -> DataFrame:
     """mapInArrow with a function from one batch to one table (or None)."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, decontamination, language, mixing, ngram_join, quality_model, rules, sharding
+from tallyhouse.llm import chat, decontamination, language, mixing, ngram_join, quality_model, rules, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,10 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(_read(spark, folder, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(_read(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -73,4 +77,5 @@ def queries() -> dict[str, Query]:
         "op6_language": op6_language,
         "op7_decontamination": op7_decontamination,
         "op9_quality_rules": op9_quality_rules,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
