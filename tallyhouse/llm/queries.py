@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, decontamination, language, mixing, ngram_join, quality_model, rules, sharding, suffix_dedup
+from tallyhouse.llm import chat, decontamination, language, mixing, ngram_join, quality_model, rules, sharding, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,11 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = _read(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.classify(_read(spark, folder, "documents"), labels)
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(_read(spark, folder, "documents"))
 
@@ -76,6 +81,7 @@ def queries() -> dict[str, Query]:
         "op5_mixing": op5_mixing,
         "op6_language": op6_language,
         "op7_decontamination": op7_decontamination,
+        "op8_toxicity": op8_toxicity,
         "op9_quality_rules": op9_quality_rules,
         "op10_suffix_dedup": op10_suffix_dedup,
     }
