@@ -27,6 +27,8 @@ GRAM_BITS, GRAM_DIM = 14, 8
 HIDDEN = 8
 MAX_DOCS = 3_000  # of each label; the first by a hash of doc_id
 MAX_WINDOWS = 12  # training windows of a document without the label, spread evenly over it
+LEAST_STEPS = 50
+DROPPED = 0.3  # part of the words read by their characters only, in training
 DOUBT = -3.0  # logit from which on such a document's other windows are trained on, too
 THRESHOLD = 0.7
 HELD_OUT = (3, 1)  # crc32(doc_id) modulo 3 is 1
@@ -183,10 +185,11 @@ def _run_back(grad: np.ndarray, trace: dict, recur: np.ndarray, order):
     return d_gates, d_recur
 
 
-def gradients(net: Network, words: Words, start: np.ndarray, size: np.ndarray, label: np.ndarray):
+def gradients(net: Network, words: Words, start: np.ndarray, size: np.ndarray, label: np.ndarray, heard=None):
     """(loss, gradients, slots) of the mean cross-entropy over some windows.
 
     The gradient of the word embeddings is given for the rows in slots only; no other word is there.
+    heard, if given, is a function from a number of words to a factor of each word's embedding.
     """
     h, steps = HIDDEN, np.arange(WINDOW)
     there = (steps[None, :] < size[:, None]).astype(np.float32)
@@ -195,6 +198,8 @@ def gradients(net: Network, words: Words, start: np.ndarray, size: np.ndarray, l
     place = place.reshape(at.shape)
     part = _subset(words, used)
     x = _vectors(net, part)
+    factor = np.ones((len(used), 1), np.float32) if heard is None else heard(len(used))[:, None]
+    x[:, :WORD_DIM] *= factor
     g = (x @ net.inputs + net.bias)[place]
     ahead, trace_a = _run(g[:, :, : 3 * h], net.forward, there, range(WINDOW), True)
     back, trace_b = _run(g[:, :, 3 * h :], net.backward, there, range(WINDOW - 1, -1, -1), True)
@@ -216,7 +221,7 @@ def gradients(net: Network, words: Words, start: np.ndarray, size: np.ndarray, l
     d_x = d_word_gates @ net.inputs.T
     slots, own = np.unique(part.word, return_inverse=True)
     d_word = np.zeros((len(slots), WORD_DIM), net.word.dtype)
-    np.add.at(d_word, own, d_x[:, :WORD_DIM])
+    np.add.at(d_word, own, d_x[:, :WORD_DIM] * factor)
     grams = np.diff(part.gram_first)
     d_gram = np.zeros_like(net.gram)
     np.add.at(d_gram, part.gram, np.repeat(d_x[:, WORD_DIM:] / np.maximum(grams, 1)[:, None], grams, axis=0))
@@ -237,7 +242,7 @@ def _subset(words: Words, at: np.ndarray) -> Words:
 
 
 def _descend(net: Network, words: Words, start, size, label, epochs: int, rate: float, batch: int, seed: int) -> Network:
-    """Adam over shuffled batches.
+    """Adam over shuffled batches, epochs times over all windows and LEAST_STEPS steps an epoch at least.
 
     The steps of the embeddings are damped: a word that few windows hold moves little, so that rare words
     are not learned by heart. Only the rows of words in the batch are touched.
@@ -247,12 +252,14 @@ def _descend(net: Network, words: Words, start, size, label, epochs: int, rate:
     mean = {k: np.zeros_like(getattr(net, k)) for k in net.names()}
     square = {k: np.zeros_like(getattr(net, k)) for k in net.names()}
     damping = {"word": 3e-4, "gram": 3e-4}
+    heard = lambda n: (r.random(n) >= DROPPED).astype(np.float32) / (1 - DROPPED)
     step = 0
     for _ in range(epochs):
-        order = r.permutation(len(start))
+        times = max(1, -(-LEAST_STEPS * batch // len(start)))
+        order = np.concatenate([r.permutation(len(start)) for _ in range(times)])
         for a in range(0, len(order), batch):
             own = order[a : a + batch]
-            _, grad, slots = gradients(net, words, start[own], size[own], label[own])
+            _, grad, slots = gradients(net, words, start[own], size[own], label[own], heard)
             step += 1
             moved = {}
             for k in net.names():
@@ -310,7 +317,21 @@ def train(words: Words, label: np.ndarray, seed: int = 11) -> Network:
         clear = np.where(y == 1, telling, spread | ((z > DOUBT) & (again > 0)))
         net = _descend(net, words, start[clear], size[clear], y[clear], epochs, 0.01, 256, seed + again)
         z = logits(net, words, start, size)
-    return net
+    best = np.full(len(label), -np.inf)
+    np.maximum.at(best, row, z)
+    a, b = _calibration(best, label)
+    return replace(net, out=np.append(a * net.out[:-1], a * net.out[-1] + b).astype(np.float32))
+
+
+def _calibration(best: np.ndarray, label: np.ndarray, turns: int = 30) -> tuple[float, float]:
+    """Logistic regression of a text's label on the largest logit of its windows (Newton steps, slope above 0)."""
+    x = np.stack([np.clip(best, -12, 12), np.ones(len(best))], axis=1)
+    w = np.array([1.0, 0.0])
+    for _ in range(turns):
+        p = _sigmoid(x @ w)
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
+        w = w - np.linalg.solve(curve, x.T @ (p - label) + 0.1 * (w - [1.0, 0.0]))
+    return max(float(w[0]), 0.1), float(w[1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Network:
