@@ -1,5 +1,222 @@
-"""SQL for the registered queries of this folder that SQL can express."""
+r"""SQL for the registered queries of this folder that SQL can express, over whole tables.
+
+The trained models (op2, op6, op8) and op10, which works on bytes, are tested against held-out labels and
+brute force instead.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from tallyhouse.llm import rules, sharding
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+NGRAM_JOIN = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, {_SPACED}) AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3
+    THEN [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ') || ' '] ELSE [] END) AS gram FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b USING (gram)
+  WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * s.n >= 90 * (x.n + y.n - s.n)),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT a AS doc_id, b AS other FROM sides
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN sides l ON r.other = l.a),
+least AS (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
+       least(d.doc_id, coalesce(l.least, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l USING (doc_id)
+"""
+
+# The shards take turns; a turn claims the first free slot in the shard's order of preference.
+SHARDING = f"""
+WITH RECURSIVE names AS (
+  SELECT i, 'shard-' || lpad(i::VARCHAR, 5, '0') AS name FROM range({sharding.SHARDS}) t(i)),
+orders AS (
+  SELECT i, ('0x' || substr(md5('offset:' || name), 1, 15))::BIGINT % {sharding.TABLE_SIZE} AS first,
+         ('0x' || substr(md5('skip:' || name), 1, 15))::BIGINT % {sharding.TABLE_SIZE - 1} + 1 AS step
+  FROM names),
+turns AS (
+  SELECT 0 AS turn, NULL::BIGINT AS slot, [false FOR k IN range({sharding.TABLE_SIZE})] AS claimed
+  UNION ALL
+  SELECT turn + 1, free, [claimed[k + 1] OR k = free FOR k IN range({sharding.TABLE_SIZE})]
+  FROM (
+    SELECT t.turn, t.claimed, (o.first + list_filter(range({sharding.TABLE_SIZE}),
+        lambda k: NOT t.claimed[(o.first + k * o.step) % {sharding.TABLE_SIZE} + 1])[1] * o.step)
+        % {sharding.TABLE_SIZE} AS free
+    FROM turns t JOIN orders o ON o.i = t.turn % {sharding.SHARDS}
+    WHERE t.turn < {sharding.TABLE_SIZE})),
+owner AS (SELECT slot, ((turn - 1) % {sharding.SHARDS})::INTEGER AS shard FROM turns WHERE turn > 0),
+placed AS (
+  SELECT doc_id, (('0x' || substr(md5('place:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT
+    % {sharding.TABLE_SIZE})::INTEGER AS slot FROM documents)
+SELECT doc_id, slot, shard FROM placed JOIN owner USING (slot)
+"""
+
+_ESCAPED = r"replace(replace({0}, '\', '\\'), '<|', '<\|')"
+CHAT = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+written AS (
+  SELECT *, length('<|im_start|>' || replace({_ESCAPED.format("role")}, chr(10), '<\/') || chr(10)
+         || {_ESCAPED.format("text")} || '<|im_end|>' || chr(10)) AS chars,
+         row_number() OVER o AS n, count(*) OVER (PARTITION BY conv_id) AS turns
+  FROM rows WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+reached AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS upto FROM written)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars,
+       count(*) FILTER (role = 'assistant' OR n = turns) AS n_examples,
+       sum(upto) FILTER (role = 'assistant' OR n = turns)::BIGINT AS example_chars
+FROM reached GROUP BY conv_id
+"""
+
+MIXING = rf"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {_SPACED})), 0)::BIGINT AS size,
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight,
+         (2 * source_size)::DOUBLE AS most, 1.5::DOUBLE * sum(source_size) OVER () AS budget FROM sources),
+filled AS (
+  SELECT *, (budget - coalesce(sum(most) OVER (ORDER BY most / weight, source NULLS LAST
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST
+              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+chosen AS (SELECT min_by(level, most / weight) AS level, min(most / weight) AS open
+           FROM filled WHERE level < most / weight),
+aims AS (
+  SELECT f.source, source_size, CASE WHEN c.open IS NULL OR most / weight < c.open THEN most
+         ELSE least(most, c.level * weight) END AS target FROM filled f, chosen c),
+queued AS (
+  SELECT s.*, source_size, target, sum(size) OVER (PARTITION BY s.source ORDER BY key, doc_id, size) AS upto
+  FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source),
+copies AS (
+  SELECT doc_id, source, size, key, copy, (copy * source_size + upto) / nullif(target, 0) AS finish
+  FROM queued, range(2) t(copy) WHERE size > 0),
+ranked AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, key, doc_id, size, copy) AS reached
+  FROM copies WHERE finish IS NOT NULL),
+taken AS (
+  SELECT doc_id, sum(size)::BIGINT AS taken FROM ranked
+  WHERE reached <= (SELECT sum(target) FROM aims) GROUP BY doc_id)
+SELECT q.doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM queued q LEFT JOIN taken USING (doc_id)
+"""
+
+DECONTAMINATION = rf"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark),
+lengths AS (SELECT DISTINCT least(13, len(w)) AS n FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+        FROM items WHERE len(w) > 0)),
+docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
+places AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n)),
+hits AS (SELECT doc_id, item_id, n, i FROM places JOIN windows USING (n, phrase)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+_SHARES = {
+    "symbol_share": "n_symbols / greatest(word_chars, 1)",
+    "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
+    "repeat_share": "n_repeat_words / greatest(n_words, 1)",
+    "word_length": "word_chars / greatest(n_words, 1)",
+}
+_VALUES = " UNION ALL ".join(
+    f"SELECT doc_id, lang, source, base_failed, '{rule}' AS rule, ({value})::DOUBLE AS value, "
+    f"{rules.SLACK[rule]}::DOUBLE AS slack, {str(rule in rules.TWO_SIDED).upper()} AS two_sided FROM base"
+    for rule, value in _SHARES.items()
+)
+
+
+def _quartile_sql(name: str, keys: str) -> str:
+    """Quartiles of the merged sketches: the value of the first bin at which the count reaches the rank."""
+    part = f"PARTITION BY {keys}"
+    at = ", ".join(f"min(value) FILTER (upto >= total * {q}) AS {n}" for n, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)))
+    return f"""{name} AS (
+  SELECT {keys}, max(total) AS docs, {at} FROM (
+    SELECT *, sum(n) OVER ({part} ORDER BY bin NULLS FIRST) AS upto, sum(n) OVER ({part}) AS total,
+           CASE WHEN bin IS NULL THEN 0 ELSE {2 / (rules.GAMMA + 1)!r} * pow({rules.GAMMA!r}, bin) END AS value
+    FROM (SELECT {keys}, bin, count(*) AS n FROM bins GROUP BY {keys}, bin)) GROUP BY {keys})"""
+
+
+QUALITY_RULES = rf"""
+WITH docs AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), {_SPACED}) AS w FROM documents),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, {_SPACED}) GROUP BY doc_id),
+threes AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS times
+  FROM (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS three
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM docs WHERE len(w) >= 3))),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM threes WHERE times > 1) GROUP BY doc_id),
+base AS (
+  SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(length(array_to_string(w, '')), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed
+  FROM docs LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+vals AS ({_VALUES}),
+bins AS (
+  SELECT lang, source, rule, CASE WHEN value > 0 THEN ceil(ln(value) / ln({rules.GAMMA!r}))::INTEGER END AS bin
+  FROM vals WHERE NOT base_failed),
+{_quartile_sql("cell", "lang, source, rule")},
+{_quartile_sql("of_lang", "lang, rule")},
+{_quartile_sql("overall", "rule")},
+chosen AS (
+  SELECT c.lang, c.source, c.rule,
+         CASE WHEN c.docs >= {rules.LEAST_DOCS} THEN [c.q1, c.q2, c.q3]
+              WHEN l.docs >= {rules.LEAST_DOCS} THEN [l.q1, l.q2, l.q3] ELSE [o.q1, o.q2, o.q3] END AS q
+  FROM cell c JOIN of_lang l ON c.lang IS NOT DISTINCT FROM l.lang AND c.rule = l.rule
+  JOIN overall o ON c.rule = o.rule),
+judged AS (
+  SELECT doc_id, bool_and(q IS NULL OR (value <= greatest(q[3] + {rules.SPREAD} * (q[3] - q[1]), q[2] + slack)
+         AND (NOT two_sided OR value >= least(q[1] - {rules.SPREAD} * (q[3] - q[1]), q[2] - slack)))) AS inside
+  FROM vals v LEFT JOIN chosen c ON v.lang IS NOT DISTINCT FROM c.lang
+       AND v.source IS NOT DISTINCT FROM c.source AND v.rule = c.rule
+  GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND inside AS kept
+FROM base JOIN judged USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_ngram_join": NGRAM_JOIN,
+    "op3_sharding": SHARDING,
+    "op4_chat_formatting": CHAT,
+    "op5_mixing": MIXING,
+    "op7_decontamination": DECONTAMINATION,
+    "op9_quality_rules": QUALITY_RULES,
+}
