@@ -31,7 +31,7 @@ LENGTH = 100
 GRAM = 24
 SPAN = LENGTH - GRAM + 1  # grams in a window
 SAMPLE = 0.02  # part of the rows from which splitters are taken
-SPLITTERS = 4096  # most buckets, and bytes * 40 sent to every task
+SPLITTERS = 1 << 17  # most buckets; 40 bytes each are sent to every task
 BUCKET_ROWS = 500_000
 MANY = 8192  # surroundings of one anchor that one task compares
 
@@ -152,9 +152,9 @@ def splitters(docs: DataFrame, sample: float = SAMPLE) -> tuple[np.ndarray, int]
     drawn = in_arrow(docs.sample(sample, 7), _chunk_table, _CHUNK).where("lead is not null")
     drawn = drawn.drop("n").withColumn("r", F.xxhash64("gram", "doc_id", "start"))
     total = drawn.count()
-    rows = drawn.orderBy("r").limit(8 * SPLITTERS).drop("r").toArrow()
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = min(max(least, int(total / sample) // BUCKET_ROWS + 1), SPLITTERS)
+    rows = drawn.orderBy("r").limit(8 * n).drop("r").toArrow()
     keys = np.stack(
         [rows.column(c).to_numpy().astype(np.int64) for c in ("lead", "gram", "around", "doc_id", "start")], axis=1
     ) if len(rows) else np.empty((0, 5), np.int64)
@@ -207,7 +207,9 @@ def _compare_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     anchor = np.cumsum(new_anchor) - 1
     kinds = np.bincount(anchor[new])
     edge = (anchor == 0) | (anchor == anchor[-1])
-    kind = np.where(~new, 1, np.where(edge, 3, np.where(kinds[anchor] > 1, 2, 0))).astype(np.int32)
+    begin = np.flatnonzero(new)[np.cumsum(new) - 1]
+    later = (ids != ids[begin]) | (none != none[begin]) | (start != start[begin])  # a repeated row is not later
+    kind = np.where(~new, later, np.where(edge, 3, np.where(kinds[anchor] > 1, 2, 0))).astype(np.int32)
     keep = np.flatnonzero(kind)
     columns = [
         kind[keep], gram[keep], around[keep], pa.array(ids[keep], mask=none[keep]), start[keep], n[keep],
