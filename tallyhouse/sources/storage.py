@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -29,12 +30,20 @@ def remove(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 class CommitLog:
     """Numbered JSON records in a folder; the highest number is the current state.
 
-    A record is written under a temporary name and renamed without overwrite, so a number can be
+    A record is written under a name of its own and renamed without overwrite, so a number can be
     committed once. Data is written before its record: a run that dies in between leaves files no
-    record points at, and the retry overwrites them.
+    record points at. The folder has to be on a file system whose rename is atomic.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -47,18 +56,12 @@ class CommitLog:
         return (max(numbers), self.record(max(numbers))) if numbers else (0, {})
 
     def record(self, number: int) -> dict:
-        path = f"{self.folder}/{number:09d}.json"
-        stream = _fs(self.spark, path).open(_path(self.spark, path))
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
+        return json.loads(read_text(self.spark, f"{self.folder}/{number:09d}.json"))
 
     def commit(self, number: int, record: dict) -> None:
         """Publish a record; fails when the number is taken."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        draft = _path(self.spark, f"{self.folder}/.{number:09d}.draft")
+        draft = _path(self.spark, f"{self.folder}/.{number:09d}.{uuid.uuid4().hex}.draft")
         final = _path(self.spark, f"{self.folder}/{number:09d}.json")
         out = _fs(self.spark, self.folder).create(draft, True)
         try:

@@ -8,6 +8,7 @@ file to read it from.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,33 +17,44 @@ from pyspark.sql.types import StructType
 from tallyhouse.sources.storage import CommitLog, children, remove
 
 
+def _run_id() -> str:
+    return uuid.uuid4().hex[:12]
+
+
 class BatchedTable:
-    """Layout: ``<root>/batch=<n>/`` for data, ``<root>/_commits/`` for the records."""
+    """Layout: ``<root>/batch=<n>-<run>/`` for data, ``<root>/_commits/`` for the records.
+
+    Every write has a folder of its own, named by its record: two runs that prepare the same batch
+    never touch each other's files, and the one that commits second fails with nothing replaced.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.log = CommitLog(spark, f"{self.root}/_commits")
+        self._drafts: dict[int, str] = {}
 
     def state(self) -> tuple[int, dict]:
         """(last committed batch, its record)."""
         return self.log.latest()
 
-    def path(self, batch: int) -> str:
-        return f"{self.root}/batch={batch}"
-
     def write(self, batch: int, df: DataFrame) -> DataFrame:
-        """Write the files of a batch, replacing leftovers of a failed try, and read them back."""
-        df.write.mode("overwrite").parquet(self.path(batch))
-        return self.spark.read.schema(df.schema).parquet(self.path(batch))
+        """Write the files of a batch, visible once committed, and read them back."""
+        name = f"batch={batch}-{_run_id()}"
+        df.write.parquet(f"{self.root}/{name}")
+        self._drafts[batch] = name
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def commit(self, batch: int, written: DataFrame, **facts: object) -> None:
-        self.log.commit(batch, {**facts, "schema": written.schema.jsonValue()})
+        """Make what ``write`` returned for this batch visible."""
+        record = {**facts, "folder": self._drafts[batch], "schema": written.schema.jsonValue()}
+        self.log.commit(batch, record)
+        del self._drafts[batch]
 
     def batches(self, first: int, last: int) -> DataFrame:
         """Rows of a range of committed batches; no other folder is listed or read."""
-        schema = StructType.fromJson(self.state()[1]["schema"])
-        return self.spark.read.schema(schema).parquet(
-            *[self.path(n) for n in range(first, last + 1)]
+        records = [self.log.record(n) for n in range(first, last + 1)]
+        return self.spark.read.schema(StructType.fromJson(records[-1]["schema"])).parquet(
+            *[f"{self.root}/{r['folder']}" for r in records]
         )
 
     def read(self, after: int = 0) -> DataFrame | None:
@@ -58,13 +70,19 @@ class Draft:
         self.store = store
         number, self.record = store.state()
         self.version = number + 1
+        self.run = _run_id()
         self.written: dict[str, dict] = {}
 
     def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write a table's new contents and return them as read back."""
-        path = self.store.path(table, self.version)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        self.written[table] = {"version": self.version, "schema": df.schema.jsonValue()}
+        name = f"version={self.version}-{self.run}"
+        path = self.store.path(table, name)
+        df.write.partitionBy(*partition_by).parquet(path)
+        self.written[table] = {
+            "version": self.version,
+            "folder": name,
+            "schema": df.schema.jsonValue(),
+        }
         return self.store.spark.read.schema(df.schema).parquet(path)
 
     def commit(self, **facts: object) -> int:
@@ -74,7 +92,7 @@ class Draft:
 
 
 class VersionedTables:
-    """Layout: ``<root>/<table>/version=<n>/`` for data, ``<root>/_commits/`` for the records."""
+    """Layout: ``<root>/<table>/version=<n>-<run>/`` for data, ``<root>/_commits/`` for the records."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -83,8 +101,8 @@ class VersionedTables:
     def state(self) -> tuple[int, dict]:
         return self.log.latest()
 
-    def path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/version={version}"
+    def path(self, table: str, folder: str) -> str:
+        return f"{self.root}/{table}/{folder}"
 
     def read(self, table: str) -> DataFrame | None:
         """The committed version, or None before the first."""
@@ -92,7 +110,7 @@ class VersionedTables:
         if entry is None:
             return None
         schema = StructType.fromJson(entry["schema"])
-        return self.spark.read.schema(schema).parquet(self.path(table, entry["version"]))
+        return self.spark.read.schema(schema).parquet(self.path(table, entry["folder"]))
 
     def draft(self) -> Draft:
         return Draft(self)
@@ -115,11 +133,11 @@ class VersionedTables:
         for number in range(max(last - keep + 1, 1), last + 1):
             for table, entry in self.log.record(number).get("tables", {}).items():
                 tables.add(table)
-                needed.add((table, entry["version"]))
+                needed.add((table, entry["folder"]))
         for table in sorted(tables):
             for name in children(self.spark, f"{self.root}/{table}"):
-                version = int(name.removeprefix("version="))
-                if version <= last and (table, version) not in needed:
-                    remove(self.spark, self.path(table, version))
+                version = int(name.removeprefix("version=").split("-")[0])
+                if version <= last and (table, name) not in needed:
+                    remove(self.spark, self.path(table, name))
                     dropped.append(f"{table}/{name}")
         return dropped

@@ -12,8 +12,8 @@ comes back in a later batch is a new row, and gold counts rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ from tallyhouse.plans.gold import (
     silver_suite,
     with_month,
 )
+from tallyhouse.sources.storage import read_text
 from tallyhouse.sources.versions import BatchedTable, VersionedTables
 from tallyhouse.streaming.batches import next_batch_whole, without_timestamp
 
@@ -65,28 +66,38 @@ def refine(
 ) -> int:
     """Clean every bronze batch silver has not seen; returns the number of batches done.
 
-    ``skip_known`` names a key; rows whose key silver already holds are then left out.
+    Silver's record holds the last bronze batch it covers, so its own numbers are free for other
+    writers, such as a stream. ``skip_known`` names a key; rows whose key silver already holds are
+    then left out.
     """
-    done, _ = silver.state()
+    number, record = silver.state()
+    done = record.get("bronze", 0)
     last, _ = bronze.state()
-    for number in range(done + 1, last + 1):
-        rows = clean(bronze.batches(number, number))
+    for covers in range(done + 1, last + 1):
+        rows = clean(bronze.batches(covers, covers))
         known = silver.read() if skip_known else None
         if known is not None:
             rows = rows.join(known.select(skip_known), skip_known, "left_anti")
-        silver.commit(number, silver.write(number, rows))
+        number += 1
+        silver.commit(number, silver.write(number, rows), **{**_marks(record), "bronze": covers})
     return max(last - done, 0)
 
 
+def _marks(record: Mapping[str, object]) -> dict[str, object]:
+    """What a silver record says about its sources: every new record carries it on."""
+    return {k: record[k] for k in ("bronze", "streams") if k in record}
+
+
 def roll_up(silver: Mapping[str, BatchedTable], gold: VersionedTables) -> int | None:
     """Add unseen silver batches of each country to gold; None when there are none."""
     covered = dict(gold.state()[1].get("covered", {}))
     fresh = []
     for country, table in silver.items():
-        rows = table.read(after=covered.get(country, 0))
-        if rows is not None:
-            fresh.append(rows.withColumn("country", F.lit(country)))
-            covered[country] = table.state()[0]
+        last, _ = table.state()  # one look: a batch committed from here on is for the next run
+        seen = covered.get(country, 0)
+        if last > seen:
+            fresh.append(table.batches(seen + 1, last).withColumn("country", F.lit(country)))
+            covered[country] = last
     if not fresh:
         return None
     delta = with_month(union_by_name(fresh))
@@ -108,14 +119,16 @@ def roll_up(silver: Mapping[str, BatchedTable], gold: VersionedTables) -> int |
     return draft.commit(covered=covered)
 
 
-def check_silver(silver: Mapping[str, BatchedTable]) -> None:
-    """Check the newest batch of every table that has one, then raise once if any failed."""
+def check_silver(
+    silver: Mapping[str, BatchedTable], after: Mapping[str, int] | None = None
+) -> None:
+    """Check every batch above the numbers in ``after`` (all without it), then raise once."""
     reports = []
     for name, table in silver.items():
         last, _ = table.state()
-        if last:
-            rows = table.batches(last, last)
-            reports.append(validate(rows, silver_suite(rows.columns), name))
+        for number in range((after or {}).get(name, 0) + 1, last + 1):
+            rows = table.batches(number, number)
+            reports.append(validate(rows, silver_suite(rows.columns), f"{name} batch {number}"))
     if reports:
         assert_all(union_by_name(reports))
 
@@ -126,11 +139,39 @@ def check_gold(gold: VersionedTables) -> None:
         assert_all(validate_all(tables, gold_suites()))
 
 
-def _stream_step(silver: BatchedTable, batch: DataFrame, epoch: int) -> None:
-    number = epoch + 1
-    if number > silver.state()[0]:
-        written = silver.write(number, clean_videos(with_publish_instant(batch)))
-        silver.commit(number, written)
+def run_pipeline(
+    sources: Mapping[str, DataFrame],
+    bronze: Mapping[str, BatchedTable],
+    silver: Mapping[str, BatchedTable],
+    gold: VersionedTables,
+    publish: Callable[[VersionedTables], object] | None = None,
+    batch_rows: int = BATCH_ROWS,
+) -> int | None:
+    """The whole chain: every country to bronze and silver, gate, gold, gate, publish.
+
+    Returns the gold version, or None if no source had anything new. What gold does not cover yet is
+    checked before it is added; a failed gate stops the run, and the next run checks it again.
+    """
+    for country, source in sources.items():
+        while ingest(source, bronze[country], batch_rows):
+            pass
+        refine(bronze[country], silver[country])
+    check_silver(silver, gold.state()[1].get("covered", {}))
+    version = roll_up(silver, gold)
+    check_gold(gold)
+    if version is not None and publish is not None:
+        publish(gold)
+    return version
+
+
+def _stream_step(silver: BatchedTable, stream: str, batch: DataFrame, epoch: int) -> None:
+    """Add an epoch of a stream unless silver's records say that it has been added."""
+    last, record = silver.state()
+    streams = record.get("streams", {})
+    if epoch > streams.get(stream, -1):
+        written = silver.write(last + 1, clean_videos(with_publish_instant(batch)))
+        marks = {**_marks(record), "streams": {**streams, stream: epoch}}
+        silver.commit(last + 1, written, **marks)
 
 
 def stream_to_silver(
@@ -138,11 +179,16 @@ def stream_to_silver(
 ) -> StreamingQuery:
     """Structured Streaming form of bronze and silver: new files in, silver batches out, then stop.
 
-    The stream follows files instead of a mark, so late rows are kept. A replayed epoch finds its
-    batch committed and does nothing. ``roll_up`` picks the batches up like any others.
+    The stream follows files instead of a mark, so late rows are kept. A replayed epoch finds itself
+    recorded and does nothing; a stream with a new checkpoint is another stream, known by the id that
+    Spark keeps in the checkpoint. ``roll_up`` picks the batches up like any others.
     """
+    def step(batch: DataFrame, epoch: int) -> None:
+        stream = json.loads(read_text(silver.spark, f"{checkpoint}/metadata"))["id"]
+        _stream_step(silver, stream, batch, epoch)
+
     return (
-        landing.writeStream.foreachBatch(partial(_stream_step, silver))
+        landing.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -173,6 +173,79 @@ def test_stream_form(lake, spark, tmp_path):
 def test_replayed_epoch_changes_nothing(lake):
     batch = lake.source(feed(0, 3))
     for _ in range(2):
-        layers._stream_step(lake.silver["ca"], batch, 0)
+        layers._stream_step(lake.silver["ca"], "s", batch, 0)
     assert lake.silver["ca"].state()[0] == 1
     assert lake.silver["ca"].read().count() == 3
+
+
+def test_a_new_stream_adds_to_a_filled_table(lake):
+    lake.run({"ca": feed(0, 6)})
+    table = lake.silver["ca"]
+    before = table.state()[0]
+    layers._stream_step(table, "s", lake.source(feed(6, 9)), 0)
+    layers._stream_step(table, "other checkpoint", lake.source(feed(9, 12)), 0)
+    assert table.state()[0] == before + 2 and table.read().count() == 12
+    lake.run({"ca": feed(0, 6)})
+    assert table.read().count() == 12
+    lake.assert_gold_is_whole()
+
+
+def test_a_batch_committed_during_the_rollup_waits_for_the_next(lake, monkeypatch):
+    lake.run({"ca": feed(0, 3)})
+    layers.ingest(lake.source(feed(0, 9)), lake.bronze["ca"], 3)
+    layers.refine(lake.bronze["ca"], lake.silver["ca"])
+    table, batches = lake.silver["ca"], BatchedTable.batches
+
+    def late(self, first, last):
+        found = batches(self, first, last)
+        if table.state()[0] == last:
+            table.commit(last + 1, table.write(last + 1, batches(table, 1, 1)), bronze=2)
+        return found
+
+    with monkeypatch.context() as patch:
+        patch.setattr(BatchedTable, "batches", late)
+        layers.roll_up(lake.silver, lake.gold)
+    assert lake.gold.state()[1]["covered"]["ca"] == table.state()[0] - 1
+    layers.roll_up(lake.silver, lake.gold)
+    lake.assert_gold_is_whole()
+
+
+def test_an_earlier_bad_batch_fails_the_gate(lake):
+    lake.run({"ca": feed(0, 3)})
+    table = lake.silver["ca"]
+    bad = table.read().unionByName(table.read())
+    table.commit(2, table.write(2, bad), bronze=1)
+    table.commit(3, table.write(3, table.batches(1, 1)), bronze=1)
+    with pytest.raises(QualityError, match="ca batch 2$"):
+        layers.check_silver(lake.silver)
+    layers.check_silver(lake.silver, {"ca": 2})
+
+
+def test_the_second_of_two_drafts_replaces_nothing(lake, table):
+    store = lake.gold
+    first, second = store.draft(), store.draft()
+    first.write("t", table("a int", [(1,)]))
+    first.commit()
+    second.write("t", table("a int", [(99,)]))
+    with pytest.raises(Exception, match="exist"):
+        second.commit()
+    assert [r.a for r in store.read("t").collect()] == [1]
+    silver = lake.silver["us"]
+    mine, theirs = BatchedTable(silver.spark, silver.root), BatchedTable(silver.spark, silver.root)
+    mine.commit(1, mine.write(1, table("a int", [(1,)])))
+    with pytest.raises(Exception, match="exist"):
+        theirs.commit(1, theirs.write(1, table("a int", [(99,)])))
+    assert [r.a for r in silver.read().collect()] == [1]
+
+
+def test_the_whole_chain(lake):
+    published = []
+    run = lambda sources: layers.run_pipeline(
+        {c: lake.source(rows) for c, rows in sources.items()},
+        lake.bronze, lake.silver, lake.gold, published.append, batch_rows=3,
+    )
+    assert run({"ca": feed(0, 6), "us": feed(0, 3)}) == 1
+    assert run({"ca": feed(0, 6), "us": feed(0, 3)}) is None
+    assert run({"ca": feed(0, 9), "us": feed(0, 3)}) == 2
+    assert published == [lake.gold, lake.gold]
+    lake.assert_gold_is_whole()
