@@ -4,6 +4,7 @@ Documents with the same set are one class, held by its smallest doc_id. A class
 rarest part of its set that any partner must share a gram with (the prefix filter); rarity comes from a
 table of counts of fixed size. Work is then saved by relations between sets:
 
+* pairs whose indexed parts already show too many differences are not looked at further;
 * lists are cut into blocks of like size, and blocks whose sizes cannot match are skipped;
 * in each block all members are compared with one pivot first. What links to the pivot is one component,
   and pairs inside a component are not compared any more;
@@ -24,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm import bloom
 from tallyhouse.llm import text as tx
 from tallyhouse.llm.components import components
 from tallyhouse.llm.frames import in_arrow
 from tallyhouse.llm.storage import stored
 
-FREQUENCY_BITS = 20  # the table of counts has 2**20 places, 8 MB
+FREQUENCY_BITS = 18  # the table of counts has 2**18 places, 2 MB
+RARITY_BITS = 14  # counts above 2**14 - 1 are told apart no more
 LONG_LIST = 64  # lists with more classes are compared in blocks
 BLOCK = 1024  # sets in a block
 
@@ -98,7 +101,11 @@ def frequencies(docs: DataFrame, grams: Grams) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, grams: Grams) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (a 128-bit hash of the set), prefix (its rarest grams)."""
+    """doc_id, n_shingles, set_a, set_b (a 128-bit hash of the set), prefix (its rarest grams, in order).
+
+    A gram of the prefix is a number: its place in the common order, rarity first, then hash. Two grams that
+    share a number make a candidate more and a bound weaker, never a link less.
+    """
     table = docs.sparkSession.sparkContext.broadcast(frequencies(docs, grams))
 
     def work(batch: pa.RecordBatch) -> pa.Table:
@@ -109,7 +116,9 @@ def signatures(docs: DataFrame, grams: Grams) -> DataFrame:
             size = np.diff(first)
             both = [tx.sums_by_row(tx.mixed(gram + np.uint64(salt)), first) for salt in (1, 2)]
             rare = table.value[(gram >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]
-            order = np.lexsort((gram, rare, row))  # rows stay where they are
+            rare = np.minimum(rare, (1 << RARITY_BITS) - 1)
+            number = (rare << (63 - RARITY_BITS)) | (tx.mixed(gram) >> np.uint64(1 + RARITY_BITS)).astype(np.int64)
+            number = number[np.lexsort((number, row))]  # rows stay where they are
             rank = np.arange(len(row)) - first[row]
             keep = rank < grams.prefix(size)[row]
             start = np.concatenate([[0], np.cumsum(np.bincount(row[keep], minlength=part.rows))])
@@ -121,7 +130,7 @@ def signatures(docs: DataFrame, grams: Grams) -> DataFrame:
                         "set_a": tx.signed(both[0]),
                         "set_b": tx.signed(both[1]),
                         "prefix": pa.ListArray.from_arrays(
-                            pa.array(start, pa.int32()), pa.array(tx.signed(gram[order][keep]))
+                            pa.array(start, pa.int32()), pa.array(number[keep])
                         ),
                     }
                 )
@@ -148,8 +157,37 @@ def _sets_of(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return gram_sets(part.data, part.bounds, n)
 
 
-def compare(pairs: DataFrame, texts: DataFrame, grams: Grams) -> DataFrame:
+def possible(pairs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
+    """The pairs (a, b) that their prefixes do not rule out.
+
+    Up to the earlier of the two prefixes' last grams, all grams of both sets are known; beyond it, the sets
+    share no more than the smaller rest. If even that makes no link, the texts need not be fetched.
+    """
+    sides = [
+        classes.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("prefix").alias(f"p_{c}"))
+        for c in "ab"
+    ]
+    both = pairs.join(sides[1], "b").join(sides[0], "a")
+    last = F.least(F.element_at("p_a", -1), F.element_at("p_b", -1))
+    rest = [F.col(f"n_{c}") - F.size(F.filter(f"p_{c}", lambda g: g <= F.col("last"))) for c in "ab"]
+    most = F.size(F.array_intersect("p_a", "p_b")) + F.least(*rest)
+    both = both.withColumn("last", last).withColumn("most", most)
+    return both.where(100 * F.col("most") >= grams.percent * (F.col("n_a") + F.col("n_b") - F.col("most"))).select(
+        "a", "b"
+    ).distinct()
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of the rows of docs whose doc_id is among ids (one column)."""
+    wanted = stored(ids.select(F.col(ids.columns[0]).alias("wanted")).distinct())
+    near = bloom.narrowed(docs.select("doc_id", "text"), "doc_id", bloom.build(wanted))
+    return near.join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
+
+
+def compare(pairs: DataFrame, docs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
     """The pairs (a, b) whose texts are linked. A text is looked up once for each side of each pair."""
+    pairs = stored(possible(pairs, classes, grams))
+    texts = stored(_texts(docs, pairs.select("a").union(pairs.select("b"))))
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
@@ -246,7 +284,7 @@ def _open_lists(lists: DataFrame) -> DataFrame:
     return lists.join(several.select("gram"), "gram")
 
 
-def _rest_of_long_lists(lists: DataFrame, texts: DataFrame, grams: Grams) -> DataFrame:
+def _rest_of_long_lists(lists: DataFrame, docs: DataFrame, grams: Grams) -> DataFrame:
     """Links between different labels of long lists, found block against block."""
     hubs = lists.groupBy("gram").agg(F.min("doc_id").alias("hub"))
     group = components(lists.join(hubs, "gram").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")))
@@ -304,7 +342,7 @@ def _rest_of_long_lists(lists: DataFrame, texts: DataFrame, grams: Grams) -> Dat
         & (F.col("part") == F.col("m_part"))
         & same("own", "m_own"),
     ).select("pair", "side", F.col("m_doc_id").alias("doc_id"), F.col("m_label").alias("label"))
-    return _compare_blocks(dealt.join(texts, "doc_id"), grams)
+    return _compare_blocks(dealt.join(_texts(docs, dealt.select("doc_id")), "doc_id"), grams)
 
 
 def links(docs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
@@ -314,8 +352,6 @@ def links(docs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
     )
     shared = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     lists = stored(postings.join(shared, "gram"))
-    wanted = lists.select(F.col("doc_id").alias("wanted")).distinct()
-    texts = stored(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi"))
     # one pivot for each block of like size in each list, and neighbouring pivots with each other
     pivots = lists.groupBy("gram", "size_block").agg(F.min("doc_id").alias("pivot"))
     to_pivot = lists.join(pivots, ["gram", "size_block"]).select("doc_id", "pivot")
@@ -324,15 +360,15 @@ def links(docs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
     pairs = lambda rows, x, y: rows.select(
         F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
     ).where("a < b").distinct()
-    found = stored(compare(pairs(to_pivot, "doc_id", "pivot"), texts, grams))
+    found = stored(compare(pairs(to_pivot, "doc_id", "pivot"), docs, classes, grams))
     rest = stored(_open_lists(_labelled(lists, found)))
     short = rest.where(F.col("members") <= LONG_LIST)
     other = short.select("gram", F.col("doc_id").alias("o_doc"), F.col("label").alias("o_label"), F.col("size_block").alias("o_block"))
     near = (F.col("doc_id") < F.col("o_doc")) & (F.abs(F.col("size_block") - F.col("o_block")) <= 1)
     open_pairs = short.join(other, "gram").where(near & (F.col("label") != F.col("o_label")))
-    found = found.union(compare(pairs(open_pairs, "doc_id", "o_doc"), texts, grams))
+    found = found.union(compare(pairs(open_pairs, "doc_id", "o_doc"), docs, classes, grams))
     long = rest.where(F.col("members") > LONG_LIST)
-    return found.union(_rest_of_long_lists(long, texts, grams))
+    return found.union(_rest_of_long_lists(long, docs, grams))
 
 
 def join(docs: DataFrame, grams: Grams = Grams()) -> DataFrame:
