@@ -4,27 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Update matched rows, insert new ones. Keys are unique on both sides.
+    """Update matched rows, insert new ones; columns as in the target.
 
-    A matched row takes the source value even when that is NULL.
+    A matched row takes the source value even when that is NULL. Several source rows for one key
+    stop the query, as they do in SQL. Keys are unique in the target; rows with a NULL key match nothing.
     """
     hit = "__in_source"
-    incoming = source.withColumn(hit, F.lit(True)).alias("s")
+    incoming = _one_per_key(source, keys).withColumn(hit, F.lit(True)).alias("s")
     merged = target.alias("t").join(incoming, list(keys), "full")
     changed = set(source.columns)
     columns = [
         F.when(F.col(hit), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-        if c in changed
-        else F.col(f"t.{c}")
+        if c in changed and c not in keys
+        else F.col(c if c in keys else f"t.{c}")
         for c in target.columns
-        if c not in keys
     ]
-    return merged.select(*keys, *columns)
+    return merged.select(*columns)
+
+
+def _one_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source itself; running it fails if a key without NULL occurs twice.
+
+    The window shares its partitioning with the join that follows.
+    """
+    times = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    whole = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)) == F.lit(False)
+    message = F.lit(f"several source rows for one value of {', '.join(keys)}")
+    checked = source.withColumn("__times", times)
+    stop = F.raise_error(message).cast("boolean")
+    return checked.where(F.when(whole & (F.col("__times") > 1), stop).otherwise(True)).drop("__times")
 
 
 def delete_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,8 +46,16 @@ def delete_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 
 def full_sync(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Merge, then delete what the source no longer has."""
-    return delete_missing(merge_upsert(target, source, keys), source, keys)
+    """Merge, then delete what the source no longer has.
+
+    What is left are the source's rows; the target only lends the columns that the source lacks.
+    Source rows with a NULL key go, as no key of theirs exists.
+    """
+    known = _one_per_key(source.dropna(subset=list(keys)), keys)
+    lent = [c for c in target.columns if c not in source.columns]
+    if lent:
+        known = known.join(target.select(*keys, *lent), list(keys), "left")
+    return known.select(*target.columns)
 
 
 def update_by_key(

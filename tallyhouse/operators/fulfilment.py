@@ -9,13 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import delivery_charge
-from tallyhouse.operators.changes import update_by_key
 from tallyhouse.operators.lineage import saved
 from tallyhouse.operators.ranking import GROUP_LIMIT, with_row_number, with_running_total
 
@@ -37,17 +35,19 @@ def _in_order_pass():
     """The per-partition step, made here so that it travels by value: executors need no copy of
     this package."""
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item, left = None, 0
         for batch in batches:
             taken = []
-            for this_item, qty, stock in zip(batch["item_id"], batch["qty"], batch["__stock"]):
+            columns = (batch.column(c).to_pylist() for c in ("item_id", "qty", "__stock"))
+            for this_item, qty, stock in zip(*columns):
                 if this_item != item:
                     item, left = this_item, stock
                 taken.append(qty <= left)
                 if qty <= left:
                     left -= qty
-            yield batch.loc[np.array(taken, dtype=bool)].drop(columns="__stock")
+            # All other columns pass unread, so no value changes its type or is rounded.
+            yield batch.filter(pa.array(taken, pa.bool_())).drop_columns(["__stock"])
 
     return fill
 
@@ -66,7 +66,7 @@ def _still_possible(
 def _in_sequence(hopeful: DataFrame, sequence: Sequence[str]) -> DataFrame:
     lines = hopeful.drop("__stock")
     ordered = hopeful.repartition("item_id").sortWithinPartitions("item_id", *sequence)
-    return ordered.mapInPandas(_in_order_pass(), lines.schema)
+    return ordered.mapInArrow(_in_order_pass(), lines.schema)
 
 
 def fill_lines(
@@ -117,8 +117,11 @@ def remaining_stock(items: DataFrame, filled: DataFrame) -> DataFrame:
 
 def inventory_after(items: DataFrame, filled: DataFrame) -> DataFrame:
     """The item table with stock written back."""
-    left = remaining_stock(items, filled).withColumnRenamed("remaining", "stock")
-    return update_by_key(items, left, ["item_id"], ["stock"])
+    used = filled.groupBy("item_id").agg(F.sum("qty").alias("__used"))
+    left = (F.col("stock") - F.coalesce("__used", F.lit(0))).alias("stock")
+    return items.join(used, "item_id", "left").select(
+        *[left if c == "stock" else F.col(c) for c in items.columns]
+    )
 
 
 def price_lines(filled: DataFrame, items: DataFrame) -> DataFrame:

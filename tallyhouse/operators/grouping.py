@@ -15,10 +15,25 @@ def duplicates(df: DataFrame, columns: Sequence[str], name: str = "occurrences")
 
 
 def pivot_total(
-    df: DataFrame, key: str, pivot: str, values: Sequence[str], measure: str
+    df: DataFrame,
+    key: str,
+    pivot: str,
+    measure: str,
+    values: Sequence[str] | None = None,
+    rest: str = "other",
 ) -> DataFrame:
-    """One column per declared value; declaring them fixes the schema and saves a discovery job."""
-    return df.groupBy(key).pivot(pivot, list(values)).agg(F.sum(measure))
+    """One column per value and one, named ``rest``, for NULL and all values not declared.
+
+    Declaring the values fixes the schema and saves a job; without them they are looked up, in order.
+    """
+    if values is None:
+        found = df.select(F.col(pivot).cast("string")).where(F.col(pivot).isNotNull()).distinct()
+        values = [r[0] for r in found.orderBy(pivot).collect()]
+    if rest in values:
+        raise ValueError(f"{rest!r} is a value of {pivot}; name the rest column otherwise")
+    place = F.when(F.col(pivot).isin(list(values)), F.col(pivot).cast("string")).otherwise(rest)
+    placed = df.withColumn("__place", place)
+    return placed.groupBy(key).pivot("__place", [*values, rest]).agg(F.sum(measure))
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

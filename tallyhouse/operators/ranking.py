@@ -62,7 +62,13 @@ def _ordinal(df: DataFrame, value: str) -> Column:
         return (F.unix_date(col.cast("date")).cast("double") * 86400) + seconds
     if isinstance(kind, T.NumericType):
         return col.cast("double")
-    raise TypeError(f"cannot cut {value} ({kind.simpleString()}) into slots")
+    if isinstance(kind, T.BooleanType):
+        return col.cast("int").cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        # the first six bytes as a number: texts that agree in them share a slot
+        start = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(start, 16, 10).cast("double")
+    return F.when(col.isNotNull(), 0.0)  # one slot: right, but not spread
 
 
 def _slot(df: DataFrame, value: str, slots: int) -> Bucketizer:

@@ -20,11 +20,18 @@ BONUS = 2
 FIRST_WEEK_DAYS = 6
 
 
+def _sold(sales: DataFrame, *by: str) -> DataFrame:
+    """Sales counted (``sold``) per product and the given columns, so that the join with the menu meets
+    a busy product once per customer and not once per sale."""
+    return sales.groupBy(*by, "product_id").agg(F.count(F.lit(1)).alias("sold"))
+
+
 def spend_per_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
     return (
-        sales.join(menu, "product_id")
+        _sold(sales, "customer_id")
+        .join(menu, "product_id")
         .groupBy("customer_id")
-        .agg(F.sum("price").alias("total_amount_spent"))
+        .agg(F.sum(F.col("price") * F.col("sold")).alias("total_amount_spent"))
     )
 
 
@@ -71,9 +78,10 @@ def most_purchased(sales: DataFrame, menu: DataFrame, k: int = 1) -> DataFrame:
 
 def top_item_per_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
     counted = (
-        sales.join(menu, "product_id")
+        _sold(sales, "customer_id")
+        .join(menu, "product_id")
         .groupBy("customer_id", "product_name")
-        .agg(F.count("*").alias("total_ordered"))
+        .agg(F.sum("sold").alias("total_ordered"))
     )
     return leaders(counted, ["customer_id"], "total_ordered")
 
@@ -122,11 +130,11 @@ def before_member_totals(
     The date range is applied in an inner join, where either side may be broadcast; the members
     it loses come back in an outer join of one row per customer.
     """
-    bought = sales.join(menu, "product_id", "left").select(
+    bought = _sold(sales, "customer_id", "order_date").join(menu, "product_id", "left").select(
         "customer_id",
         "order_date",
-        F.col("product_id").isNotNull().cast("int").alias("n"),
-        F.col("price").alias("amount"),
+        F.when(F.col("product_id").isNotNull(), F.col("sold")).otherwise(0).alias("n"),
+        (F.col("price") * F.col("sold")).alias("amount"),
     )
     totals = (
         _with_membership(bought, members, ["n", "amount"], broadcast_rows)
@@ -146,9 +154,10 @@ def points_sushi(sales: DataFrame, menu: DataFrame, special: str = "sushi") -> D
     """Points per unit of price, doubled on one product."""
     factor = F.when(F.col("product_name") == special, BONUS).otherwise(1)
     return (
-        sales.join(menu, "product_id")
+        _sold(sales, "customer_id")
+        .join(menu, "product_id")
         .groupBy("customer_id")
-        .agg(F.sum(F.col("price") * POINTS_PER_UNIT * factor).alias("total_points"))
+        .agg(F.sum(F.col("price") * F.col("sold") * POINTS_PER_UNIT * factor).alias("total_points"))
     )
 
 
@@ -164,13 +173,14 @@ def points_first_week(
     special product doubled always. Purchases before joining count too."""
     is_special = F.col("product_name") == special
     bought = (
-        sales.where(F.col("order_date") <= F.lit(until))
+        _sold(sales.where(F.col("order_date") <= F.lit(until)), "customer_id", "order_date")
         .join(menu, "product_id")
+        .withColumn("amount", F.col("price") * F.col("sold"))
         .select(
             "customer_id",
             "order_date",
-            F.col("price").alias("amount"),
-            F.when(is_special, F.col("price")).otherwise(0).alias("special_amount"),
+            "amount",
+            F.when(is_special, F.col("amount")).otherwise(0).alias("special_amount"),
         )
     )
     in_week = F.col("order_date").between(

@@ -19,16 +19,19 @@ def customer_revenue_rank(orders: DataFrame, group_limit: int = GROUP_LIMIT) ->
     )
 
 
-def status_pivot(orders: DataFrame, statuses: Sequence[str]) -> DataFrame:
-    """Revenue per customer with one column per status; NULL where a customer has none."""
+def status_pivot(orders: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
+    """Revenue per customer with one column per status, and ``other`` for NULL and undeclared ones.
+
+    NULL where a customer has none. Without ``statuses`` those in the table are looked up.
+    """
     exact = orders.withColumn("sum", money("sum"))
-    return pivot_total(exact, "order_customer_id", "order_status", statuses, "sum")
+    return pivot_total(exact, "order_customer_id", "order_status", "sum", statuses)
 
 
 def monthly_revenue(orders: DataFrame) -> DataFrame:
     return orders.groupBy(year_month("order_date").alias("year_month")).agg(
         F.sum(money("sum")).alias("monthly_revenue")
-    )
+    ).orderBy("year_month")
 
 
 def last_order_per_customer(orders: DataFrame) -> DataFrame:

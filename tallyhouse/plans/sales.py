@@ -67,6 +67,7 @@ def orders_per_month(orders: DataFrame, as_of: dt.date, months: int = 12) -> Dat
         orders.where(F.col("orderDate") >= since)
         .groupBy(year_month("orderDate").alias("yearMonth"))
         .agg(F.count("*").alias("ordersCount"))
+        .orderBy("yearMonth")
     )
 
 
@@ -87,4 +88,4 @@ def customers_per_rep(employees: DataFrame, customers: DataFrame) -> DataFrame:
         "employeeNumber",
         full_name("firstName", "lastName").alias("employeeName"),
         F.coalesce("n", F.lit(0)).alias("customerCount"),
-    )
+    ).orderBy("employeeNumber")

@@ -14,10 +14,10 @@ def master(table):
     return table(
         SCHEMA,
         [
-            (101, "John", "111-111"),
-            (102, "Kiki", "222-222"),
-            (103, "Eshu", "333-333"),
-            (104, "Yashna", "444-444"),
+            (101, "Ada", "111-111"),
+            (102, "Bo", "222-222"),
+            (103, "Cleo", "333-333"),
+            (104, "Dan", "444-444"),
         ],
     )
 
@@ -25,23 +25,23 @@ def master(table):
 @pytest.fixture
 def updates(table):
     return table(
-        SCHEMA, [(101, "John M", "111-999"), (103, "Eshu", None), (105, "Eva", "555-555")]
+        SCHEMA, [(101, "Ada B", "111-999"), (103, "Cleo", None), (105, "Eva", "555-555")]
     )
 
 
 def test_merge_takes_nulls_of_matched_rows(master, updates, rows):
     assert rows(changes.merge_upsert(master, updates, ["customer_id"])) == [
-        (101, "John M", "111-999"),
-        (102, "Kiki", "222-222"),
-        (103, "Eshu", None),
-        (104, "Yashna", "444-444"),
+        (101, "Ada B", "111-999"),
+        (102, "Bo", "222-222"),
+        (103, "Cleo", None),
+        (104, "Dan", "444-444"),
         (105, "Eva", "555-555"),
     ]
 
 
 def test_merge_keeps_columns_the_source_does_not_carry(master, updates, rows):
     found = changes.merge_upsert(master, updates.drop("phone"), ["customer_id"])
-    assert rows(found)[0] == (101, "John M", "111-111")
+    assert rows(found)[0] == (101, "Ada B", "111-111")
     assert rows(found)[-1] == (105, "Eva", None)
 
 
@@ -53,10 +53,10 @@ def test_delete_missing(master, updates, rows):
 def test_update_by_key(master, updates, rows):
     found = changes.update_by_key(master, updates, ["customer_id"], ["phone"])
     assert rows(found) == [
-        (101, "John", "111-999"),
-        (102, "Kiki", "222-222"),
-        (103, "Eshu", None),
-        (104, "Yashna", "444-444"),
+        (101, "Ada", "111-999"),
+        (102, "Bo", "222-222"),
+        (103, "Cleo", None),
+        (104, "Dan", "444-444"),
     ]
 
 
@@ -76,3 +76,17 @@ _rows = st.dictionaries(
 def test_full_sync_equals_the_source(spark, old, new):
     target, source = spark.createDataFrame(old, SCHEMA), spark.createDataFrame(new, SCHEMA)
     assert rows_of(changes.full_sync(target, source, ["customer_id"])) == sorted(new, key=repr)
+
+
+def test_merge_keeps_the_order_of_the_columns(master, updates):
+    target = master.select("phone", "customer_id", "customer_name")
+    assert changes.merge_upsert(target, updates, ["customer_id"]).columns == target.columns
+
+
+def test_merge_stops_at_repeated_source_keys(master, updates, table):
+    twice = updates.unionByName(updates.limit(1))
+    for change in (changes.merge_upsert, changes.full_sync):
+        with pytest.raises(Exception, match="several source rows for one value of customer_id"):
+            change(master, twice, ["customer_id"]).collect()
+    nameless = table(SCHEMA, [(None, "x", "1"), (None, "y", "2")])
+    assert changes.merge_upsert(master, nameless, ["customer_id"]).count() == 6

@@ -80,3 +80,11 @@ def test_equals_one_line_at_a_time(spark, rows, seed, group_limit):
     filled = f.fill_lines(lines_df, items_df, ["seq"], group_limit)
     assert rows(filled) == sorted(expected, key=repr)
     assert dict(rows(f.remaining_stock(items_df, filled))) == left
+
+
+def test_large_and_missing_cart_ids_pass_unchanged(spark, rows):
+    lines = [(2**53 + 1, 1, 1, 5), (None, 2, 1, 5), (7, 3, 1, 5)]
+    items = spark.createDataFrame([(1, "x", 1, 10)], "item_id int, name string, price int, stock int")
+    schema = "cart_id bigint, seq int, item_id int, qty int"
+    filled = f.fill_lines(spark.createDataFrame(lines, schema), items, ["seq"])
+    assert rows(filled) == rows(spark.createDataFrame(lines[:2], schema))

@@ -97,10 +97,25 @@ def test_large_group_path_over_value_types(spark, kind, values):
     assert rows_of(spread.select("id", "rank")) == rows_of(plain.select("id", "rank"))
 
 
-def test_text_cannot_be_cut_into_slots(spark):
-    df = spark.createDataFrame([("a",), ("b",)], "v string")
-    with pytest.raises(TypeError, match="string"):
-        ranking.with_rank(df, "v", group_limit=1)
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("string", [None, "", "a", "a\x00", "abcdefg", "abcdefh", "é", "z", "\U0001f600", "a"]),
+        ("binary", [None, b"", b"\x00", b"\xff", b"abcdefgh", b"abcdefgi"]),
+        ("boolean", [True, False, None, True]),
+        ("array<int>", [[1], [1, 2], None, [0]]),
+    ],
+)
+def test_large_group_path_over_any_orderable_type(spark, kind, values):
+    df = spark.createDataFrame(list(enumerate(values)), f"id int, v {kind}")
+    for dense in (False, True):
+        plain = ranking.with_rank(df, "v", dense=dense, group_limit=100)
+        spread = ranking.with_rank(df, "v", dense=dense, group_limit=0)
+        assert rows_of(spread.select("id", "rank")) == rows_of(plain.select("id", "rank"))
+    order = [("v", False), ("id", False)]
+    plain = ranking.with_row_number(df, order, group_limit=100)
+    spread = ranking.with_row_number(df, order, group_limit=0)
+    assert rows_of(spread.select("id", "row_number")) == rows_of(plain.select("id", "row_number"))
 
 
 def test_large_group_path_spreads_one_group(spark):

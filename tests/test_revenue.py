@@ -28,16 +28,25 @@ def test_rank_keeps_gaps_after_ties(orders, rows, group_limit):
     ]
 
 
-def test_pivot_has_declared_columns_only(orders, rows):
-    found = revenue.status_pivot(orders, ["closed", "open", "lost"])
-    assert found.columns == ["order_customer_id", "closed", "open", "lost"]
+def test_pivot_loses_no_status(orders, rows, table):
+    more = table(orders.schema, [(5, 30, 2.0, dt.date(2024, 3, 1), None)])
+    found = revenue.status_pivot(orders.unionByName(more), ["closed", "lost"])
+    assert found.columns == ["order_customer_id", "closed", "lost", "other"]
     assert rows(found) == [
-        (10, Decimal("50.00"), Decimal("0.10"), None),
+        (10, Decimal("50.00"), None, Decimal("0.10")),
         (20, Decimal("50.10"), None, None),
-        (30, None, Decimal("7.00"), None),
+        (30, None, None, Decimal("9.00")),
     ]
 
 
+def test_pivot_looks_statuses_up(orders, rows):
+    found = revenue.status_pivot(orders)
+    assert found.columns == ["order_customer_id", "closed", "open", "other"]
+    assert rows(found)[0] == (10, Decimal("50.00"), Decimal("0.10"), None)
+    with pytest.raises(ValueError, match="other"):
+        revenue.status_pivot(orders, ["other"])
+
+
 def test_monthly_revenue(orders, rows):
     assert rows(revenue.monthly_revenue(orders)) == [
         ("2024-01", Decimal("50.00")),

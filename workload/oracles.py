@@ -351,8 +351,18 @@ ORACLES: dict[str, str] = {
         SELECT order_customer_id,
                CAST(sum(amount) FILTER (WHERE order_status = 'f') AS DOUBLE) AS f,
                CAST(sum(amount) FILTER (WHERE order_status = 'o') AS DOUBLE) AS o,
-               CAST(sum(amount) FILTER (WHERE order_status = 'p') AS DOUBLE) AS p
-        FROM revenue_orders GROUP BY order_customer_id"""),
+               CAST(sum(amount) FILTER (WHERE order_status IS NULL OR order_status = 'p') AS DOUBLE)
+                   AS other
+        FROM (SELECT * REPLACE (CASE WHEN order_id % 7 <> 0 THEN order_status END AS order_status)
+              FROM revenue_orders) GROUP BY order_customer_id"""),
+    "status_pivot_all": _with("revenue_orders", """
+        SELECT order_customer_id,
+               CAST(sum(amount) FILTER (WHERE order_status = 'f') AS DOUBLE) AS f,
+               CAST(sum(amount) FILTER (WHERE order_status = 'o') AS DOUBLE) AS o,
+               CAST(sum(amount) FILTER (WHERE order_status = 'p') AS DOUBLE) AS p,
+               CAST(sum(amount) FILTER (WHERE order_status IS NULL) AS DOUBLE) AS other
+        FROM (SELECT * REPLACE (CASE WHEN order_id % 7 <> 0 THEN order_status END AS order_status)
+              FROM revenue_orders) GROUP BY order_customer_id"""),
     "monthly_revenue": _with("revenue_orders", """
         SELECT strftime(order_date, '%Y-%m') AS year_month,
                CAST(sum(amount) AS DOUBLE) AS monthly_revenue FROM revenue_orders GROUP BY 1"""),

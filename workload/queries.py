@@ -57,6 +57,11 @@ def _staff(t: Tables) -> DataFrame:
     )
 
 
+def _with_unknown_statuses(t: Tables) -> DataFrame:
+    lost = F.col("order_id") % 7 == 0
+    return t.revenue_orders().withColumn("order_status", F.when(~lost, F.col("order_status")))
+
+
 def _pay_order(name: str = "salary") -> list[tuple[str, bool]]:
     return [(name, True), ("emp", False)]
 
@@ -277,7 +282,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "customers_per_rep": lambda t: sales.customers_per_rep(t.employees(), t.customers()),
     # order analytics
     "customer_revenue_rank": lambda t: revenue.customer_revenue_rank(t.revenue_orders()),
-    "status_pivot": lambda t: revenue.status_pivot(t.revenue_orders(), ORDER_STATUSES),
+    "status_pivot": lambda t: revenue.status_pivot(_with_unknown_statuses(t), ORDER_STATUSES[:2]),
+    "status_pivot_all": lambda t: revenue.status_pivot(_with_unknown_statuses(t)),
     "monthly_revenue": lambda t: revenue.monthly_revenue(t.revenue_orders()),
     "last_order_per_customer": lambda t: revenue.last_order_per_customer(t.revenue_orders()),
     "churned": lambda t: revenue.churned(t.revenue_orders(), CHURN_DAYS),
