@@ -7,21 +7,24 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _checkpoint_folder(spark: SparkSession) -> str | None:
-    """The cluster's shared checkpoint folder; in local mode one is made when none is set."""
+def _use_checkpoint_folder(spark: SparkSession) -> None:
+    """Use the folder of spark.checkpoint.dir. Only in local mode one is made where it is unset; on a
+    cluster a missing setting is an error, as a folder of one machine would not be shared."""
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and context.master.startswith("local"):
+    if context.getCheckpointDir():
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    if folder and not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+    context.setCheckpointDir(folder)
 
 
 def saved(df: DataFrame) -> DataFrame:
     """The same rows, computed once and read back from the checkpoint folder.
 
-    Losing an executor then costs a re-read, not a recomputation. Without a shared folder the
-    result is left as it is: still right, only computed again by each reader.
+    Losing an executor then costs a re-read, not a recomputation.
     """
-    return df.checkpoint() if _checkpoint_folder(df.sparkSession) else df
+    _use_checkpoint_folder(df.sparkSession)
+    return df.checkpoint()

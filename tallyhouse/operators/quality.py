@@ -1,6 +1,7 @@
 """Data-quality rules that report failing rows instead of stopping at the first failure.
 
-All row-level rules of a table share one aggregation; each uniqueness rule adds one grouped count.
+All row-level rules of a table and one uniqueness rule share one aggregation; each further uniqueness
+rule adds a grouped count.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def _report(df: DataFrame, table: str, rows: list) -> DataFrame:
     return df.select(F.inline(F.array(*cells)))
 
 
-def _row_rules(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame | None:
+def _row_rules(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     aggregates, rows = [], []
     for i, rule in enumerate(rules):
         name = f"__r{i}"
@@ -74,8 +75,6 @@ def _row_rules(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame |
             bad = F.lit(0) if right else F.count("*")
             aggregates.append(bad.alias(name))
             rows.append((f"has_type({rule.column},{rule.type_name})", F.col(name)))
-    if not rows:
-        return None
     return _report(df.agg(*aggregates), table, rows)
 
 
@@ -89,14 +88,46 @@ def _unique_rule(df: DataFrame, rule: Unique, table: str) -> DataFrame:
     return _report(failed, table, [(f"unique({','.join(rule.columns)})", F.col("__failed"))])
 
 
+def _one_pass(df: DataFrame, rules: Sequence[Rule], unique: Unique, table: str) -> DataFrame:
+    """All row rules and one uniqueness rule from one grouping by its key: the table is read once."""
+    nulls = {r.column: F.count_if(F.col(r.column).isNull()) for r in rules if isinstance(r, NotNull)}
+    per_key = df.groupBy(*unique.columns).agg(
+        F.count("*").alias("__n"), *[n.alias(f"__null_{c}") for c, n in nulls.items()]
+    )
+    some_key = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in unique.columns])
+    repeated = F.when(some_key & (F.col("__n") > 1), F.col("__n"))
+    added = {"__rows": F.col("__n"), "__repeated": repeated}
+    added |= {f"__null_{c}": F.col(f"__null_{c}") for c in nulls}
+    totals = per_key.agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(k) for k, v in added.items()])
+    rows = []
+    for rule in rules:
+        if isinstance(rule, MinRows):
+            missing = F.greatest(rule.count - F.col("__rows"), F.lit(0))
+            rows.append((f"min_rows({rule.count})", missing))
+        elif isinstance(rule, NotNull):
+            rows.append((f"not_null({rule.column})", F.col(f"__null_{rule.column}")))
+        elif isinstance(rule, HasType):
+            right = df.schema[rule.column].dataType.simpleString() == rule.type_name
+            bad = F.lit(0) if right else F.col("__rows")
+            rows.append((f"has_type({rule.column},{rule.type_name})", bad))
+        elif rule == unique:
+            rows.append((f"unique({','.join(rule.columns)})", F.col("__repeated")))
+    return _report(totals, table, rows)
+
+
 def validate(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
-    """(table_name, rule, failed_rows, success), one row per rule."""
-    parts = [_unique_rule(df, r, table) for r in rules if isinstance(r, Unique)]
-    row_part = _row_rules(df, rules, table)
-    if row_part is not None:
-        parts.insert(0, row_part)
-    if not parts:
+    """(table_name, rule, failed_rows, success), one row per rule.
+
+    With a uniqueness rule, its grouping answers all other rules as well; only further uniqueness
+    rules read the table again.
+    """
+    if not rules:
         raise ValueError(f"no rules for {table}")
+    unique = [r for r in rules if isinstance(r, Unique)]
+    if not unique:
+        return _row_rules(df, rules, table)
+    parts = [_one_pass(df, rules, unique[0], table)]
+    parts += [_unique_rule(df, r, table) for r in unique[1:] if r != unique[0]]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -181,7 +181,8 @@ def _dq_gold() -> str:
     }
     parts = []
     for name, (keys, select) in tables.items():
-        source = f"({_rollup(select, 'count(*) AS n_rows', lost)})"
+        rollup = _rollup(select, "count(*) AS n_rows", lost)
+        source = f"(WITH r AS ({rollup}) FROM r UNION ALL FROM r WHERE country = 'click')"
         parts.append(_min_rows(name, source))
         parts += [_not_null(name, k, source) for k in keys]
         parts.append(_unique(name, keys, source))

@@ -164,12 +164,18 @@ def _dedup_latest(t: Tables) -> DataFrame:
 
 
 def _dq_gold(t: Tables) -> DataFrame:
-    """Videos of the error feed have lost their country, which the key rules must report."""
+    """Videos of the error feed have lost their country, and the stored rollups hold the rows of one
+    country twice: the key rules must report both."""
     videos = gold.with_month(
         t.silver_videos().withColumn("country", F.nullif("country", F.lit("error")))
     )
     tables = {name: r.delta(videos) for name, r in gold.ROLLUPS.items()}
-    return validate_all(tables, gold.gold_suites())
+    copies = F.when(F.col("country") == "click", F.lit(2)).otherwise(1)
+    stored = {
+        name: df.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__copy")
+        for name, df in tables.items()
+    }
+    return validate_all(stored, gold.gold_suites())
 
 
 def _dq_silver(t: Tables) -> DataFrame:
