@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tallyhouse
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark context, as --py-files would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    top = Path(tallyhouse.__file__).parent
+    target = Path(tempfile.mkdtemp()) / "tallyhouse-src.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted(top.rglob("*.py")):
+            out.write(source, source.relative_to(top.parent))
+    context.addPyFile(str(target))
+
 
 def crc_remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key written as text, modulo modulus; null for a null key."""
