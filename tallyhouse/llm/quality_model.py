@@ -17,6 +17,7 @@ SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 MAX_DOCS = 16_000  # labelled rows the model is fitted on at most, the first by a hash of doc_id
 EPOCHS = 3
+LEAST_UPDATES = 12_000  # small samples are gone through more often
 THRESHOLD = 0.7
 HELD_OUT = (4, 2)  # crc32(doc_id) modulo 4 is 2
 
@@ -51,7 +52,8 @@ def features(part: tx.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def train(examples: list[tuple[np.ndarray, np.ndarray, int]], ftrl: Ftrl = Ftrl(), epochs: int = EPOCHS) -> np.ndarray:
-    """Weights of the slots; the last place is the bias. One pass after the other, row by row.
+    """Weights of the slots; the last place is the bias. One pass after the other, row by row: ``epochs``
+    times, and LEAST_UPDATES updates at least.
 
     The bias is the log-odds of the labels, which is what a text without any known word gets.
     """
@@ -63,7 +65,7 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], ftrl: Ftrl = Ftrl(
         rate = (ftrl.beta + np.sqrt(n[at])) / ftrl.alpha + ftrl.l2
         return np.where(np.abs(z[at]) <= ftrl.l1, 0.0, (np.sign(z[at]) * ftrl.l1 - z[at]) / rate)
 
-    for _ in range(epochs):
+    for _ in range(max(epochs, LEAST_UPDATES // max(len(examples), 1))):
         for at, x, label in examples:
             w = weights(at)
             g = (1 / (1 + np.exp(-np.clip(w @ x + bias, -35, 35))) - label) * x
