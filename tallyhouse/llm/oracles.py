@@ -145,7 +145,7 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 
 _SHARES = {
     "symbol_share": "n_symbols / greatest(word_chars, 1)",
-    "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
+    "dup_line_share": f"n_dup_lines / greatest(n_lines, {rules.FEW_LINES})",
     "repeat_share": "n_repeat_words / greatest(n_words, 1)",
     "word_length": "word_chars / greatest(n_words, 1)",
 }

@@ -25,6 +25,7 @@ SPREAD = 3.0  # fences stand this many quartile distances outside the quartiles
 #: Smallest distance of the fences from the median: shares of characters, lines, words; characters a word.
 SLACK = {"symbol_share": 0.08, "dup_line_share": 0.25, "repeat_share": 0.3, "word_length": 3.0}
 TWO_SIDED = ("word_length",)
+FEW_LINES = 8  # texts of fewer lines count as having so many: one repeated line is no pattern yet
 _SYMBOL = tx.byte_class(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
 _COUNTS = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 
@@ -85,10 +86,10 @@ def base_failed() -> Column:
 
 
 def _shares() -> dict[str, Column]:
-    over = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
+    over = lambda a, b, least=1: F.col(a) / F.greatest(F.col(b), F.lit(least))
     return {
         "symbol_share": over("n_symbols", "word_chars"),
-        "dup_line_share": over("n_dup_lines", "n_lines"),
+        "dup_line_share": over("n_dup_lines", "n_lines", FEW_LINES),
         "repeat_share": over("n_repeat_words", "n_words"),
         "word_length": over("word_chars", "n_words"),
     }
