@@ -109,6 +109,13 @@ def test_jdbc_options():
     assert "numPartitions" not in jdbc.read_options("jdbc:x:y", "t", {})
 
 
+def test_marks_reach_the_database():
+    assert jdbc.rows_query("videos") == jdbc.rows_query("videos", jdbc.Newer("ts", None))
+    newer = jdbc.Newer("publish_time", "2017-11-13T17:00:00.000Z' OR 'x")
+    expected = "SELECT * FROM videos WHERE publish_time > '2017-11-13T17:00:00.000Z'' OR ''x'"
+    assert jdbc.rows_query("videos", newer) == expected
+
+
 def test_publish_reports_tables_without_data(spark, tmp_path, table, monkeypatch):
     sent = []
     monkeypatch.setattr(jdbc, "write_table", lambda df, url, name, props: sent.append((name, df.count())))
