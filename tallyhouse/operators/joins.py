@@ -13,13 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# A table of this many short rows fits the memory of every task with room to spare.
+# A table within both bounds fits the memory of every task with room to spare.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
+_ROW_BYTES = 32
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``rows`` rows, counted now."""
-    return df.count() <= rows
+    """Whether the table has at most ``rows`` rows and BROADCAST_BYTES of values, measured now.
+
+    The table is read for it: pass a stored one, or columns that are cheap to read.
+    """
+    width = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+    size = F.sum(reduce(lambda a, b: a + b, width, F.lit(_ROW_BYTES)))
+    n, total = df.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return n <= rows and total <= BROADCAST_BYTES
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:

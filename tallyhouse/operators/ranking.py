@@ -142,9 +142,8 @@ def _attach_places(
     slots: int,
 ) -> DataFrame:
     """Add an expression over ``__rank`` and ``__dense``, computed on ``df``, to ``rows``."""
-    places = _value_places(df, keys, value, descending, slots).select(*keys, value, place)
-    few = is_small(df.select(*keys, value).distinct())
-    return attach(rows, places, [*keys, value], broadcast=few)
+    places = saved(_value_places(df, keys, value, descending, slots).select(*keys, value, place))
+    return attach(rows, places, [*keys, value], broadcast=is_small(places))
 
 
 def with_rank(
@@ -158,11 +157,11 @@ def with_rank(
     save: bool = False,
 ) -> DataFrame:
     """Add the rank (or dense rank) of ``value`` inside each group; no keys ranks the table."""
+    df = saved(df) if save else df
     if _groups_fit(df, keys, group_limit):
         window = Window.partitionBy(*keys).orderBy(_sorted(value, descending))
         place = F.dense_rank() if dense else F.rank()
         return df.withColumn(name, place.over(window).cast("bigint"))
-    df = saved(df) if save else df
     place = F.col("__dense" if dense else "__rank").alias(name)
     slots = _slot_count(df, group_limit)
     return _attach_places(df, df, keys, value, place, descending, slots)
@@ -271,11 +270,12 @@ def with_group_value(
 ) -> DataFrame:
     """Add a group aggregate to every row, aggregating map-side first and joining it back.
 
-    With few groups the totals are broadcast, so the rows are not shuffled by a possibly hot key.
+    The totals are computed once and saved. With few groups they are broadcast, so the rows are not
+    shuffled by a possibly hot key.
     """
     if not keys:
         return df.withColumn(name, df.agg(aggregate).scalar())
-    totals = df.groupBy(*keys).agg(aggregate.alias(name))
+    totals = saved(df.groupBy(*keys).agg(aggregate.alias(name)))
     return attach(df, totals, keys, broadcast=is_small(totals))
 
 
@@ -309,9 +309,8 @@ def nth_value_rows(df: DataFrame, keys: Sequence[str], value: str, n: int) -> Da
         .where(F.col("__place") == n)
         .drop("__place")
     )
-    # At most one value per group, so few groups mean few values.
-    few = is_small(df.select(*keys).distinct())
-    return attach(df, nth, [*keys, value], broadcast=few)
+    nth = saved(nth)  # at most one value per group
+    return attach(df, nth, [*keys, value], broadcast=is_small(nth))
 
 
 def top_rows(df: DataFrame, value: str, tie_break: Sequence[str], k: int, skip: int = 0) -> DataFrame:

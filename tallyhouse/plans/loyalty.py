@@ -115,6 +115,7 @@ def _with_membership(
     Few members are broadcast. Many are joined with customer-day totals, so that a busy customer
     reaches the join, and the grouping by customer after it, with one row per day.
     """
+    members = members.select("customer_id", "join_date")
     small = small_side(members, broadcast_rows)
     if small is not None:
         return bought.join(small, "customer_id")
