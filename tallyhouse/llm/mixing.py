@@ -17,7 +17,7 @@ SHARE = 1.5  # the mix's size as a part of all sizes
 EPOCHS = 2  # a document is taken this often at most
 KEY_BITS = 60
 SLOT_BITS = 12  # 4096 slots of the shuffle key in each source
-FINISH_SLOTS = 1 << 19  # slots for each unit of virtual time
+FINISH_SLOTS = 1 << 13  # slots for each unit of virtual time; one window sees four times as many rows
 
 
 def word_count(text: Column) -> Column:
@@ -119,45 +119,28 @@ def mix(
     ).where("size > 0 and place.finish is not null")
     slot_of = F.least(F.col("place.finish") * FINISH_SLOTS, F.lit(4.0 * FINISH_SLOTS)).cast("int")
     copies = copies.withColumn("time_slot", slot_of)
-    budget = aims.agg(F.sum("target").alias("budget")).withColumn("one", F.lit(1))
-    # the slots of finish time: at most 4 * FINISH_SLOTS + 1 rows
+    budget = aims.agg(F.sum("target")).scalar()
     passed = W.orderBy("time_slot").rowsBetween(W.unboundedPreceding, W.currentRow)
     times = (
-        copies.groupBy("time_slot")
-        .agg(F.sum("size").alias("in_slot"))
-        .withColumn("passed", F.sum("in_slot").over(passed))
-        .withColumn("one", F.lit(1))
-        .join(F.broadcast(budget), "one")
+        copies.groupBy("time_slot").agg(F.sum("size").alias("in_slot")).withColumn("passed", F.sum("in_slot").over(passed))
     )
-    over = times.where("passed > budget").groupBy("one").agg(
-        F.min(F.struct("time_slot", "passed", "in_slot", "budget")).alias("cut")
-    )
-    over = over.select(
-        "one",
-        F.col("cut.time_slot").alias("time_slot"),
-        (F.col("cut.passed") - F.col("cut.in_slot")).alias("before"),
-        F.col("cut.budget").alias("budget"),
-    )
-    last_slot = copies.join(F.broadcast(over), "time_slot").withColumn(
-        "reached", F.col("before") + F.sum("size").over(W.partitionBy("time_slot").orderBy("place"))
-    )
-    last = last_slot.where("reached <= budget").groupBy("one").agg(F.max("place").alias("last_place"))
-    limit = over.join(last, "one", "left").select(
-        "one", F.col("time_slot").alias("cut_slot"), "last_place"
-    )
-    # one row: the slot of the cut and the last copy that is still taken there
-    marked = queued.withColumn("one", F.lit(1)).join(F.broadcast(limit), "one", "left")
+    cut_slot = times.where(F.col("passed") > budget).agg(F.min("time_slot")).scalar()
+    before = times.where(F.col("passed") <= budget).agg(F.coalesce(F.max("passed"), F.lit(0))).scalar()
+    reached = before + F.sum("size").over(W.partitionBy("time_slot").orderBy("place"))
+    last_slot = copies.where(F.col("time_slot") == cut_slot).withColumn("reached", reached)
+    last_place = last_slot.where(F.col("reached") <= budget).agg(F.max("place")).scalar()
 
     def taken(e: int) -> Column:
         slot = F.least(finish(e) * FINISH_SLOTS, F.lit(4.0 * FINISH_SLOTS)).cast("int")
-        until = (slot < F.col("cut_slot")) | (
-            (slot == F.col("cut_slot")) & F.coalesce(place(e) <= F.col("last_place"), F.lit(False))
+        until = (slot < F.col("cut")) | (
+            (slot == F.col("cut")) & F.coalesce(place(e) <= F.col("last_place"), F.lit(False))
         )
         return F.when(finish(e).isNull() | (F.col("size") == 0), 0).otherwise(
             F.coalesce(until, F.lit(True)).cast("int")
         )
 
     count = sum((taken(e) for e in range(1, epochs)), taken(0))
+    marked = queued.withColumns({"cut": cut_slot, "last_place": last_place})
     return marked.select(
         "doc_id",
         "source",
