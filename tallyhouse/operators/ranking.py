@@ -298,10 +298,10 @@ def leaders(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.withColumn("__place", F.rank().over(window)).where("__place <= 1").drop("__place")
 
 
-def nth_value_rows(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
-    """All rows that hold the n-th highest distinct value of their group."""
+def nth_values(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+    """The n-th highest distinct value of each group that has one."""
     window = Window.partitionBy(*keys).orderBy(F.col(value).desc())
-    nth = (
+    return (
         df.select(*keys, value)
         .distinct()
         .withColumn("__place", F.dense_rank().over(window))
@@ -309,7 +309,11 @@ def nth_value_rows(df: DataFrame, keys: Sequence[str], value: str, n: int) -> Da
         .where(F.col("__place") == n)
         .drop("__place")
     )
-    nth = saved(nth)  # at most one value per group
+
+
+def nth_value_rows(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+    """All rows that hold the n-th highest distinct value of their group."""
+    nth = saved(nth_values(df, keys, value, n))  # at most one value per group
     return attach(df, nth, [*keys, value], broadcast=is_small(nth))
 
 

@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry
 from __spark_entry__ import queries as registered
+from tallyhouse.operators.ranking import nth_values
 from tallyhouse.plans import loyalty
 from tests.compare import DATA, connect, difference
 from workload.oracles import ORACLES
@@ -54,12 +55,19 @@ def test_no_query_pairs_all_rows(spark, no_broadcast, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["top_item_per_customer", "dedup_latest", "nth_per_group", "clean_events", "cart_accepted"]
+    "name", ["top_item_per_customer", "dedup_latest", "clean_events", "cart_accepted"]
 )
 def test_losers_are_dropped_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit.*Partial", plan(spark, name))
 
 
+def test_lower_values_are_dropped_before_the_shuffle(spark):
+    orders = Tables(spark, FOLDER).read("orders")
+    nth = nth_values(orders, ["o_orderpriority"], "o_totalprice", 3)
+    text = nth._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit.*Partial", text)
+
+
 def test_many_anchors_meet_one_row_per_day(spark, no_broadcast):
     t = Tables(spark, FOLDER)
     found = loyalty.first_item_after(t.loyalty_sales(), t.menu(), t.members(), broadcast_rows=0)
