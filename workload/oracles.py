@@ -548,3 +548,19 @@ ORACLES: dict[str, str] = {
         SELECT i.item_id, i.name, CAST(i.price AS DOUBLE) AS price, r.remaining AS stock
         FROM items i JOIN remaining r ON i.item_id = r.item_id"""),
 }
+
+# The revenue questions once more, over what is left of the raw orders after cleaning.
+_CLEANED = _with(
+    "first_raw raw_orders typed_orders unique_orders complete_orders valid_orders", ""
+).rstrip() + """, revenue_orders AS (
+    SELECT order_id, order_customer_id, CAST("sum" AS DECIMAL(18, 2)) AS amount, order_date,
+           order_status FROM valid_orders) """
+for _question in ("customer_revenue_rank", "monthly_revenue", "churned"):
+    ORACLES[f"clean_{_question}"] = _CLEANED + ORACLES[_question].removeprefix(
+        _with("revenue_orders", "")
+    )
+ORACLES["clean_status_pivot"] = _CLEANED + """
+    SELECT order_customer_id,
+           CAST(sum(amount) FILTER (WHERE order_status = 'o') AS DOUBLE) AS o,
+           CAST(sum(amount) FILTER (WHERE order_status IS DISTINCT FROM 'o') AS DOUBLE) AS other
+    FROM revenue_orders GROUP BY order_customer_id"""

@@ -62,6 +62,10 @@ def _with_unknown_statuses(t: Tables) -> DataFrame:
     return t.revenue_orders().withColumn("order_status", F.when(~lost, F.col("order_status")))
 
 
+def _cleaned(t: Tables) -> DataFrame:
+    return cleaning.clean_orders(t.raw_orders())
+
+
 def _pay_order(name: str = "salary") -> list[tuple[str, bool]]:
     return [(name, True), ("emp", False)]
 
@@ -329,6 +333,10 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "union_by_name": _union_by_name,
     # cleaning
     "clean_orders": lambda t: cleaning.clean_orders(t.raw_orders()),
+    "clean_customer_revenue_rank": lambda t: revenue.customer_revenue_rank(_cleaned(t)),
+    "clean_monthly_revenue": lambda t: revenue.monthly_revenue(_cleaned(t)),
+    "clean_churned": lambda t: revenue.churned(_cleaned(t), CHURN_DAYS),
+    "clean_status_pivot": lambda t: revenue.status_pivot(_cleaned(t), ["o"]),
     "clean_audit": lambda t: cleaning.audit_orders(t.raw_orders()),
     "clean_events": _clean_events,
     "dedup_full": lambda t: dedup.distinct_rows(t.read("documents").select("text", "lang", "source")),
