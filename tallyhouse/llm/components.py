@@ -21,6 +21,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     )
+    known = _sums(edges)
     for _ in range(MOST_ROUNDS):
         # large star: every neighbour larger than the node moves to the smallest of node and neighbours
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -38,7 +39,8 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         small = stored(small)
-        if _same(edges, small):
+        before, known = known, _sums(small)
+        if before == known:
             return small.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
                 small.select("b", "b").distinct()
             )
@@ -46,10 +48,7 @@ def components(links: DataFrame) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
-def _sums(edges: DataFrame):
+def _sums(edges: DataFrame) -> tuple:
+    """Count and hash sums of the rows: equal for equal sets of rows."""
     hashed = F.xxhash64("a", "b")
-    return edges.agg(F.count(F.lit(1)), F.sum(hashed.cast("decimal(20,0)")), F.bit_xor(hashed)).first()
-
-
-def _same(x: DataFrame, y: DataFrame) -> bool:
-    return tuple(_sums(x)) == tuple(_sums(y))
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(hashed.cast("decimal(20,0)")), F.bit_xor(hashed)).first())

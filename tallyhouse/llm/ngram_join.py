@@ -31,8 +31,9 @@ from tallyhouse.llm.components import components
 from tallyhouse.llm.frames import in_arrow
 from tallyhouse.llm.storage import stored
 
-FREQUENCY_BITS = 18  # the table of counts has 2**18 places, 2 MB
+FREQUENCY_BITS = 20  # the table of counts has 2**20 places, 2 MB
 RARITY_BITS = 14  # counts above 2**14 - 1 are told apart no more
+PACKED = 1 << 12  # places in a row of the packed table
 LONG_LIST = 64  # lists with more classes are compared in blocks
 BLOCK = 1024  # sets in a block
 
@@ -93,10 +94,22 @@ def frequencies(docs: DataFrame, grams: Grams) -> np.ndarray:
         at = np.flatnonzero(total)
         yield from pa.table({"place": at.astype(np.int32), "n": total[at]}).to_batches()
 
-    counts = docs.select("text").mapInArrow(over, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    found = counts.toArrow()
-    table = np.zeros(size, np.int64)
-    table[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    counts = docs.select("text").mapInArrow(over, "place int, n long").groupBy("place").agg(
+        F.least(F.sum("n"), F.lit((1 << RARITY_BITS) - 1)).cast("short").alias("n")
+    )
+
+    def pack(rows):
+        import pandas as pd
+
+        block = np.zeros(PACKED, np.int16)
+        block[rows["place"].to_numpy() % PACKED] = rows["n"].to_numpy()
+        return pd.DataFrame({"block": [rows["place"].iloc[0] // PACKED], "n": [block.tobytes()]})
+
+    # the driver gets the table in a few hundred rows of two bytes a place
+    packed = counts.groupBy((F.col("place") / PACKED).cast("int")).applyInPandas(pack, "block int, n binary")
+    table = np.zeros(size, np.int16)
+    for row in packed.collect():
+        table[row["block"] * PACKED : (row["block"] + 1) * PACKED] = np.frombuffer(row["n"], np.int16)
     return table
 
 
@@ -116,8 +129,7 @@ def signatures(docs: DataFrame, grams: Grams) -> DataFrame:
             size = np.diff(first)
             both = [tx.sums_by_row(tx.mixed(gram + np.uint64(salt)), first) for salt in (1, 2)]
             rare = table.value[(gram >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]
-            rare = np.minimum(rare, (1 << RARITY_BITS) - 1)
-            number = (rare << (63 - RARITY_BITS)) | (tx.mixed(gram) >> np.uint64(1 + RARITY_BITS)).astype(np.int64)
+            number = (rare.astype(np.int64) << (63 - RARITY_BITS)) | (tx.mixed(gram) >> np.uint64(1 + RARITY_BITS)).astype(np.int64)
             number = number[np.lexsort((number, row))]  # rows stay where they are
             rank = np.arange(len(row)) - first[row]
             keep = rank < grams.prefix(size)[row]
@@ -366,9 +378,13 @@ def links(docs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
     other = short.select("gram", F.col("doc_id").alias("o_doc"), F.col("label").alias("o_label"), F.col("size_block").alias("o_block"))
     near = (F.col("doc_id") < F.col("o_doc")) & (F.abs(F.col("size_block") - F.col("o_block")) <= 1)
     open_pairs = short.join(other, "gram").where(near & (F.col("label") != F.col("o_label")))
-    found = found.union(compare(pairs(open_pairs, "doc_id", "o_doc"), docs, classes, grams))
+    open_pairs = stored(pairs(open_pairs, "doc_id", "o_doc"))
+    if not open_pairs.isEmpty():
+        found = found.union(compare(open_pairs, docs, classes, grams))
     long = rest.where(F.col("members") > LONG_LIST)
-    return found.union(_rest_of_long_lists(long, docs, grams))
+    if not long.isEmpty():
+        found = found.union(_rest_of_long_lists(long, docs, grams))
+    return found
 
 
 def join(docs: DataFrame, grams: Grams = Grams()) -> DataFrame:
