@@ -25,7 +25,7 @@ WORD_BITS, WORD_DIM = 18, 8  # 8 MB of embeddings; with fewer slots, harmless wo
 GRAM = 5  # bytes of a character gram, the word's border included
 GRAM_BITS, GRAM_DIM = 14, 8
 HIDDEN = 8
-MAX_DOCS = 3_000  # of each label; the first by a hash of doc_id
+MAX_DOCS = 2_000  # of each label; the first by a hash of doc_id
 MAX_WINDOWS = 12  # training windows of a document without the label, spread evenly over it
 LEAST_STEPS = 50
 DROPPED = 0.3  # part of the words read by their characters only, in training
@@ -62,6 +62,14 @@ def read(data: np.ndarray, bounds: np.ndarray) -> Words:
     return Words((h >> np.uint64(64 - WORD_BITS)).astype(np.int32), gram.astype(np.int32), first, w.first)
 
 
+def _joined(parts: list[Words]) -> Words:
+    """The words of several slices as one; slices are read one by one to keep the arrays between small."""
+    word, gram = (np.concatenate([getattr(p, k) for p in parts]) for k in ("word", "gram"))
+    size = np.concatenate([np.diff(p.gram_first) for p in parts])
+    count = np.concatenate([np.diff(p.first) for p in parts])
+    return Words(word, gram, np.concatenate([[0], np.cumsum(size)]), np.concatenate([[0], np.cumsum(count)]))
+
+
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every text: its windows' row, first word, and number of words. A text without words has one empty window."""
     size = np.diff(first)
@@ -349,12 +357,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Network
         held = list(batches)
         if not held:
             return
-        table = pa.Table.from_batches(held)
-        column = table.column("text").cast(pa.large_binary()).combine_chunks()
-        column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
-        part = next(tx.slices(column, most=1 << 62))
-        label = table.column("label").to_numpy()
-        net = train(read(part.data, part.bounds), label)
+        parts = [read(p.data, p.bounds) for batch in held for p in tx.slices(batch.column("text"))]
+        label = np.concatenate([batch.column("label").to_numpy() for batch in held])
+        net = train(_joined(parts), label)
         yield pa.RecordBatch.from_pydict({k: [getattr(net, k).tobytes()] for k in net.names()})
 
     # 2 * max_docs pairs of numbers are broadcast; the bounded sample is read by one task
