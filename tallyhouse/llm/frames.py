@@ -47,6 +47,18 @@ def digits(key: Column, salt: str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+#: Rows in an Arrow batch at most: whole texts are long, and two tasks of an executor hold several batches.
+BATCH_ROWS = 1_000
+
+
+def prepare(spark: SparkSession) -> None:
+    """What a session needs before it runs these operators: the package, and batches of bounded size."""
+    ship_package(spark)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def in_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], pa.Table | None], schema) -> DataFrame:
     """mapInArrow with a function from one batch to one table (or None)."""
 

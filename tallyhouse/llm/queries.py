@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import chat, decontamination, language, mixing, ngram_join, quality_model, rules, sharding, suffix_dedup, toxicity
-from tallyhouse.llm.frames import ship_package
+from tallyhouse.llm.frames import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
