@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import decontamination, mixing, ngram_join, sharding, toxicity
-from tallyhouse.llm.frames import ship_package
+from tallyhouse.llm.frames import prepare
 from tallyhouse.llm.storage import stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity network, trained on labels, rejects go."""
-    ship_package(spark)
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     labels = labels.select("doc_id", F.col("toxic").alias("label"))
     return toxicity.without_toxic(docs, labels)
@@ -24,13 +24,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a Jaccard similarity of 0.8 of five-word shingles, the smallest id stays."""
-    ship_package(spark)
+    prepare(spark)
     return ngram_join.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark passages make up a twentieth or more go."""
-    ship_package(spark)
+    prepare(spark)
     return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
