@@ -296,9 +296,12 @@ def _word_evidence(words: Words, label: np.ndarray) -> np.ndarray:
     return np.log((held[1] + 1) / (expected + 1))[words.word]
 
 
-def train(words: Words, label: np.ndarray, seed: int = 11) -> Network:
+def train(words: Words, label: np.ndarray, prior: float = 0.0, seed: int = 11) -> Network:
     """Fit on texts of which only the whole is labelled.
 
+    prior is the logarithm of how much rarer label 1 is in these texts than where they were drawn from, given
+    as odds; it goes to the bias, so that scores are probabilities there and not in the sample.
+
     Of a text with label 1 one cannot know which windows earn it. At first those are taken as examples
     that hold its most telling word, then those that the network itself scores highest or above one half;
     its other windows are left out. Of texts with label 0, MAX_WINDOWS windows at most are examples,
@@ -328,7 +331,16 @@ def train(words: Words, label: np.ndarray, seed: int = 11) -> Network:
     best = np.full(len(label), -np.inf)
     np.maximum.at(best, row, z)
     a, b = _calibration(best, label)
-    return replace(net, out=np.append(a * net.out[:-1], a * net.out[-1] + b).astype(np.float32))
+    return replace(net, out=np.append(a * net.out[:-1], a * net.out[-1] + b + prior).astype(np.float32))
+
+
+def _prior(label: np.ndarray, labelled: dict[int, int]) -> float:
+    """Log of the odds of label 1 among all labelled rows, over those in the sample; 0 without two labels."""
+    held = {y: int((label == y).sum()) for y in (0, 1)}
+    if not all(held.values()):
+        return 0.0
+    drawn = {y: held[y] / max(labelled.get(y, 0), held[y]) for y in held}
+    return float(np.log(drawn[0] / drawn[1]))
 
 
 def _calibration(best: np.ndarray, label: np.ndarray, turns: int = 30) -> tuple[float, float]:
@@ -346,12 +358,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Network
     """Fit on labelled rows that are not held out, max_docs of each label at most.
 
     labels has doc_id and label; null labels are left out, of repeated ones the largest counts. Without
-    two labels the network gives every text the same score.
+    two labels the network gives every text the same score. The share of each label is counted over all
+    of these rows, so scores do not depend on how many of them max_docs leaves.
     """
     known = labels.where(F.col("label").isNotNull() & ~held_out(F.col("doc_id"), *HELD_OUT))
     known = known.groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     by_hash = lambda rows: rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     sample = by_hash(known.where("label = 1")).union(by_hash(known.where("label = 0")))
+    rows_of = docs.groupBy("doc_id").agg(F.count("*").alias("n")).join(known.where("label IN (0, 1)"), "doc_id")
+    labelled = {r.label: r.n for r in rows_of.groupBy("label").agg(F.sum("n").alias("n")).collect()}
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
@@ -359,7 +374,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Network
             return
         parts = [read(p.data, p.bounds) for batch in held for p in tx.slices(batch.column("text"))]
         label = np.concatenate([batch.column("label").to_numpy() for batch in held])
-        net = train(_joined(parts), label)
+        net = train(_joined(parts), label, _prior(label, labelled))
         yield pa.RecordBatch.from_pydict({k: [getattr(net, k).tobytes()] for k in net.names()})
 
     # 2 * max_docs pairs of numbers are broadcast; the bounded sample is read by one task

@@ -6,6 +6,7 @@ from dataclasses import replace
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import language, quality_model, toxicity
 from tallyhouse.llm import text as tx
@@ -45,6 +46,19 @@ def test_toxicity_of_held_out_documents(spark):
     assert np.mean(clean) < 0.05 and np.mean(toxic) > 0.6
 
 
+def test_toxicity_keeps_the_share_of_labels_that_its_sample_cuts(spark):
+    ids = [i for i in range(400) if not held_out(i, *toxicity.HELD_OUT)]
+    rows = [(i, f"some plain words {i} " + ("vile" if i % 10 == 0 else "kind")) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in ids], "doc_id long, label int")
+    first = [r.doc_id for y in (0, 1) for r in labels.where(f"label = {y}").orderBy(F.xxhash64("doc_id")).limit(6).collect()]
+    cut = toxicity.fit(docs, labels, max_docs=6)
+    even = toxicity.fit(docs, labels.where(F.col("doc_id").isin(first)), max_docs=6)
+    toxic = sum(i % 10 == 0 for i in ids)
+    assert np.allclose(cut.out[:-1], even.out[:-1], rtol=1e-3)
+    assert cut.out[-1] - even.out[-1] == pytest.approx(np.log(toxic / (len(ids) - toxic)), rel=1e-2)
+
+
 def test_language_of_held_out_documents(spark):
     docs = read(spark, "documents")
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
