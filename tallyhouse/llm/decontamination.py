@@ -107,9 +107,12 @@ def lookups(items: DataFrame, terms: np.ndarray, counts: np.ndarray, window: int
     return in_arrow(items, work, schema)
 
 
-def build_index(docs: DataFrame, terms: np.ndarray, window: int = WINDOW) -> DataFrame:
-    """One row per row of docs: doc_id, text_key, n_words, postings (term, pos, around) of the sorted terms."""
-    reach = window - 1
+def build_index(docs: DataFrame, terms: np.ndarray, window: int = WINDOW, slop: int = 0) -> DataFrame:
+    """One row per row of docs: doc_id, text_key, n_words, postings (term, pos, around) of the sorted terms.
+
+    The neighbourhood is wide enough for proximities() within slop words; phrases() takes an index without slop.
+    """
+    reach = max(window - 1, slop)
     steps = np.arange(-reach, reach + 1)
 
     def work(batch: pa.RecordBatch) -> pa.Table:
@@ -186,18 +189,21 @@ def phrases(index: DataFrame, questions: DataFrame, window: int = WINDOW) -> Dat
     )
 
 
-def proximities(index: DataFrame, questions: DataFrame, slop: int, window: int = WINDOW) -> DataFrame:
+def proximities(index: DataFrame, questions: DataFrame, slop: int) -> DataFrame:
     """Places where a window's two rarest words stand within ``slop`` words of each other, in any order.
 
-    doc_id, text_key, item_id, pos (of the rarest), distance (of the nearest second word).
+    doc_id, text_key, item_id, pos (of the rarest), distance (of the nearest second word). An index whose
+    neighbourhoods are narrower than slop is an error: matches further away would be missed.
     """
-    reach = window - 1
+    reach = F.expr("int(size(around) div 2)")
     posting = index.select("doc_id", "text_key", F.explode("postings").alias("p")).select(
         "doc_id", "text_key", F.col("p.term").alias("p_term"), F.col("p.pos").alias("pos"), F.col("p.around").alias("around")
     )
     met = posting.join(F.broadcast(questions.where("second is not null")), F.col("p_term") == F.col("term"))
     places = F.transform("around", lambda a, i: F.when((a == F.col("second")) & (i != reach), F.abs(i - reach)))
-    near = met.withColumn("distance", F.array_min(places)).where(F.col("distance") <= slop)
+    narrow = F.raise_error(F.lit(f"build the index with slop={slop}: its neighbourhoods are narrower")).cast("int")
+    distance = F.when(reach >= slop, F.array_min(places)).otherwise(narrow)
+    near = met.withColumn("distance", distance).where(F.col("distance") <= slop)
     return near.groupBy("doc_id", "text_key", "item_id", "pos").agg(F.min("distance").alias("distance"))
 
 

@@ -153,3 +153,18 @@ def test_proximity(spark):
     questions = decontamination.lookups(asked, terms, rare)
     found = decontamination.proximities(decontamination.build_index(docs, terms), questions, slop=3).collect()
     assert [(r.doc_id, r.item_id, r.pos, r.distance) for r in found] == [(1, 1, 4, 3)]
+
+
+def test_proximity_beyond_the_window(spark):
+    import numpy as np
+
+    asked = decontamination.tokens(spark.createDataFrame([(1, "alpha beta")], "item_id long, text string"))
+    words = asked.first().words
+    terms = np.sort(np.array(words, np.int64))
+    questions = decontamination.lookups(asked, terms, np.array([1 + words.index(int(t)) for t in terms]))
+    far = documents(spark, [(1, "alpha " + "x " * 14 + "beta"), (2, "beta " + "x " * 20 + "alpha")])
+    wide = decontamination.build_index(far, terms, slop=20)
+    found = decontamination.proximities(wide, questions, slop=20).collect()
+    assert [(r.doc_id, r.pos, r.distance) for r in found] == [(1, 0, 15)]
+    with pytest.raises(Exception, match="slop=20"):
+        decontamination.proximities(decontamination.build_index(far, terms), questions, slop=20).collect()
