@@ -7,7 +7,7 @@ import pytest
 from __spark_entry__ import entry
 from __spark_entry__ import queries as registered
 from tallyhouse.operators.ranking import nth_values
-from tallyhouse.plans import loyalty
+from tallyhouse.plans import gold, loyalty
 from tests.compare import DATA, connect, difference
 from workload.oracles import ORACLES
 from workload.queries import queries
@@ -101,3 +101,8 @@ def test_scans_read_what_they_need(spark, name, pushed, columns):
 
 def test_merging_state_and_delta_needs_no_further_shuffle(spark):
     assert plan(spark, "rollup_merge").count("Exchange hashpartitioning") == 2
+
+
+def test_every_rollup_is_merged_with_its_state():
+    merges = {"rollup_merge", *(f"rollup_merge_{name}" for name in gold.ROLLUPS if name != "channel_performance")}
+    assert merges <= QUERIES.keys() and len(merges) == 5

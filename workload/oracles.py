@@ -384,6 +384,11 @@ ORACLES: dict[str, str] = {
     "gold_channel_country": _with("videos", _rollup(
         "channel_title, country", "CAST(sum(views) AS BIGINT) AS total_views")),
     "rollup_merge": _with("videos", _rollup("channel_title, country", _CHANNEL)),
+    "rollup_merge_category_performance": _with("videos", _rollup("category_id, country", _VIEWS_AND_COUNT)),
+    "rollup_merge_monthly_trending": _with("videos", _rollup(_MONTH, _VIEWS_AND_COUNT)),
+    "rollup_merge_overall_kpis": _with("videos", _rollup("country", _KPIS)),
+    "rollup_merge_channel_country": _with("videos", _rollup(
+        "channel_title, country", "CAST(sum(views) AS BIGINT) AS total_views")),
     "daily_sales": _with("revenue_orders", """
         SELECT CAST(order_date AS VARCHAR) AS order_date, CAST(sum(amount) AS DOUBLE) AS total_sales
         FROM revenue_orders GROUP BY order_date"""),

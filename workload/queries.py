@@ -138,12 +138,15 @@ def _rolled(name: str) -> Callable[[Tables], DataFrame]:
     return lambda t: gold.ROLLUPS[name].delta(gold.with_month(t.silver_videos()))
 
 
-def _rollup_merge(t: Tables) -> DataFrame:
-    videos = t.silver_videos()
-    mark = F.lit(ROLLUP_MARK.isoformat(sep=" ")).cast("timestamp_ntz")
-    rollup = gold.CHANNEL_PERFORMANCE
-    stored = rollup.delta(videos.where(F.col("publish_ts") <= mark))
-    return rollup.merge(stored, rollup.delta(videos.where(F.col("publish_ts") > mark)))
+def _rollup_merge(name: str) -> Callable[[Tables], DataFrame]:
+    def merged(t: Tables) -> DataFrame:
+        videos = gold.with_month(t.silver_videos())
+        mark = F.lit(ROLLUP_MARK.isoformat(sep=" ")).cast("timestamp_ntz")
+        rollup = gold.ROLLUPS[name]
+        stored = rollup.delta(videos.where(F.col("publish_ts") <= mark))
+        return rollup.merge(stored, rollup.delta(videos.where(F.col("publish_ts") > mark)))
+
+    return merged
 
 
 def _daily_sales(t: Tables) -> DataFrame:
@@ -303,7 +306,11 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "gold_monthly_trending": _rolled("monthly_trending"),
     "gold_overall_kpis": _rolled("overall_kpis"),
     "gold_channel_country": _rolled("channel_country"),
-    "rollup_merge": _rollup_merge,
+    "rollup_merge": _rollup_merge("channel_performance"),
+    "rollup_merge_category_performance": _rollup_merge("category_performance"),
+    "rollup_merge_monthly_trending": _rollup_merge("monthly_trending"),
+    "rollup_merge_overall_kpis": _rollup_merge("overall_kpis"),
+    "rollup_merge_channel_country": _rollup_merge("channel_country"),
     "daily_sales": _daily_sales,
     # patterns
     "above_group_avg": lambda t: ranking.above_group_mean(_staff(t), ["dept"], "salary"),
