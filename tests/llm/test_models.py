@@ -59,6 +59,12 @@ def test_toxicity_keeps_the_share_of_labels_that_its_sample_cuts(spark):
     assert cut.out[-1] - even.out[-1] == pytest.approx(np.log(toxic / (len(ids) - toxic)), rel=1e-2)
 
 
+def test_toxicity_is_fitted_on_every_label_of_the_largest_table(spark):
+    labels = spark.read.parquet(str(DATA / "sf0.1/labels.parquet")).select("doc_id", "toxic").distinct().collect()
+    train = [r.toxic for r in labels if not held_out(r.doc_id, *toxicity.HELD_OUT)]
+    assert max(train.count(0), train.count(1)) <= toxicity.MAX_DOCS
+
+
 def test_language_of_held_out_documents(spark):
     docs = read(spark, "documents")
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
