@@ -25,7 +25,7 @@ BLOCK_WORDS = 1_000_000  # words of benchmark items looked up in one pass: 8 MB
 def _hashed(part: tx.Slice) -> tuple[tx.Spans, np.ndarray]:
     data = tx.LOWER[part.data]
     w = tx.words(data, part.bounds, tx.ALNUM)
-    return w, tx.signed(tx.Hashes(data).spans(w.starts, w.ends))
+    return w, tx.signed(tx.span_hashes(data, w.starts, w.ends))
 
 
 def _lists(values: np.ndarray, first: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:

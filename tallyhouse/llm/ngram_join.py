@@ -62,7 +62,7 @@ def gram_sets(data: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray,
     """(row, gram hash), sorted by row and hash, each once. A text of 1 to n - 1 words has one gram."""
     data = tx.LOWER[data]
     w = tx.words(data, bounds, tx.SPACED)
-    h = tx.Hashes(data).spans(w.starts, w.ends)
+    h = tx.span_hashes(data, w.starts, w.ends)
     at, grams = tx.runs_of(h, w, n)
     rows = [w.rows[at]]
     hashes = [grams]

@@ -37,17 +37,16 @@ def _key_by_row(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def _counts(part: tx.Slice) -> dict[str, np.ndarray]:
     data, bounds = part.data, part.bounds
     w = tx.words(data, bounds, tx.SPACED)
-    h = tx.Hashes(data)
     char = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     symbols = np.concatenate([[0], np.cumsum(_SYMBOL[data])])
     lines = tx.lines(data, bounds)
     line_rows = lines.rows
     has_word = np.searchsorted(w.starts, lines.ends) > np.searchsorted(w.starts, lines.starts)
     line_rows, starts, ends = line_rows[has_word], lines.starts[has_word], lines.ends[has_word]
-    _, first = np.unique(_key_by_row(line_rows, h.spans(starts, ends)), return_index=True)
+    _, first = np.unique(_key_by_row(line_rows, tx.span_hashes(data, starts, ends)), return_index=True)
     again = np.ones(len(line_rows), bool)
     again[first] = False
-    word_hash = h.spans(w.starts, w.ends)
+    word_hash = tx.span_hashes(data, w.starts, w.ends)
     rows = w.rows
     at, runs = tx.runs_of(word_hash, w, 3)
     _, group, size = np.unique(_key_by_row(rows[at], runs), return_inverse=True, return_counts=True)

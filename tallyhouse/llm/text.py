@@ -4,12 +4,15 @@ Spark deals out the rows; inside a task these helpers turn a slice of a batch in
 word borders and 64-bit hashes. A slice holds about ``SLICE_BYTES`` of text (one longer text makes a
 slice of its own), so memory does not follow the size of a batch.
 
-Hashes are sums of mixed byte values times powers of an odd base, modulo 2**64: equal strings have
-equal hashes wherever they stand, and the hash of any span comes from two prefix sums.
+``Hashes`` are sums of mixed byte values times powers of an odd base, modulo 2**64: the hash of any span
+comes from two prefix sums. Different texts can be built that agree in it, so it only finds candidates.
+``span_hashes`` decide equality: they mix eight bytes at a time into two lanes, and longer spans go
+through BLAKE2b, so that no pattern of bytes makes two texts agree for every base.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+LONG_SPAN = 256  # bytes; longer spans are hashed one by one
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -159,6 +163,27 @@ class Hashes:
         return mixed(raw + (ends - starts).astype(_U))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every span data[starts[i]:ends[i]]; equal spans have equal ones."""
+    n = np.asarray(ends - starts, np.int64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))  # the eight bytes from each place on
+    a, b = mixed(n.astype(_U) + _U(_BASE)), mixed(n.astype(_U) * _U(_BASE) + _U(1))
+    left = np.flatnonzero((n > 0) & (n <= LONG_SPAN))
+    at, rest = starts[left], n[left]
+    while len(left):
+        short = np.minimum(rest, 8)
+        word = eight[at] & (~_U(0) >> (_U(64) - _U(8) * short.astype(_U)))
+        a[left] = mixed(a[left] ^ word)
+        b[left] = mixed(b[left] + word * _U(_BASE_INVERSE))
+        more = rest > 8
+        left, at, rest = left[more], at[more] + 8, rest[more] - 8
+    for i in np.flatnonzero(n > LONG_SPAN):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=16).digest()
+        a[i], b[i] = np.frombuffer(digest, "<u8")
+    return mixed(a + ((b << _U(32)) | (b >> _U(32))))
+
+
 def runs_of(hashes: np.ndarray, spans: Spans, n: int) -> tuple[np.ndarray, np.ndarray]:
     """For every run of n words inside a text: index of its first word, and the run's hash."""
     last = np.repeat(spans.first[1:], spans.counts)

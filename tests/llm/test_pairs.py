@@ -2,10 +2,11 @@
 
 import pytest
 
-from tallyhouse.llm import decontamination, ngram_join, suffix_dedup
+from tallyhouse.llm import decontamination, ngram_join, rules, suffix_dedup
 from tallyhouse.llm.components import components
 from tests.llm import cases
 from tests.llm.cases import documents, edited, odd_rows, prose, with_clashes
+from tests.llm.test_text import thue_morse
 
 
 def near_copies():
@@ -46,6 +47,16 @@ def test_odd_rows_of_the_join(spark):
     assert ngram_join.join(docs.limit(0)).count() == 0
 
 
+def test_constructed_words_are_told_apart(spark):
+    x, y = (t.decode() for t in thue_morse(1024))
+    docs = documents(spark, [(1, x), (2, y), (3, f"{x}\n{y}")])
+    assert {r.doc_id: r.component_id for r in ngram_join.join(docs).collect()} == {1: 1, 2: 2, 3: 3}
+    benchmark = spark.createDataFrame([(9, x)], "item_id long, text string")
+    found = decontamination.contamination(docs, benchmark).collect()
+    assert {r.doc_id: r.n_hit for r in found} == {1: 1, 2: 0, 3: 1}
+    assert {r.doc_id: r.n_dup_lines for r in rules.judge(docs).collect()} == {1: 0, 2: 0, 3: 0}
+
+
 def test_a_document_with_two_texts_links_both(spark):
     x, y = prose(80, 60), prose(81, 60)
     found = ngram_join.join(documents(spark, [(5, x), (7, x), (7, y), (9, y)])).collect()
