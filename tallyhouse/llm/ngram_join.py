@@ -197,8 +197,12 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def compare(pairs: DataFrame, docs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
+    """The pairs (a, b) that their prefixes do not rule out and whose texts are linked."""
+    return confirmed(stored(possible(pairs, classes, grams)), docs, grams)
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, grams: Grams) -> DataFrame:
     """The pairs (a, b) whose texts are linked. A text is looked up once for each side of each pair."""
-    pairs = stored(possible(pairs, classes, grams))
     texts = stored(_texts(docs, pairs.select("a").union(pairs.select("b"))))
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))

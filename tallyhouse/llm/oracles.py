@@ -12,12 +12,15 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _SPACED = r"'[^\x20\x09-\x0D]+'"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
-NGRAM_JOIN = rf"""
+
+def _components(n: int, percent: int, more: str = "") -> str:
+    """doc_id, n_shingles, component_id by all pairs that share a gram of n words."""
+    return rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, {_SPACED}) AS w FROM documents),
 grams AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3
-    THEN [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {n}
+    THEN [array_to_string(w[i:i + {n - 1}], ' ') FOR i IN range(1, len(w) - {n - 2})]
     WHEN len(w) > 0 THEN [array_to_string(w, ' ') || ' '] ELSE [] END) AS gram FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 shared AS (
@@ -25,17 +28,119 @@ shared AS (
   WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (
   SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-  WHERE 100 * s.n >= 90 * (x.n + y.n - s.n)),
+  WHERE 100 * s.n >= {percent} * (x.n + y.n - s.n)),
 sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached AS (
   SELECT a AS doc_id, b AS other FROM sides
   UNION SELECT r.doc_id, l.b FROM reached r JOIN sides l ON r.other = l.a),
 least AS (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id)
 SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
-       least(d.doc_id, coalesce(l.least, d.doc_id)) AS component_id
+       least(d.doc_id, coalesce(l.least, d.doc_id)) AS component_id{more}
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l USING (doc_id)
 """
 
+
+NGRAM_JOIN = _components(3, 90)
+NEAR_DUPLICATES = _components(5, 85, ", coalesce(l.least, d.doc_id) >= d.doc_id AS kept")
+
+FILL_MIDDLE = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+numbers AS (
+  SELECT doc_id, text, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x,
+         ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y, ('0x' || h[25:32])::BIGINT % 100 AS spm FROM units),
+parts AS (
+  SELECT doc_id, text, n, array_to_string(u[1:least(x, y)], '') AS p,
+         array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(u[greatest(x, y) + 1:n], '') AS s,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') THEN 'plain' WHEN spm < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def _edit(cost: str, letter: str, then: str) -> str:
+    return f"{{'c': {cost} + {then}.c, 'a': '{letter}' || {then}.a}}"
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+_NEXT = ("f2", "f2", "f3", "f2")  # the state after a user or assistant in each state
+_MAY_KEEP = ("CASE ini WHEN 's' THEN f1 WHEN 'u' THEN f2 END", "CASE ini WHEN 'u' THEN f2 END",
+             "CASE ini WHEN 'a' THEN f3 END", "CASE ini WHEN 'u' THEN f2 END")
+_FIRST_EDITS = ",\n".join(
+    f"    CASE WHEN gone THEN {_edit('4', 'D', f'f{i}')} WHEN ({_MAY_KEEP[i]}) IS NULL THEN "
+    + _least(_edit("4", "D", f"f{i}"), _edit("3 + more", "R", _NEXT[i]))
+    + " ELSE "
+    + _least(_edit("4", "D", f"f{i}"), _edit("3 + more", "R", _NEXT[i]), _edit("more", "K", f"({_MAY_KEEP[i]})"))
+    + f" END AS g{i}"
+    for i in range(4)
+)
+
+# The cheapest edits by a recursion from the last row of each conversation to the first: least (cost, audit) of each state.
+REPAIR = rf"""
+WITH RECURSIVE numbered AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kinds AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], [ascii(c)::BIGINT FOR c IN string_split(k, '')]),
+      lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)),
+        lambda x, bit: CASE WHEN (x & 1) = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)),
+      4294967295::BIGINT) % 20 AS kind FROM numbered),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, left(role, 1) AS ini,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last FROM damaged),
+faults AS (
+  SELECT *, last = '' AS blank, last <> '' AND nth > 1 AS duplicate, last <> '' AND nth = 1 AND last NOT IN ('.', '!', '?') AS truncated,
+         coalesce(lag(ini) OVER (PARTITION BY conv_id ORDER BY n) || ini, 'ua') NOT IN ('su', 'ua', 'au') AS illegal FROM ordered),
+counts AS (
+  SELECT conv_id, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal FROM faults GROUP BY conv_id),
+togo AS (
+  SELECT conv_id, n + 1 AS n, {{'c': 0::BIGINT, 'a': ''}} AS f0, {{'c': 6::BIGINT, 'a': 'II'}} AS f1,
+         {{'c': 3::BIGINT, 'a': 'I'}} AS f2, {{'c': 0::BIGINT, 'a': ''}} AS f3 FROM counts
+  UNION ALL
+  SELECT conv_id, n, {_least("g0", _edit("3", "I", "h2"))}, {_least("g1", _edit("3", "I", "h2"))}, h2, h3 FROM (
+   SELECT conv_id, n, g0, g1, {_least("g2", _edit("3", "I", "g3"))} AS h2, {_least("g3", _edit("3", "I", "g2"))} AS h3 FROM (
+    SELECT conv_id, n,
+{_FIRST_EDITS}
+    FROM (SELECT t.conv_id, f.n, f.ini, f.blank OR f.duplicate AS gone, CASE WHEN f.truncated THEN 3 ELSE 0 END AS more, f0, f1, f2, f3
+          FROM togo t JOIN faults f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.n = t.n - 1)))),
+audits AS (SELECT conv_id, f0.c AS cost, f0.a AS audit FROM togo WHERE n = 1),
+edits AS (
+  SELECT conv_id, p, audit[p] AS edit,
+         count(*) FILTER (audit[p] <> 'I') OVER upto AS n, count(*) FILTER (audit[p] <> 'D') OVER upto AS nth
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS p FROM audits)
+  WINDOW upto AS (PARTITION BY conv_id ORDER BY p)),
+written AS (
+  SELECT e.conv_id, e.p, e.edit, e.nth, f.role, CASE WHEN e.edit = 'I' THEN '' ELSE f.text END AS text,
+         max(CASE WHEN e.edit = 'K' AND f.ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS system
+  FROM edits e LEFT JOIN faults f ON e.conv_id IS NOT DISTINCT FROM f.conv_id AND e.n = f.n WHERE e.edit <> 'D'),
+repaired AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (nth - system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+         || ':' || text, chr(10) ORDER BY p)) AS sha FROM written GROUP BY conv_id)
+SELECT i.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(a.cost, 0)::BIGINT AS cost,
+       coalesce(a.audit, '') AS audit, coalesce(r.sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
 # The shards take turns; a turn claims the first free slot in the shard's order of preference.
 SHARDING = f"""
 WITH RECURSIVE names AS (
@@ -219,4 +324,7 @@ ORACLES: dict[str, str] = {
     "op5_mixing": MIXING,
     "op7_decontamination": DECONTAMINATION,
     "op9_quality_rules": QUALITY_RULES,
+    "op11_near_duplicates": NEAR_DUPLICATES,
+    "op12_fill_middle": FILL_MIDDLE,
+    "op13_conversation_repair": REPAIR,
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, decontamination, language, mixing, ngram_join, quality_model, rules, sharding, suffix_dedup, toxicity
+from tallyhouse.llm import (
+    chat, decontamination, fill_middle, language, minhash, mixing, ngram_join, quality_model, repair, rules, sharding, suffix_dedup, toxicity,
+)
 from tallyhouse.llm.frames import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +76,18 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digest(_read(spark, folder, "documents"))
 
 
+def op11_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, folder, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digest(_read(spark, folder, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair(_read(spark, folder, "conversations")).drop("signature")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -86,4 +100,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_quality_rules": op9_quality_rules,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_near_duplicates": op11_near_duplicates,
+        "op12_fill_middle": op12_fill_middle,
+        "op13_conversation_repair": op13_conversation_repair,
     }

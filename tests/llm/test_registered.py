@@ -16,7 +16,7 @@ FOLDER = str(DATA / "sf0.001")
 
 def test_registration():
     names = set(own.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)}
     assert names | {"pipeline"} <= set(queries()) and set(ORACLES) <= names and set(ORACLES) <= set(oracle_sql())
 
 
