@@ -1,149 +1,66 @@
 """Ranks, row numbers, tiles, top-k and group statistics that do not pile up in one task.
 
 A plain window sends all rows of a group to one task, and all rows of the table when there is no
-group. The rank operators count the largest group first. Up to ``group_limit`` rows they use the
-plain window. Beyond it they rank distinct values instead of rows, cut the value range into slots
-of similar weight, number the values inside each (group, slot) and add what the earlier slots
-hold. Slot borders become literals, so a retried task always sees the same slots. This reads the
-input several times: ``save=True`` stores a computed input first; a plain table needs no copy.
+group. The rank operators deal rows out by range on the complete order, groups first, so that every
+task holds a run of neighbouring rows, whatever their type and however large a group is. Rows are
+numbered inside their run; a tally of each group in each run, added up over the runs before it, says
+where the run begins. The dealt rows are saved, so that a retried task meets the same runs.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyhouse.operators.joins import attach, is_small
 from tallyhouse.operators.lineage import saved
 
-GROUP_LIMIT = 2_000_000
-MIN_SLOTS, MAX_SLOTS = 64, 8192
+_EARLIER = (Window.unboundedPreceding, -1)
 
 
 def _sorted(c: str, descending: bool) -> Column:
     return F.col(c).desc() if descending else F.col(c).asc()
 
 
-def _groups_fit(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether no group has more than ``limit`` rows; a table below the limit needs no grouping."""
-    if df.count() <= limit:
-        return True
-    if not keys:
-        return False
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] <= limit
-
-
 def _packed(keys: Sequence[str]) -> Column:
     """The group as one value that is never NULL, so windows and joins on it share a partitioning."""
     return F.struct(*keys) if keys else F.lit(0)
 
 
-def _slot_count(df: DataFrame, limit: int) -> int:
-    return min(MAX_SLOTS, max(MIN_SLOTS, 2 * df.count() // max(limit, 1)))
-
-
-def _ordinal(df: DataFrame, value: str) -> Column:
-    """The value as a double that sorts the same way (equal doubles may stand for close values)."""
-    kind = df.schema[value].dataType
-    col = F.col(value)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-        return (F.unix_date(col.cast("date")).cast("double") * 86400) + seconds
-    if isinstance(kind, T.NumericType):
-        return col.cast("double")
-    if isinstance(kind, T.BooleanType):
-        return col.cast("int").cast("double")
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        # the first six bytes as a number: texts that agree in them share a slot
-        start = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(start, 16, 10).cast("double")
-    return F.when(col.isNotNull(), 0.0)  # one slot: right, but not spread
-
-
-def _slot(df: DataFrame, value: str, slots: int) -> Bucketizer:
-    """Cut points that leave each slot about the same number of rows.
-
-    A value shared by many rows takes several cut points; they merge into one, so a slot never
-    holds more than its share of distinct values.
-    """
-    ordinals = df.select(_ordinal(df, value).alias("__ord"))
-    probabilities = [i / slots for i in range(1, slots)]
-    borders = ordinals.approxQuantile("__ord", probabilities, 1 / (4 * slots))
-    inner = sorted({b for b in borders if math.isfinite(b)}) or [0.0]
-    return Bucketizer(
-        splits=[-math.inf, *inner, math.inf],
-        inputCol="__ord",
-        outputCol="__cut",
-        handleInvalid="keep",
-    )
-
-
-def _with_slot(df: DataFrame, value: str, slot: Bucketizer) -> DataFrame:
-    """Add ``__slot``: a non-decreasing function of the value, NULL first."""
-    cut = slot.transform(df.withColumn("__ord", _ordinal(df, value)))
-    number = F.when(F.col("__ord").isNull(), -1).otherwise(F.col("__cut").cast("int"))
-    return cut.withColumn("__slot", number).drop("__ord", "__cut")
-
+def in_runs(df: DataFrame, order: Sequence[tuple[str, bool]], keys: Sequence[str] = ()) -> DataFrame:
+    """The rows, saved, dealt out by range of group and order, with ``__key``, ``__run`` and ``__at``.
 
-def _value_places(
-    df: DataFrame, keys: Sequence[str], value: str, descending: bool, slots: int
-) -> DataFrame:
-    """One row per (group, value) with its rank and dense rank."""
-    tallies = df.groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    slotted = _with_slot(tallies, value, _slot(df, value, slots)).withColumn("__key", _packed(keys))
-
-    order = _sorted("__slot", descending)
-    earlier = Window.partitionBy("__key").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        slotted.groupBy("__key", "__slot")
-        .agg(F.sum("__n").alias("__rows"), F.count("*").alias("__values"))
-        .select(
-            "__key",
-            "__slot",
-            F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__rows_before"),
-            F.coalesce(F.sum("__values").over(earlier), F.lit(0)).alias("__values_before"),
-        )
-    )
-
-    local = Window.partitionBy("__key", "__slot").orderBy(_sorted(value, descending))
-    above = local.rowsBetween(Window.unboundedPreceding, -1)
-    placed = slotted.withColumns(
-        {
-            "__local_rows": F.coalesce(F.sum("__n").over(above), F.lit(0)),
-            "__local_values": F.row_number().over(local),
-        }
+    Runs are numbered in the order of the range they hold; ``__at`` grows along the order over all
+    runs. A group goes over as many runs as it fills. Rows that are equal in all columns of the order
+    are in one run: rank such rows by value, not one by one.
+    """
+    columns = [*[F.col(k).asc() for k in keys], *[_sorted(c, d) for c, d in order]]
+    dealt = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    numbered = dealt.withColumns({"__at": F.monotonically_increasing_id(), "__key": _packed(keys)})
+    # the upper bits of the id are the number of the partition
+    return saved(numbered.withColumn("__run", F.shiftright("__at", 33).cast("int")))
+
+
+def run_tallies(runs: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """For each group in each run: ``__first``, each measure, ``<measure>_before`` (of its earlier runs)
+    and ``<measure>_all`` (of the whole group). A row for each run and one for each group at most."""
+    tallies = runs.groupBy("__key", "__run").agg(
+        F.min("__at").alias("__first"), *[m.alias(name) for name, m in measures.items()]
     )
-    return placed.join(before, ["__key", "__slot"]).select(
-        *keys,
-        value,
-        (F.col("__rows_before") + F.col("__local_rows") + 1).cast("bigint").alias("__rank"),
-        (F.col("__values_before") + F.col("__local_values")).cast("bigint").alias("__dense"),
+    group = Window.partitionBy("__key")
+    earlier = group.orderBy("__run").rowsBetween(*_EARLIER)
+    return tallies.withColumns(
+        {f"{m}_before": F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m in measures}
+        | {f"{m}_all": F.sum(m).over(group) for m in measures}
     )
 
 
-def _attach_places(
-    rows: DataFrame,
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    place: Column,
-    descending: bool,
-    slots: int,
-) -> DataFrame:
-    """Add an expression over ``__rank`` and ``__dense``, computed on ``df``, to ``rows``."""
-    places = saved(_value_places(df, keys, value, descending, slots).select(*keys, value, place))
-    return attach(rows, places, [*keys, value], broadcast=is_small(places))
+def _with_tallies(runs: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    tallies = saved(run_tallies(runs, measures))
+    return attach(runs, tallies, ["__key", "__run"], broadcast=is_small(tallies))
 
 
 def with_rank(
@@ -153,55 +70,40 @@ def with_rank(
     name: str = "rank",
     descending: bool = True,
     dense: bool = False,
-    group_limit: int = GROUP_LIMIT,
     save: bool = False,
 ) -> DataFrame:
-    """Add the rank (or dense rank) of ``value`` inside each group; no keys ranks the table."""
+    """Add the rank (or dense rank) of ``value`` inside each group; no keys ranks the table.
+
+    Distinct values are ranked, with the number of their rows, and joined once; a value that many rows
+    share is one of them. The input is read three times: ``save=True`` stores a computed one first.
+    """
     df = saved(df) if save else df
-    if _groups_fit(df, keys, group_limit):
-        window = Window.partitionBy(*keys).orderBy(_sorted(value, descending))
-        place = F.dense_rank() if dense else F.rank()
-        return df.withColumn(name, place.over(window).cast("bigint"))
-    place = F.col("__dense" if dense else "__rank").alias(name)
-    slots = _slot_count(df, group_limit)
-    return _attach_places(df, df, keys, value, place, descending, slots)
+    values = df.groupBy(*keys, value).agg(F.count("*").alias("__n"))
+    runs = in_runs(values, [(value, descending)], keys)
+    placed = _with_tallies(runs, {"__rows": F.sum("__n"), "__values": F.count("*")})
+    if dense:
+        place = F.col("__values_before") + F.col("__at") - F.col("__first") + 1
+    else:
+        above = Window.partitionBy("__key", "__run").orderBy("__at").rowsBetween(*_EARLIER)
+        place = F.col("__rows_before") + F.coalesce(F.sum("__n").over(above), F.lit(0)) + 1
+    places = placed.select(*keys, value, place.cast("bigint").alias(name))
+    return attach(df.drop(name), places, [*keys, value], broadcast=is_small(runs.select(*keys, value)))
 
 
 def with_row_number(
-    df: DataFrame,
-    order: Sequence[tuple[str, bool]],
-    keys: Sequence[str] = (),
-    name: str = "row_number",
-    group_limit: int = GROUP_LIMIT,
+    df: DataFrame, order: Sequence[tuple[str, bool]], keys: Sequence[str] = (), name: str = "row_number"
 ) -> DataFrame:
-    """Number the rows of each group. ``order`` is (column, descending) and must be unique.
-
-    A row's number is the rank of its first order column, plus its position among the rows that
-    tie on it, which is the same question with one more key. Order columns are taken over as keys
-    until the groups are small enough for a plain window.
-    """
-    columns = [c for c, _ in order]
-    depth = 0
-    while depth < len(order) and not _groups_fit(df, [*keys, *columns[:depth]], group_limit):
-        depth += 1
-
-    if depth < len(order):
-        window = Window.partitionBy(*keys, *columns[:depth])
-        number = F.row_number().over(window.orderBy(*[_sorted(c, d) for c, d in order[depth:]]))
-    else:
-        number = F.lit(1)
-    if depth == 0:
-        return df.withColumn(name, number.cast("bigint"))
+    """Number the rows of each group. ``order`` is (column, descending) and must be unique."""
+    return _numbered(df, order, keys).withColumn(name, F.col("__rn")).select(
+        *[c for c in df.columns if c != name], name
+    )
 
-    numbered, slots = df, _slot_count(df, group_limit)
-    for i, (column, descending) in enumerate(order[:depth]):
-        group = [*keys, *columns[:i]]
-        place = (F.col("__rank") - 1).alias(f"__above_{i}")
-        numbered = _attach_places(numbered, df, group, column, place, descending, slots)
-        number = number + F.col(f"__above_{i}")
 
-    above = [f"__above_{i}" for i in range(depth)]
-    return numbered.withColumn(name, number.cast("bigint")).drop(*above)
+def _numbered(df: DataFrame, order: Sequence[tuple[str, bool]], keys: Sequence[str]) -> DataFrame:
+    """The rows with ``__rn``, their number, and ``__size``, that of the group."""
+    placed = _with_tallies(in_runs(df, order, keys), {"__rows": F.count("*")})
+    number = F.col("__rows_before") + F.col("__at") - F.col("__first") + 1
+    return placed.withColumns({"__rn": number.cast("bigint"), "__size": F.col("__rows_all")})
 
 
 def with_ntile(
@@ -210,14 +112,9 @@ def with_ntile(
     order: Sequence[tuple[str, bool]],
     keys: Sequence[str] = (),
     name: str = "ntile",
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Split each group into ``tiles`` runs whose sizes differ by at most one, larger runs first."""
-    if _groups_fit(df, keys, group_limit):
-        window = Window.partitionBy(*keys).orderBy(*[_sorted(c, d) for c, d in order])
-        return df.withColumn(name, F.ntile(tiles).over(window).cast("bigint"))
-    numbered = with_row_number(df, order, keys, "__rn", group_limit)
-    sized = with_group_value(numbered, keys, F.count("*"), "__size")
+    numbered = _numbered(df, order, keys)
     small = F.floor(F.col("__size") / tiles)
     extra = F.col("__size") % tiles
     in_large = extra * (small + 1)
@@ -225,7 +122,7 @@ def with_ntile(
     tile = F.when(rn <= in_large, F.ceil(rn / (small + 1))).otherwise(
         extra + F.ceil((rn - in_large) / F.greatest(small, F.lit(1)))
     )
-    return sized.withColumn(name, tile.cast("bigint")).drop("__rn", "__size")
+    return numbered.withColumn(name, tile.cast("bigint")).select(*[c for c in df.columns if c != name], name)
 
 
 def with_running_total(
@@ -234,35 +131,15 @@ def with_running_total(
     order: Sequence[tuple[str, bool]],
     keys: Sequence[str] = (),
     name: str = "running_total",
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """Sum of a column over a row and all rows before it in its group; ``order`` must be unique.
-
-    A large group is cut into runs of ``group_limit`` rows by row number. Totals of earlier runs
-    are added to the running total inside a run.
-    """
-    rows = (Window.unboundedPreceding, Window.currentRow)
-    if _groups_fit(df, keys, group_limit):
-        window = Window.partitionBy(*keys).orderBy(*[_sorted(c, d) for c, d in order])
-        return df.withColumn(name, F.sum(measure).over(window.rowsBetween(*rows)))
-    numbered = with_row_number(df, order, keys, "__rn", group_limit)
-    run = F.floor((F.col("__rn") - 1) / max(group_limit, 1))
-    in_runs = numbered.withColumns({"__run": run, "__key": _packed(keys)})
-    local = Window.partitionBy("__key", "__run").orderBy("__rn").rowsBetween(*rows)
-    earlier = Window.partitionBy("__key").orderBy("__run").rowsBetween(rows[0], -1)
-    before = (
-        in_runs.groupBy("__key", "__run")
-        .agg(F.sum(measure).alias("__total"))
-        .select(
-            "__key", "__run", F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__before")
-        )
-    )
-    return (
-        in_runs.withColumn("__local", F.sum(measure).over(local))
-        .join(before, ["__key", "__run"])
-        .withColumn(name, F.col("__before") + F.col("__local"))
-        .drop("__rn", "__run", "__key", "__local", "__before")
+    """Sum of a column over a row and all rows before it in its group; ``order`` must be unique."""
+    placed = _with_tallies(in_runs(df, order, keys), {"__total": F.sum(measure)})
+    upto = Window.partitionBy("__key", "__run").orderBy("__at")
+    local = F.sum(measure).over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    total = F.when(local.isNull() & (F.col("__total_before") == 0), F.lit(None)).otherwise(
+        F.col("__total_before") + F.coalesce(local, F.lit(0))
     )
+    return placed.withColumn(name, total).select(*[c for c in df.columns if c != name], name)
 
 
 def with_group_value(

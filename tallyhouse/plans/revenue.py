@@ -9,14 +9,12 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import days_between, money, year_month
 from tallyhouse.operators.grouping import pivot_total
-from tallyhouse.operators.ranking import GROUP_LIMIT, with_rank
+from tallyhouse.operators.ranking import with_rank
 
 
-def customer_revenue_rank(orders: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def customer_revenue_rank(orders: DataFrame) -> DataFrame:
     revenue = orders.groupBy("order_customer_id").agg(F.sum(money("sum")).alias("total_revenue"))
-    return with_rank(
-        revenue, "total_revenue", name="rank", group_limit=group_limit, save=True
-    )
+    return with_rank(revenue, "total_revenue", name="rank", save=True)
 
 
 def status_pivot(orders: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
