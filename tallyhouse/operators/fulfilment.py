@@ -6,16 +6,18 @@ carts(cart_id, distance_km).
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import delivery_charge
+from tallyhouse.operators.joins import is_small
 from tallyhouse.operators.lineage import saved
-from tallyhouse.operators.ranking import GROUP_LIMIT, with_row_number, with_running_total
+from tallyhouse.operators.ranking import with_running_total
+
+FEW_LINES = 512  # open lines of an item that are folded in one row
 
 
 def screen_lines(lines: DataFrame, items: DataFrame) -> DataFrame:
@@ -31,80 +33,78 @@ def rejected_lines(lines: DataFrame, items: DataFrame) -> DataFrame:
     return screen_lines(lines, items).where(F.col("reason").isNotNull())
 
 
-def _in_order_pass():
-    """The per-partition step, made here so that it travels by value: executors need no copy of
-    this package."""
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item, left = None, 0
-        for batch in batches:
-            taken = []
-            columns = (batch.column(c).to_pylist() for c in ("item_id", "qty", "__stock"))
-            for this_item, qty, stock in zip(*columns):
-                if this_item != item:
-                    item, left = this_item, stock
-                taken.append(qty <= left)
-                if qty <= left:
-                    left -= qty
-            # All other columns pass unread, so no value changes its type or is rounded.
-            yield batch.filter(pa.array(taken, pa.bool_())).drop_columns(["__stock"])
-
-    return fill
-
-
-def _still_possible(
-    lines: DataFrame, stock: DataFrame, most: int, sequence: Sequence[str], group_limit: int
-) -> DataFrame:
-    """Lines that are not refused for certain, with their item's stock as ``__stock``."""
-    numbered = with_row_number(
-        lines, [(c, False) for c in sequence], ["item_id", "qty"], "__nth", group_limit
-    ).where(F.col("__nth") <= F.lit(most))
-    enough = F.col("__nth") * F.col("qty") <= F.col("__stock")
-    return numbered.join(stock, "item_id").where(enough).drop("__nth")
+def _round(open_lines: DataFrame, sequence: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """One round over the open lines of many items: (lines filled, lines still open).
 
+    Every item fills its lines in order up to the first shortage: the lines whose running total stays
+    within what is left of it. A refused quantity stays refused, so lines that ask for more than what
+    is left then are closed too, the line of the shortage among them.
+    """
+    order = [(c, False) for c in sequence]
+    totalled = saved(with_running_total(open_lines, "qty", order, ["item_id"], "__asked"))
+    fits = F.col("__asked") <= F.col("__stock")
+    used = totalled.where(fits).groupBy("item_id").agg(F.max("__asked").alias("__used"))
+    later = totalled.where(~fits).drop("__asked").join(used, "item_id", "left")
+    later = later.withColumn("__stock", F.col("__stock") - F.coalesce("__used", F.lit(0))).drop("__used")
+    return totalled.where(fits).drop("__asked"), later.where(F.col("qty") <= F.col("__stock"))
+
+
+def _one_by_one(open_lines: DataFrame, sequence: Sequence[str]) -> DataFrame:
+    """The lines filled of items with few open lines: each item's lines are folded in one row."""
+    columns = open_lines.columns
+    listed = open_lines.groupBy("item_id").agg(
+        F.sort_array(F.collect_list(F.struct(*sequence, F.struct(*columns).alias("__line")))).alias("lines"),
+        F.max("__stock").alias("left"),
+    )
+    start = F.struct(
+        F.col("left").cast("bigint").alias("left"), F.lit(1).alias("at"), F.array().cast("array<int>").alias("taken")
+    )
 
-def _in_sequence(hopeful: DataFrame, sequence: Sequence[str]) -> DataFrame:
-    lines = hopeful.drop("__stock")
-    ordered = hopeful.repartition("item_id").sortWithinPartitions("item_id", *sequence)
-    return ordered.mapInArrow(_in_order_pass(), lines.schema)
+    def step(done, line):
+        qty = line["__line"]["qty"].cast("bigint")
+        enough = qty <= done["left"]
+        return F.struct(
+            F.when(enough, done["left"] - qty).otherwise(done["left"]).alias("left"),
+            (done["at"] + 1).alias("at"),
+            F.when(enough, F.concat(done["taken"], F.array(done["at"]))).otherwise(done["taken"]).alias("taken"),
+        )
+
+    taken = F.aggregate("lines", start, step)["taken"]
+    filled = listed.select("lines", F.explode(taken).alias("nth"))
+    return filled.select(F.element_at("lines", F.col("nth"))["__line"].alias("line")).select(
+        *[F.col("line")[c].alias(c) for c in columns]
+    )
 
 
 def fill_lines(
-    lines: DataFrame, items: DataFrame, sequence: Sequence[str], group_limit: int = GROUP_LIMIT
+    lines: DataFrame, items: DataFrame, sequence: Sequence[str], few: int = FEW_LINES
 ) -> DataFrame:
     """The lines that get stock when each item serves its lines in sequence order.
 
-    A line is filled when its quantity is still there, and only filled lines use stock. Going
-    through an item's lines one by one is the last step, on few of them:
-
-    * Stock only falls, so once a quantity is refused it is refused ever after: among an item's
-      lines of quantity q only the first floor(stock / q) can be filled. That leaves less than
-      stock * (1 + ln stock) lines per item, however many ask for it.
-    * If that is still too many for one task, all lines up to the point where the running total
-      of the quantities first exceeds the stock are filled as they stand. What is then left is
-      less than the next line's quantity, and the first rule is applied to it again.
+    A line is filled when its quantity is still there, and only filled lines use stock. Items with at
+    most ``few`` open lines are folded, one row each. All others go through rounds together: a round
+    fills every item up to its first shortage by running totals over range partitions, and closes the
+    lines that ask for more than what is left. Rounds go on until no item has more than ``few`` open
+    lines; each closes at least the line of the shortage. No line is gathered with more than ``few`` others.
 
-    ``sequence`` must order the lines of an item uniquely.
+    ``sequence`` must order the lines of an item uniquely. Lines without an item, of an unknown item or with a
+    quantity that is not positive are not filled.
     """
-    usable = lines.where((F.col("qty") > 0) & F.col("item_id").isNotNull())
     stock = items.select("item_id", F.col("stock").alias("__stock"))
-    most = int(items.agg(F.max("stock")).first()[0] or 0)
-    hopeful = _still_possible(usable, stock, most, sequence, group_limit)
-    if most * (1 + math.log(max(most, 1))) <= group_limit:
-        return _in_sequence(hopeful, sequence).select(*lines.columns)
-
-    order = [(c, False) for c in sequence]
-    totalled = saved(
-        with_running_total(saved(hopeful), "qty", order, ["item_id"], "__asked", group_limit)
-    )
-    outright = totalled.where(F.col("__asked") <= F.col("__stock")).select(*lines.columns)
-    used = outright.groupBy("item_id").agg(F.sum("qty").alias("__used"))
-    left = stock.join(used, "item_id", "left").select(
-        "item_id", (F.col("__stock") - F.coalesce("__used", F.lit(0))).alias("__stock")
-    )
-    later = totalled.where(F.col("__asked") > F.col("__stock")).select(*lines.columns)
-    remaining = _still_possible(later, left, most, sequence, group_limit)
-    return outright.unionByName(_in_sequence(remaining, sequence).select(*lines.columns))
+    usable = lines.where((F.col("qty") > 0) & F.col("item_id").isNotNull()).join(stock, "item_id")
+    open_lines = usable.where(F.col("qty") <= F.col("__stock")).select(*lines.columns, "__stock")
+    filled = []
+    while True:
+        busy = open_lines.groupBy("item_id").agg(F.count("*").alias("n")).where(F.col("n") > few).select("item_id")
+        busy = saved(busy)  # at most one for every ``few`` lines
+        if busy.isEmpty():
+            filled.append(_one_by_one(open_lines, sequence))
+            return reduce(DataFrame.unionByName, filled).select(*lines.columns)
+        near = F.broadcast(busy) if is_small(busy) else busy
+        filled.append(_one_by_one(open_lines.join(near, "item_id", "left_anti"), sequence))
+        done, open_lines = _round(open_lines.join(near, "item_id", "left_semi"), sequence)
+        filled.append(done)
+        open_lines = saved(open_lines)
 
 
 def remaining_stock(items: DataFrame, filled: DataFrame) -> DataFrame:

@@ -54,15 +54,14 @@ def test_bill(table, items, rows):
     assert rows(f.bills(filled, items, carts)) == [(1, 80, 50, 130)]
 
 
-# 10**6: one in-order pass; 50: running totals first; 0: every step in its large-group form.
-@pytest.mark.parametrize("group_limit", [10**6, 50, 0])
-@pytest.mark.parametrize("seed", range(2))
-def test_equals_one_line_at_a_time(spark, rows, seed, group_limit):
+# 10**6: every item is folded; 50: the busy one goes through rounds first; 0: rounds to the end.
+@pytest.mark.parametrize("few, seed", [(10**6, 0), (50, 0), (50, 1), (0, 1)])
+def test_equals_one_line_at_a_time(spark, rows, few, seed):
     rng = random.Random(seed)
     stock = {i: rng.choice([0, 3, 17, 60, 1500]) for i in range(5)}
     # Item 0 gets most of the lines.
     lines = [
-        (rng.randint(1, 40), seq, rng.choice([0, 0, 0, 0, 1, 2, 3, 4, 5]), rng.randint(-1, 12))
+        (rng.randint(1, 40), seq, rng.choice([0, 0, 0, 0, 1, 2, 3, 4, 5]), rng.randint(-1, 300))
         for seq in rng.sample(range(1000), 400)
     ]
     left, expected = dict(stock), []
@@ -77,7 +76,7 @@ def test_equals_one_line_at_a_time(spark, rows, seed, group_limit):
         [(i, f"i{i}", 1, s) for i, s in stock.items()],
         "item_id int, name string, price int, stock int",
     )
-    filled = f.fill_lines(lines_df, items_df, ["seq"], group_limit)
+    filled = f.fill_lines(lines_df, items_df, ["seq"], few)
     assert rows(filled) == sorted(expected, key=repr)
     assert dict(rows(f.remaining_stock(items_df, filled))) == left
 
@@ -88,3 +87,22 @@ def test_large_and_missing_cart_ids_pass_unchanged(spark, rows):
     schema = "cart_id bigint, seq int, item_id int, qty int"
     filled = f.fill_lines(spark.createDataFrame(lines, schema), items, ["seq"])
     assert rows(filled) == rows(spark.createDataFrame(lines[:2], schema))
+
+
+def test_a_busy_item_ends_without_a_long_fold(spark, rows, monkeypatch):
+    """Two large lines, then thousands of ones: the rounds leave at most ``few`` lines to any fold."""
+    folded = []
+    fold = f._one_by_one
+
+    def watched(open_lines, sequence):
+        folded.append(open_lines.groupBy("item_id").count().agg({"count": "max"}).first()[0] or 0)
+        return fold(open_lines, sequence)
+
+    monkeypatch.setattr(f, "_one_by_one", watched)
+    asked = [3600, 3601] + [1] * 6000
+    lines = spark.createDataFrame([(i, i, 1, q) for i, q in enumerate(asked)], LINES)
+    items = spark.createDataFrame([(1, "x", 1, 6000)], "item_id int, name string, price int, stock int")
+    filled = f.fill_lines(lines, items, ["seq"], few=100)
+    assert sorted(r.seq for r in filled.collect()) == [0, *range(2, 2402)]
+    assert max(folded) <= 100
+    assert "Python" not in filled._jdf.queryExecution().toString() and "Arrow" not in filled._jdf.queryExecution().toString()
