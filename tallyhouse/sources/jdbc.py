@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,21 +23,51 @@ class Split:
 
 @dataclass(frozen=True)
 class Newer:
-    """Rows whose column is above a mark, written as the database compares it; no mark means all.
+    """Rows whose column is above a mark, and not above ``upto`` if that is given, both written as the database compares it; no mark means all.
 
     The database applies it, so a run that catches up batch by batch is not sent old rows again.
     """
 
     column: str
     mark: str | None
+    upto: str | None = None
 
 
 def rows_query(table: str, newer: Newer | None = None) -> str:
-    query = f"SELECT * FROM {table}"
-    if newer is None or newer.mark is None:
-        return query
-    mark = newer.mark.replace("'", "''")
-    return f"{query} WHERE {newer.column} > '{mark}'"
+    bounds = []
+    if newer is not None:
+        for sign, mark in ((">", newer.mark), ("<=", newer.upto)):
+            if mark is not None:
+                text = mark.replace("'", "''")
+                bounds.append(f"{newer.column} {sign} '{text}'")
+    return f"SELECT * FROM {table}" + (f" WHERE {' AND '.join(bounds)}" if bounds else "")
+
+
+def utc_text(micros: int) -> str:
+    """A mark as most databases write a timestamp."""
+    instant = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)
+    return instant.isoformat(sep=" ", timespec="microseconds")
+
+
+def ranged_reader(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    column: str,
+    text: Callable[[int], str] = utc_text,
+) -> Callable[[int | None, int | None], DataFrame]:
+    """A function of two marks that has the database send the rows after one and up to the other only.
+
+    ``text`` writes a mark (microseconds since 1970, UTC) as the column holds it; the order of these texts
+    has to be that of the times.
+    """
+
+    def read(after: int | None, upto: int | None) -> DataFrame:
+        bounds = (None if m is None else text(m) for m in (after, upto))
+        return read_table(spark, url, table, properties, newer=Newer(column, *bounds))
+
+    return read
 
 
 def read_options(

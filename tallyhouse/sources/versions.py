@@ -50,9 +50,17 @@ class BatchedTable:
         self.log.commit(batch, record)
         del self._drafts[batch]
 
-    def batches(self, first: int, last: int) -> DataFrame:
-        """Rows of a range of committed batches; no other folder is listed or read."""
+    def pass_over(self, batch: int, **facts: object) -> None:
+        """Commit a record without rows: the facts move on, nothing is written or read for it."""
+        self.log.commit(batch, dict(facts))
+        self._drafts.pop(batch, None)
+
+    def batches(self, first: int, last: int) -> DataFrame | None:
+        """Rows of a range of committed batches; no other folder is listed or read. None without any."""
         records = [self.log.record(n) for n in range(first, last + 1)]
+        records = [r for r in records if "folder" in r]
+        if not records:
+            return None
         return self.spark.read.schema(StructType.fromJson(records[-1]["schema"])).parquet(
             *[f"{self.root}/{r['folder']}" for r in records]
         )
@@ -135,7 +143,7 @@ class VersionedTables:
                 tables.add(table)
                 needed.add((table, entry["folder"]))
         for table in sorted(tables):
-            for name in children(self.spark, f"{self.root}/{table}"):
+            for name in sorted(children(self.spark, f"{self.root}/{table}")):
                 version = int(name.removeprefix("version=").split("-")[0])
                 if version <= last and (table, name) not in needed:
                     remove(self.spark, self.path(table, name))

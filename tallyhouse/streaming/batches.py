@@ -26,6 +26,17 @@ def newer_than(df: DataFrame, ts: str, mark: Mark) -> DataFrame:
     return known.where(F.col(ts) > _mark(mark, df.schema[ts].dataType.simpleString()))
 
 
+def between(df: DataFrame, ts: str, after: Mark, upto: Mark) -> DataFrame:
+    """Rows after one mark, up to and with another; None leaves a side open.
+
+    Both are compared with the stored column, so the scan of a file or a database can skip rows.
+    """
+    fresh = newer_than(df, ts, after)
+    if upto is None:
+        return fresh
+    return fresh.where(F.col(ts) <= _mark(upto, df.schema[ts].dataType.simpleString()))
+
+
 def without_timestamp(df: DataFrame, ts: str) -> DataFrame:
     """Rows no batch will ever pick up."""
     return df.where(F.col(ts).isNull())

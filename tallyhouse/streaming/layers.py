@@ -1,6 +1,6 @@
 """Source -> bronze -> silver -> gold, one committed step at a time.
 
-* Bronze takes the next bounded batch after its mark and commits the batch with its new mark.
+* Bronze plans the bounded batches after its mark and commits each with its new mark.
 * Silver cleans one bronze batch into one silver batch of the same number.
 * Gold adds all silver batches it has not seen and commits the five tables together with the
   batch numbers they cover.
@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,21 +36,62 @@ from tallyhouse.plans.gold import (
 )
 from tallyhouse.sources.storage import read_text
 from tallyhouse.sources.versions import BatchedTable, VersionedTables
-from tallyhouse.streaming.batches import next_batch_whole, without_timestamp
+from tallyhouse.streaming.batches import between, next_batch_whole, without_timestamp
+from tallyhouse.streaming.catchup import plan_batches
+
+Reader = Callable[[int | None, int | None], DataFrame]
+Source = DataFrame | Reader
 
 BATCH_ROWS = 10_000
 TS = "publish_ts"
 
 
-def ingest(source: DataFrame, bronze: BatchedTable, batch_rows: int = BATCH_ROWS) -> int:
+def _as_reader(source: Source) -> Reader:
+    """Rows of the bronze form after one mark, up to another. A table's time column may be computed, so a
+    table is filtered after reading; a reader is given the marks and may have the source apply them."""
+
+    def read(after: int | None, upto: int | None) -> DataFrame:
+        rows = source(after, upto) if callable(source) else source
+        return between(with_publish_instant(rows), TS, after, upto)
+
+    return read
+
+
+def _write(table: BatchedTable, number: int, rows: DataFrame) -> tuple[DataFrame, dict]:
+    """Write a batch; what is returned beside it was counted while it was written."""
+    seen = Observation()
+    measures = [F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros(TS)).alias("mark")]
+    return table.write(number, rows.observe(seen, *measures)), seen.get
+
+
+def ingest(source: Source, bronze: BatchedTable, batch_rows: int = BATCH_ROWS) -> int:
     """Move the next batch of a raw video table into bronze; returns its row count."""
     done, record = bronze.state()
-    batch = next_batch_whole(with_publish_instant(source), TS, record.get("mark"), batch_rows)
-    written = bronze.write(done + 1, batch)
-    rows, mark = written.agg(F.count("*"), F.unix_micros(F.max(TS))).first()
-    if rows:
-        bronze.commit(done + 1, written, mark=mark, rows=rows)
-    return rows
+    mark = record.get("mark")
+    batch = next_batch_whole(_as_reader(source)(mark, None), TS, mark, batch_rows)
+    written, seen = _write(bronze, done + 1, batch)
+    if seen["rows"]:
+        bronze.commit(done + 1, written, mark=seen["mark"], rows=seen["rows"])
+    return seen["rows"]
+
+
+def catch_up(source: Source, bronze: BatchedTable, batch_rows: int = BATCH_ROWS) -> int:
+    """Move all that is newer than the mark into bronze, batch by batch; returns the number of batches.
+
+    The borders of all batches are planned first, so a batch reads its own range only. Each is committed
+    on its own: after a failure the next run plans from the last mark on. A mark is a planned border,
+    so it also holds when rows of its batch have gone from the source meanwhile.
+    """
+    read = _as_reader(source)
+    done, record = bronze.state()
+    mark, first = record.get("mark"), done
+    plan = plan_batches(read(mark, None), TS, mark, batch_rows).select(F.unix_micros("upto").alias("upto"))
+    for border in plan.toLocalIterator():
+        done += 1
+        written, seen = _write(bronze, done, read(mark, border.upto))
+        bronze.commit(done, written, mark=border.upto, rows=seen["rows"])
+        mark = border.upto
+    return done - first
 
 
 def unreadable(source: DataFrame) -> DataFrame:
@@ -79,10 +120,19 @@ def refine(
         if known is not None:
             rows = rows.join(known.select(skip_known), skip_known, "left_anti")
         number += 1
-        silver.commit(number, silver.write(number, rows), **{**_marks(record), "bronze": covers})
+        _commit(silver, number, rows, {**_marks(record), "bronze": covers})
     return max(last - done, 0)
 
 
+def _commit(silver: BatchedTable, number: int, rows: DataFrame, facts: Mapping[str, object]) -> None:
+    """Commit a cleaned batch. One that cleans to nothing only moves the record on."""
+    written, seen = _write(silver, number, rows)
+    if seen["rows"]:
+        silver.commit(number, written, **facts)
+    else:
+        silver.pass_over(number, **facts)
+
+
 def _marks(record: Mapping[str, object]) -> dict[str, object]:
     """What a silver record says about its sources: every new record carries it on."""
     return {k: record[k] for k in ("bronze", "streams") if k in record}
@@ -96,7 +146,9 @@ def roll_up(silver: Mapping[str, BatchedTable], gold: VersionedTables) -> int |
         last, _ = table.state()  # one look: a batch committed from here on is for the next run
         seen = covered.get(country, 0)
         if last > seen:
-            fresh.append(table.batches(seen + 1, last).withColumn("country", F.lit(country)))
+            rows = table.batches(seen + 1, last)
+            if rows is not None:
+                fresh.append(rows.withColumn("country", F.lit(country)))
             covered[country] = last
     if not fresh:
         return None
@@ -128,7 +180,8 @@ def check_silver(
         last, _ = table.state()
         for number in range((after or {}).get(name, 0) + 1, last + 1):
             rows = table.batches(number, number)
-            reports.append(validate(rows, silver_suite(rows.columns), f"{name} batch {number}"))
+            if rows is not None:
+                reports.append(validate(rows, silver_suite(rows.columns), f"{name} batch {number}"))
     if reports:
         assert_all(union_by_name(reports))
 
@@ -140,7 +193,7 @@ def check_gold(gold: VersionedTables) -> None:
 
 
 def run_pipeline(
-    sources: Mapping[str, DataFrame],
+    sources: Mapping[str, Source],
     bronze: Mapping[str, BatchedTable],
     silver: Mapping[str, BatchedTable],
     gold: VersionedTables,
@@ -149,12 +202,13 @@ def run_pipeline(
 ) -> int | None:
     """The whole chain: every country to bronze and silver, gate, gold, gate, publish.
 
+    A source is a table, or a function of two marks (microseconds since 1970 or None) that reads the rows
+    after one and up to the other, such as ``jdbc.ranged_reader``.
     Returns the gold version, or None if no source had anything new. What gold does not cover yet is
     checked before it is added; a failed gate stops the run, and the next run checks it again.
     """
     for country, source in sources.items():
-        while ingest(source, bronze[country], batch_rows):
-            pass
+        catch_up(source, bronze[country], batch_rows)
         refine(bronze[country], silver[country])
     check_silver(silver, gold.state()[1].get("covered", {}))
     version = roll_up(silver, gold)
@@ -169,9 +223,8 @@ def _stream_step(silver: BatchedTable, stream: str, batch: DataFrame, epoch: int
     last, record = silver.state()
     streams = record.get("streams", {})
     if epoch > streams.get(stream, -1):
-        written = silver.write(last + 1, clean_videos(with_publish_instant(batch)))
         marks = {**_marks(record), "streams": {**streams, stream: epoch}}
-        silver.commit(last + 1, written, **marks)
+        _commit(silver, last + 1, clean_videos(with_publish_instant(batch)), marks)
 
 
 def stream_to_silver(

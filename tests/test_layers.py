@@ -85,12 +85,59 @@ def test_late_rows_are_dropped_for_ever(lake):
 def test_batch_of_unreadable_rows_does_not_stop_the_pipeline(lake):
     bad = [video("x", "2017-11-13T10:00:00.000Z", views="?")]
     lake.run({"ca": bad})
-    assert lake.silver["ca"].read().count() == 0
+    assert lake.silver["ca"].read() is None and lake.silver["ca"].state()[1] == {"bronze": 1}
     lake.run({"ca": bad + feed(3, 6)})
     assert lake.silver["ca"].read().count() == 3
     lake.assert_gold_is_whole()
 
 
+def test_an_emptied_batch_does_not_block_the_gates(lake):
+    bad = [video("x", "2017-11-13T10:00:00.000Z", views="?")]
+    versions = []
+    for rows in (bad, bad + feed(3, 6), bad + feed(3, 9)):
+        versions.append(
+            layers.run_pipeline({"ca": lake.source(rows)}, lake.bronze, lake.silver, lake.gold, batch_rows=10)
+        )
+    assert versions == [None, 1, 2]
+    assert lake.silver["ca"].read().count() == 6
+    lake.assert_gold_is_whole()
+
+
+def test_catch_up_reads_each_batch_by_its_range(lake):
+    rows, asked = feed(0, 42) + feed(0, 42, "2017-11-14"), []
+    source = lake.source(rows)
+
+    def read(after, upto):
+        asked.append((after, upto))
+        return source
+
+    assert layers.catch_up(read, lake.bronze["ca"], batch_rows=4) == 21
+    assert lake.bronze["ca"].read().count() == 84
+    (start, *ranges) = asked  # the plan, then each batch once
+    assert start == (None, None) and len(ranges) == 21
+    assert [a for a, _ in ranges] == [None, *[u for _, u in ranges[:-1]]]
+    assert [lake.bronze["ca"].log.record(n)["rows"] for n in (1, 2, 21)] == [6, 3, 3]
+    assert layers.catch_up(read, lake.bronze["ca"], batch_rows=4) == 0
+
+
+def test_catch_up_goes_on_after_a_crash(lake, monkeypatch):
+    source, commit, left = lake.source(feed(0, 30)), lake.bronze["ca"].log.commit, [2]
+
+    def fails_third(*args):
+        if not left[0]:
+            raise Crash()
+        left[0] -= 1
+        return commit(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lake.bronze["ca"].log, "commit", fails_third)
+        with pytest.raises(Crash):
+            layers.catch_up(source, lake.bronze["ca"], batch_rows=6)
+    assert lake.bronze["ca"].read().count() == 12
+    layers.catch_up(source, lake.bronze["ca"], batch_rows=6)
+    assert lake.bronze["ca"].read().count() == 30 == lake.bronze["ca"].read().distinct().count()
+
+
 def test_rows_without_a_time_can_be_listed(lake):
     rows = [*feed(0, 1), video("x", "soon")]
     assert [r.video_id for r in layers.unreadable(lake.source(rows)).collect()] == ["x"]

@@ -111,6 +111,10 @@ def test_jdbc_options():
 
 def test_marks_reach_the_database():
     assert jdbc.rows_query("videos") == jdbc.rows_query("videos", jdbc.Newer("ts", None))
+    both = jdbc.Newer("ts", jdbc.utc_text(1), jdbc.utc_text(1_700_000_000_000_000))
+    assert jdbc.rows_query("v", both).endswith(
+        "WHERE ts > '1970-01-01 00:00:00.000001' AND ts <= '2023-11-14 22:13:20.000000'"
+    )
     newer = jdbc.Newer("publish_time", "2017-11-13T17:00:00.000Z' OR 'x")
     expected = "SELECT * FROM videos WHERE publish_time > '2017-11-13T17:00:00.000Z'' OR ''x'"
     assert jdbc.rows_query("videos", newer) == expected
@@ -141,3 +145,12 @@ def test_layouts_have_their_keys():
     for child, column, parent, key in schemas.FOREIGN_KEYS:
         assert layouts[child][column].dataType == layouts[parent][key].dataType
     assert isinstance(schemas.ITEMS, StructType) and isinstance(schemas.ITEMS[0], StructField)
+
+
+def test_a_reader_asks_for_its_range_only(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(jdbc, "read_table", lambda *a, newer: asked.append((a[2], newer)))
+    read = jdbc.ranged_reader(spark, "jdbc:x", "videos", {}, "publish_ts")
+    read(None, None), read(5, 1_000_000)
+    first, last = "1970-01-01 00:00:00.000005", "1970-01-01 00:00:01.000000"
+    assert asked == [("videos", jdbc.Newer("publish_ts", None, None)), ("videos", jdbc.Newer("publish_ts", first, last))]

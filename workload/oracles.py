@@ -527,6 +527,16 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (WHERE publish_ts <= TIMESTAMP '2024-01-03 12:00:00') AS dropped,
                count(*) FILTER (WHERE publish_ts > TIMESTAMP '2024-01-03 12:00:00') AS readable
         FROM hourly GROUP BY event_type"""),
+    "incr_plan": _with("hourly", """
+        SELECT row_number() OVER (ORDER BY publish_ts) AS batch,
+               strftime(lag(publish_ts) OVER (ORDER BY publish_ts), '%Y-%m-%d %H:%M:%S.%f') AS after,
+               strftime(publish_ts, '%Y-%m-%d %H:%M:%S.%f') AS border,
+               CAST(seen - coalesce(lag(seen) OVER (ORDER BY publish_ts), 0) AS BIGINT) AS rows
+        FROM (
+            SELECT publish_ts, count(*) AS n, sum(count(*)) OVER (ORDER BY publish_ts) AS seen,
+                   max(publish_ts) OVER () AS last
+            FROM hourly WHERE publish_ts > TIMESTAMP '2024-01-03 12:00:00' GROUP BY publish_ts)
+        WHERE floor(seen / 100) > floor((seen - n) / 100) OR publish_ts = last"""),
     # fulfilment
     "cart_rejects": _with("items lines", """
         SELECT l.cart_id, l.line_no, CAST(l.placed_on AS VARCHAR) AS placed_on, l.item_id, l.qty,

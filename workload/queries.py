@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tallyhouse.operators import changes, cleaning, dedup, fulfilment, grouping, joins, ranking
 from tallyhouse.operators.quality import HasType, foreign_key, key_rules, validate, validate_all
 from tallyhouse.plans import gold, loyalty, revenue, sales
-from tallyhouse.streaming import batches
+from tallyhouse.streaming import batches, catchup
 from workload.tables import (
     BATCH_ROWS,
     CHURN_DAYS,
@@ -19,6 +19,7 @@ from workload.tables import (
     LOYALTY_END,
     ORDER_STATUSES,
     ORDERS_AS_OF,
+    PLANNED_ROWS,
     ROLLUP_MARK,
     SPECIAL_PRODUCT,
     Tables,
@@ -245,6 +246,11 @@ def _incr_batch_ties(t: Tables) -> DataFrame:
     return batches.next_batch_whole(_hourly(t), "publish_ts", EVENT_MARK, BATCH_ROWS)
 
 
+def _incr_plan(t: Tables) -> DataFrame:
+    plan = catchup.plan_batches(_hourly(t), "publish_ts", EVENT_MARK, PLANNED_ROWS)
+    return plan.select("batch", "after", F.col("upto").alias("border"), "rows")
+
+
 def _incr_late_dropped(t: Tables) -> DataFrame:
     events = _hourly(t)
     late = batches.late_rows(events, "publish_ts", EVENT_MARK)
@@ -364,6 +370,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "incr_batch": _incr_batch,
     "incr_batch_ties": _incr_batch_ties,
     "incr_late_dropped": _incr_late_dropped,
+    "incr_plan": _incr_plan,
     # fulfilment
     "cart_rejects": lambda t: fulfilment.rejected_lines(t.cart_lines(), t.items()),
     "cart_accepted": _filled,

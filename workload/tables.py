@@ -24,6 +24,7 @@ FEED_CUTOFF = dt.datetime(1998, 4, 1)
 EVENT_MARK = dt.datetime(2024, 1, 3, 12)
 ROLLUP_MARK = dt.datetime(2024, 1, 16)
 BATCH_ROWS = 5_000
+PLANNED_ROWS = 100
 
 
 _SCHEMAS: dict[str, StructType] = {}
