@@ -13,6 +13,7 @@ from tallyhouse.functions.columns import (
     months_before,
     parse_day,
     parse_instant,
+    precise,
     year_month,
 )
 
@@ -29,5 +30,6 @@ __all__ = [
     "months_before",
     "parse_day",
     "parse_instant",
+    "precise",
     "year_month",
 ]

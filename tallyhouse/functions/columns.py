@@ -41,6 +41,12 @@ def money(c: Column | str, precision: int = 18) -> Column:
     return _col(c).cast(f"decimal({precision},2)")
 
 
+def precise(c: Column | str) -> Column:
+    """A double as an exact decimal of six digits after the point, so that sums do not depend on the order rows
+    arrive in. NULL for what does not fit (cleaned orders hold no such sum)."""
+    return _col(c).try_cast("decimal(28,6)")
+
+
 def clean_text(c: Column | str) -> Column:
     return F.lower(F.trim(_col(c)))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,8 +16,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     stop the query, as they do in SQL. Keys are unique in the target; rows with a NULL key match nothing.
     """
     hit = "__in_source"
-    incoming = _one_per_key(source, keys).withColumn(hit, F.lit(True)).alias("s")
-    merged = target.alias("t").join(incoming, list(keys), "full")
+    keyed = _has_key(keys)
+    incoming = _one_per_key(source.where(keyed), keys).withColumn(hit, F.lit(True)).alias("s")
+    merged = target.where(keyed).alias("t").join(incoming, list(keys), "full")
     changed = set(source.columns)
     columns = [
         F.when(F.col(hit), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
@@ -24,20 +26,29 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
         else F.col(c if c in keys else f"t.{c}")
         for c in target.columns
     ]
-    return merged.select(*columns)
+    # what has no key takes no part in the join, where all of it would meet in one task
+    new = source.where(~keyed).select([c for c in target.columns if c in changed])
+    return (
+        merged.select(*columns)
+        .unionByName(target.where(~keyed))
+        .unionByName(new, allowMissingColumns=True)
+    )
+
+
+def _has_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
 def _one_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source itself; running it fails if a key without NULL occurs twice.
+    """The source itself, whose keys are not NULL; running it fails if a key occurs twice.
 
     The window shares its partitioning with the join that follows.
     """
     times = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    whole = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)) == F.lit(False)
     message = F.lit(f"several source rows for one value of {', '.join(keys)}")
     checked = source.withColumn("__times", times)
     stop = F.raise_error(message).cast("boolean")
-    return checked.where(F.when(whole & (F.col("__times") > 1), stop).otherwise(True)).drop("__times")
+    return checked.where(F.when(F.col("__times") > 1, stop).otherwise(True)).drop("__times")
 
 
 def delete_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

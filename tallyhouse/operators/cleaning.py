@@ -43,8 +43,13 @@ def _complete(columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
+LARGEST_SUM = 1e15  # from here on, and for NaN, an amount is no amount
+
+
 def _valid_order() -> Column:
-    return (F.col("order_id") > 0) & (F.col("order_customer_id") > 0) & (F.col("sum") >= 0)
+    """NaN compares as larger than any number."""
+    amount = (F.col("sum") >= 0) & (F.col("sum") < LARGEST_SUM)
+    return (F.col("order_id") > 0) & (F.col("order_customer_id") > 0) & amount
 
 
 def clean_orders(raw: DataFrame) -> DataFrame:

@@ -14,6 +14,9 @@ def duplicates(df: DataFrame, columns: Sequence[str], name: str = "occurrences")
     return df.groupBy(*columns).agg(F.count("*").alias(name)).where(F.col(name) > 1)
 
 
+MOST_PIVOT_VALUES = 1_000  # looked-up values, each of which becomes a column
+
+
 def pivot_total(
     df: DataFrame,
     key: str,
@@ -24,11 +27,14 @@ def pivot_total(
 ) -> DataFrame:
     """One column per value and one, named ``rest``, for NULL and all values not declared.
 
-    Declaring the values fixes the schema and saves a job; without them they are looked up, in order.
+    Declaring the values fixes the schema and saves a job; without them they are looked up, in order. More than
+    MOST_PIVOT_VALUES of them raise: such a column is a key, not a heading.
     """
     if values is None:
         found = df.select(F.col(pivot).cast("string")).where(F.col(pivot).isNotNull()).distinct()
-        values = [r[0] for r in found.orderBy(pivot).collect()]
+        values = sorted((r[0] for r in found.limit(MOST_PIVOT_VALUES + 1).collect()), key=str.encode)
+        if len(values) > MOST_PIVOT_VALUES:
+            raise ValueError(f"{pivot} has more than {MOST_PIVOT_VALUES} values; declare those to show")
     if rest in values:
         raise ValueError(f"{rest!r} is a value of {pivot}; name the rest column otherwise")
     place = F.when(F.col(pivot).isin(list(values)), F.col(pivot).cast("string")).otherwise(rest)

@@ -83,7 +83,7 @@ def top_item_per_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
         .groupBy("customer_id", "product_name")
         .agg(F.sum("sold").alias("total_ordered"))
     )
-    return leaders(counted, ["customer_id"], "total_ordered")
+    return leaders(counted, ["customer_id"], "total_ordered").orderBy("customer_id", "product_name")
 
 
 def first_item_after(
@@ -95,7 +95,7 @@ def first_item_after(
     )
     return found.join(menu, "product_id").select(
         "customer_id", F.col("product_name").alias("FirstProduct"), "order_date"
-    )
+    ).orderBy("customer_id", "order_date", "FirstProduct")
 
 
 def last_item_before(
@@ -104,7 +104,7 @@ def last_item_before(
     found = last_before(sales, members, "customer_id", "order_date", "join_date", broadcast_rows)
     return found.join(menu, "product_id").select(
         "customer_id", F.col("product_name").alias("ProductBeforeMem"), "order_date"
-    )
+    ).orderBy("customer_id", "order_date", "ProductBeforeMem")
 
 
 def _with_membership(
@@ -148,6 +148,7 @@ def before_member_totals(
         .distinct()
         .join(totals, "customer_id", "left")
         .select("customer_id", F.coalesce("n", F.lit(0)).alias("total_items"), "amount_spent")
+        .orderBy("customer_id")
     )
 
 
@@ -159,6 +160,7 @@ def points_sushi(sales: DataFrame, menu: DataFrame, special: str = "sushi") -> D
         .join(menu, "product_id")
         .groupBy("customer_id")
         .agg(F.sum(F.col("price") * F.col("sold") * POINTS_PER_UNIT * factor).alias("total_points"))
+        .orderBy("customer_id")
     )
 
 
@@ -194,6 +196,7 @@ def points_first_week(
         _with_membership(bought, members, ["amount", "special_amount"], broadcast_rows)
         .groupBy("customer_id")
         .agg(F.sum(weighted * POINTS_PER_UNIT).alias("total_points"))
+        .orderBy("customer_id")
     )
 
 

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import days_between, money, year_month
+from tallyhouse.functions import days_between, precise, year_month
 from tallyhouse.operators.grouping import pivot_total
 from tallyhouse.operators.ranking import with_rank
 
 
 def customer_revenue_rank(orders: DataFrame) -> DataFrame:
-    revenue = orders.groupBy("order_customer_id").agg(F.sum(money("sum")).alias("total_revenue"))
+    revenue = orders.groupBy("order_customer_id").agg(F.sum(precise("sum")).alias("total_revenue"))
     return with_rank(revenue, "total_revenue", name="rank", save=True)
 
 
@@ -22,13 +22,13 @@ def status_pivot(orders: DataFrame, statuses: Sequence[str] | None = None) -> Da
 
     NULL where a customer has none. Without ``statuses`` those in the table are looked up.
     """
-    exact = orders.withColumn("sum", money("sum"))
+    exact = orders.withColumn("sum", precise("sum"))
     return pivot_total(exact, "order_customer_id", "order_status", "sum", statuses)
 
 
 def monthly_revenue(orders: DataFrame) -> DataFrame:
     return orders.groupBy(year_month("order_date").alias("year_month")).agg(
-        F.sum(money("sum")).alias("monthly_revenue")
+        F.sum(precise("sum")).alias("monthly_revenue")
     ).orderBy("year_month")
 
 

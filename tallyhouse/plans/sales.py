@@ -80,7 +80,7 @@ def top_products(products: DataFrame, details: DataFrame, k: int = 10) -> DataFr
 
 
 def customers_per_rep(employees: DataFrame, customers: DataFrame) -> DataFrame:
-    """Every employee with the number of customers served, 0 included."""
+    """Every employee with the number of customers served, 0 included, most customers first."""
     served = customers.groupBy(F.col("salesRepEmployeeNumber").alias("employeeNumber")).agg(
         F.count("customerNumber").alias("n")
     )
@@ -88,4 +88,4 @@ def customers_per_rep(employees: DataFrame, customers: DataFrame) -> DataFrame:
         "employeeNumber",
         full_name("firstName", "lastName").alias("employeeName"),
         F.coalesce("n", F.lit(0)).alias("customerCount"),
-    ).orderBy("employeeNumber")
+    ).orderBy(F.col("customerCount").desc(), "employeeNumber")

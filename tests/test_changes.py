@@ -90,3 +90,15 @@ def test_merge_stops_at_repeated_source_keys(master, updates, table):
             change(master, twice, ["customer_id"]).collect()
     nameless = table(SCHEMA, [(None, "x", "1"), (None, "y", "2")])
     assert changes.merge_upsert(master, nameless, ["customer_id"]).count() == 6
+
+
+def test_rows_without_a_key_take_no_part_in_the_join(spark, rows):
+    """They pass, target and source, in as many tasks as they come in."""
+    target = spark.createDataFrame([(1, "a", 1), (None, "t", 2)], "id int, name string, n int")
+    source = spark.createDataFrame([(1, "b"), (None, "x"), (None, "x"), (2, "c")], "id int, name string")
+    assert rows(changes.merge_upsert(target, source, ["id"])) == sorted(
+        [(1, "b", 1), (2, "c", None), (None, "t", 2), (None, "x", None), (None, "x", None)], key=repr
+    )
+    many = spark.range(0, 3000, 1, 3).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("id"), F.lit("s").alias("name"))
+    merged = changes.merge_upsert(target, many, ["id"]).withColumn("task", F.spark_partition_id())
+    assert merged.where("id is null and name = 's'").select("task").distinct().count() == 3

@@ -184,3 +184,24 @@ def test_top_payers_break_ties_by_customer(table, menu, rows):
         [(c, day(1), 1) for c in "FEDCBA"],
     )
     assert [r[0] for r in rows(loyalty.top5_payers(sales, menu))] == list("ABCDE")
+
+
+def test_answers_come_in_order(spark):
+    """By customer, then by what tells the rows of one customer apart; many tasks take part."""
+    days = [dt.date(2021, 1, d) for d in (1, 2, 3)]
+    sales = spark.createDataFrame(
+        [(f"c{c:02d}", days[(c + p) % 3], p) for c in range(40) for p in (1, 2, 3)],
+        "customer_id string, order_date date, product_id int",
+    ).repartition(7)
+    menu = spark.createDataFrame([(1, "z", 5), (2, "a", 5), (3, "m", 5)], "product_id int, product_name string, price int")
+    members = spark.createDataFrame([(f"c{c:02d}", days[c % 2]) for c in range(39, -1, -1)], "customer_id string, join_date date")
+    for found in (
+        loyalty.top_item_per_customer(sales, menu),
+        loyalty.first_item_after(sales, menu, members).select("customer_id", "order_date", "FirstProduct"),
+        loyalty.last_item_before(sales, menu, members).select("customer_id", "order_date", "ProductBeforeMem"),
+        loyalty.before_member_totals(sales, menu, members),
+        loyalty.points_sushi(sales, menu),
+        loyalty.points_first_week(sales, menu, members, dt.date(2021, 12, 31)),
+    ):
+        rows = [tuple(r) for r in found.collect()]
+        assert len(rows) > 10 and [r[:2] for r in rows] == sorted(r[:2] for r in rows)

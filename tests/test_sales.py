@@ -83,3 +83,8 @@ def test_customers_per_rep_keeps_idle_reps_and_null_names(employees, customers,
         (8, None, 1),
         (9, "Cy Poe", 0),
     ]
+
+
+def test_customers_per_rep_is_ordered_by_count(employees, customers, table):
+    more = customers.unionByName(table("customerNumber int, salesRepEmployeeNumber int", [(5, 8), (6, 8)]))
+    assert [r.employeeNumber for r in sales.customers_per_rep(employees, more).collect()] == [8, 7, 9]

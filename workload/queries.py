@@ -357,7 +357,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # table changes
     "merge_upsert": lambda t: changes.merge_upsert(t.feed(False), t.feed(True), FEED_KEYS),
     "delete_missing": lambda t: changes.delete_missing(t.feed(False), t.feed(True), FEED_KEYS),
-    "full_sync": lambda t: changes.full_sync(t.feed(False), t.feed(True), FEED_KEYS),
+    "full_sync": lambda t: changes.full_sync(t.feed(False), t.feed(True), FEED_KEYS).orderBy(*FEED_KEYS),
     "delete_where": lambda t: changes.delete_where(
         t.feed(True).drop("last_order", "total"), F.col("status") == "F"
     ),
