@@ -12,7 +12,9 @@ Collisions are counted without merging whole lists:
 * of the rest only a prefix is merged, the rarest values but for the last 33 of the 64: two classes that
   collide in 34 share one of it. The skipped, longer lists are looked up for candidates only;
 * classes in one list are compared with a pivot first; what links to it is one component. Lists whose
-  classes are all in one component are skipped, and so are pairs inside a component.
+  classes are all in one component are skipped, and so are pairs inside a component;
+* for classes in lists that are still open, the shingles that no other of them has are counted. They
+  bound the similarity of every pair, so that copies with many changes of their own are not paired off.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm import text as tx
 from tallyhouse.llm.components import components
 from tallyhouse.llm.frames import in_arrow
-from tallyhouse.llm.ngram_join import Grams, confirmed, gram_sets
+from tallyhouse.llm.ngram_join import Grams, confirmed, gram_sets, texts_of
 from tallyhouse.llm.storage import stored
 
 LONG_LIST = 64  # lists with more classes left are compared block against block
@@ -142,22 +144,47 @@ def _to_pivots(lists: DataFrame, turn: int) -> DataFrame:
     return _ends(rows.union(pivots.join(upper, ["pair", "size_block"]).select("doc_id", "pivot")), "doc_id", "pivot")
 
 
-def _between_labels(lists: DataFrame, classes: DataFrame, signature: Signature) -> DataFrame:
-    """(a, b): all pairs of classes of like size in a list that are in different components and collide enough."""
-    short = lists.where(F.col("members") <= LONG_LIST)
-    other = short.select(
-        "pair", F.col("doc_id").alias("o_doc"), F.col("label").alias("o_label"), F.col("size_block").alias("o_block")
+def _bounded(lists: DataFrame, classes: DataFrame, docs: DataFrame, grams: Grams) -> DataFrame:
+    """lists with n, the size of the class's set, and common, how many of it another class in lists has too.
+
+    Classes of which no set could have enough are left out: a partner shares percent of n at least.
+    """
+    ids = lists.select("doc_id").distinct()
+
+    def work(batch: pa.RecordBatch) -> pa.Table:
+        out = []
+        for part in tx.slices(batch.column("text")):
+            row, gram = gram_sets(part.data, part.bounds, grams.n)
+            key = batch.column("doc_id").slice(part.first, part.rows).take(pa.array(row))
+            out.append(pa.table({"doc_id": key, "gram": tx.signed(gram)}))
+        return pa.concat_tables(out)
+
+    # rows that repeat a doc_id with another text only add shingles: the bound gets weaker, never wrong
+    held = in_arrow(texts_of(docs, ids), work, "doc_id long, gram long")
+    alone = held.groupBy("gram").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
+    alone = alone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = classes.join(ids, "doc_id", "left_semi").select("doc_id", F.col("n_shingles").alias("n"))
+    sizes = sizes.join(alone, "doc_id", "left").select(
+        "doc_id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common")
     )
-    near = (F.col("doc_id") < F.col("o_doc")) & (F.abs(F.col("size_block") - F.col("o_block")) <= 1)
-    pairs = short.join(other, "pair").where(near & (F.col("label") != F.col("o_label")))
-    found = retained(stored(_ends(pairs, "doc_id", "o_doc")), classes, signature)
+    return lists.join(sizes.where(100 * F.col("common") >= grams.percent * F.col("n")), "doc_id")
+
+
+def _between_labels(lists: DataFrame, classes: DataFrame, grams: Grams, signature: Signature) -> DataFrame:
+    """(a, b): all pairs of classes in a list that are in different components, not ruled out, and collide enough."""
+    short = lists.where(F.col("members") <= LONG_LIST)
+    other = short.select("pair", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "label", "n", "common")])
+    most = F.least("common", "o_common")
+    possible = 100 * most >= grams.percent * (F.col("n") + F.col("o_n") - most)
+    pairs = short.join(other, "pair").where((F.col("doc_id") < F.col("o_doc_id")) & (F.col("label") != F.col("o_label")) & possible)
+    found = retained(stored(_ends(pairs, "doc_id", "o_doc_id")), classes, signature)
     long = lists.where(F.col("members") > LONG_LIST)
     if not long.isEmpty():
-        found = found.union(_block_pairs(long, classes, signature)).distinct()
+        found = found.union(_block_pairs(long, classes, grams, signature)).distinct()
     return found
 
 
-def _block_pairs(lists: DataFrame, classes: DataFrame, signature: Signature) -> DataFrame:
+def _block_pairs(lists: DataFrame, classes: DataFrame, grams: Grams, signature: Signature) -> DataFrame:
     """What _between_labels() gives for long lists: blocks of a list against blocks of it of like size."""
     import pandas as pd
 
@@ -180,17 +207,20 @@ def _block_pairs(lists: DataFrame, classes: DataFrame, signature: Signature) ->
     members = lists.join(sizes, ["pair", "size_block"]).withColumn(
         "block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     )
-    dealt = members.join(sides, ["pair", "size_block", "block"]).select("meeting", "side", "doc_id", "label")
+    dealt = members.join(sides, ["pair", "size_block", "block"]).select(
+        "meeting", "side", "doc_id", "label", "n", "common"
+    )
     dealt = dealt.join(classes.select("doc_id", "pairs"), "doc_id")
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         values = np.stack(rows["pairs"].to_list())
-        side, ids, label = (rows[c].to_numpy() for c in ("side", "doc_id", "label"))
+        side, ids, label, n, common = (rows[c].to_numpy() for c in ("side", "doc_id", "label", "n", "common"))
         right = np.flatnonzero(side != 0)
         out = []
         for i in np.flatnonzero(side != 1):
-            hit = (values[right] == values[i]).sum(axis=1) >= signature.matches
-            hit = right[hit & (label[right] != label[i])]
+            most = np.minimum(common[right], common[i])
+            hit = right[(100 * most >= grams.percent * (n[right] + n[i] - most)) & (label[right] != label[i])]
+            hit = hit[(values[hit] == values[i]).sum(axis=1) >= signature.matches]
             out.append(np.stack([np.minimum(ids[hit], ids[i]), np.maximum(ids[hit], ids[i])], axis=1))
         pairs = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -207,7 +237,9 @@ def links(docs: DataFrame, classes: DataFrame, grams: Grams, signature: Signatur
         new = confirmed(near, docs, grams)
         found = stored(new if found is None else found.union(new))
         left = stored(_labelled(left, found))
-    rest = stored(_between_labels(left, classes, signature))
+    for _ in range(2):  # what goes in the first round leaves others with less in common
+        left = stored(_bounded(left.drop("n", "common"), classes, docs, grams))
+    rest = stored(_between_labels(left, classes, grams, signature))
     return found if rest.isEmpty() else found.union(confirmed(rest, docs, grams))
 
 

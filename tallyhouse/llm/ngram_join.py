@@ -189,7 +189,7 @@ def possible(pairs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
     ).distinct()
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """doc_id, text of the rows of docs whose doc_id is among ids (one column)."""
     wanted = stored(ids.select(F.col(ids.columns[0]).alias("wanted")).distinct())
     near = bloom.narrowed(docs.select("doc_id", "text"), "doc_id", bloom.build(wanted))
@@ -203,7 +203,7 @@ def compare(pairs: DataFrame, docs: DataFrame, classes: DataFrame, grams: Grams)
 
 def confirmed(pairs: DataFrame, docs: DataFrame, grams: Grams) -> DataFrame:
     """The pairs (a, b) whose texts are linked. A text is looked up once for each side of each pair."""
-    texts = stored(_texts(docs, pairs.select("a").union(pairs.select("b"))))
+    texts = stored(texts_of(docs, pairs.select("a").union(pairs.select("b"))))
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
@@ -358,7 +358,7 @@ def _rest_of_long_lists(lists: DataFrame, docs: DataFrame, grams: Grams) -> Data
         & (F.col("part") == F.col("m_part"))
         & same("own", "m_own"),
     ).select("pair", "side", F.col("m_doc_id").alias("doc_id"), F.col("m_label").alias("label"))
-    return _compare_blocks(dealt.join(_texts(docs, dealt.select("doc_id")), "doc_id"), grams)
+    return _compare_blocks(dealt.join(texts_of(docs, dealt.select("doc_id")), "doc_id"), grams)
 
 
 def links(docs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
