@@ -185,9 +185,13 @@ def _between_labels(lists: DataFrame, classes: DataFrame, grams: Grams, signatur
 
 
 def _block_pairs(lists: DataFrame, classes: DataFrame, grams: Grams, signature: Signature) -> DataFrame:
-    """What _between_labels() gives for long lists: blocks of a list against blocks of it of like size."""
+    """What _between_labels() gives for long lists: blocks of a list against blocks of it of like size.
+
+    Two classes meet in every list that both are in; the least of these lists answers for them.
+    """
     import pandas as pd
 
+    posted = lists.groupBy("doc_id").agg(F.collect_list("pair").alias("posted"))  # a prefix at most
     sizes = stored(
         lists.groupBy("pair", "size_block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     )
@@ -208,19 +212,24 @@ def _block_pairs(lists: DataFrame, classes: DataFrame, grams: Grams, signature:
         "block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     )
     dealt = members.join(sides, ["pair", "size_block", "block"]).select(
-        "meeting", "side", "doc_id", "label", "n", "common"
+        "meeting", "pair", "side", "doc_id", "label", "n", "common"
     )
-    dealt = dealt.join(classes.select("doc_id", "pairs"), "doc_id")
+    dealt = dealt.join(classes.select("doc_id", "pairs").join(posted, "doc_id"), "doc_id")
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         values = np.stack(rows["pairs"].to_list())
+        listed = np.stack([np.isin(v, p) for v, p in zip(values, rows["posted"], strict=True)])
+        this, none = rows["pair"].iloc[0], np.iinfo(np.int64).max
         side, ids, label, n, common = (rows[c].to_numpy() for c in ("side", "doc_id", "label", "n", "common"))
         right = np.flatnonzero(side != 0)
         out = []
         for i in np.flatnonzero(side != 1):
             most = np.minimum(common[right], common[i])
             hit = right[(100 * most >= grams.percent * (n[right] + n[i] - most)) & (label[right] != label[i])]
-            hit = hit[(values[hit] == values[i]).sum(axis=1) >= signature.matches]
+            same = values[hit] == values[i]
+            enough = same.sum(axis=1) >= signature.matches
+            hit, same = hit[enough], same[enough] & listed[hit[enough]] & listed[i]
+            hit = hit[np.where(same, values[i], none).min(axis=1, initial=none) == this]
             out.append(np.stack([np.minimum(ids[hit], ids[i]), np.maximum(ids[hit], ids[i])], axis=1))
         pairs = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
