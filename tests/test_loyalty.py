@@ -88,29 +88,27 @@ def test_most_purchased_and_favourites(sales, menu, rows):
 both_sizes = pytest.mark.parametrize("size", [1_000_000, 0])
 
 
-@both_sizes
-def test_first_after_and_last_before_joining(sales, menu, members, rows, size):
-    assert rows(loyalty.first_item_after(sales, menu, members, size)) == [
+def test_first_after_and_last_before_joining(sales, menu, members, rows):
+    assert rows(loyalty.first_item_after(sales, menu, members)) == [
         ("A", "curry", day(7)),
         ("B", "ramen", day(16)),
     ]
-    assert rows(loyalty.last_item_before(sales, menu, members, size)) == [
+    assert rows(loyalty.last_item_before(sales, menu, members)) == [
         ("A", "sushi", day(1)),
         ("B", "sushi", day(4)),
     ]
 
 
-@both_sizes
-def test_all_items_of_the_chosen_day_are_returned(table, menu, members, rows, size):
+def test_all_items_of_the_chosen_day_are_returned(table, menu, members, rows):
     sales = table(
         "customer_id string, order_date date, product_id int",
         [("A", day(8), 1), ("A", day(8), 2), ("A", day(9), 3), ("A", day(6), 3), ("A", day(6), 3)],
     )
-    assert rows(loyalty.first_item_after(sales, menu, members, size)) == [
+    assert rows(loyalty.first_item_after(sales, menu, members)) == [
         ("A", "curry", day(8)),
         ("A", "sushi", day(8)),
     ]
-    assert rows(loyalty.last_item_before(sales, menu, members, size)) == [
+    assert rows(loyalty.last_item_before(sales, menu, members)) == [
         ("A", "ramen", day(6)),
         ("A", "ramen", day(6)),
     ]
@@ -125,8 +123,7 @@ def test_unlisted_first_product_gives_no_row_not_the_next_one(table, menu, membe
     assert rows(loyalty.last_item_before(sales, menu, members)) == []
 
 
-@both_sizes
-def test_two_memberships_are_anchored_separately(table, menu, rows, size):
+def test_two_memberships_are_anchored_separately(table, menu, rows):
     sales = table(
         "customer_id string, order_date date, product_id int",
         [("A", day(2), 1), ("A", day(8), 2)],
@@ -134,7 +131,7 @@ def test_two_memberships_are_anchored_separately(table, menu, rows, size):
     members = table(
         "customer_id string, join_date date", [("A", day(1)), ("A", day(5))]
     )
-    assert rows(loyalty.first_item_after(sales, menu, members, size)) == [
+    assert rows(loyalty.first_item_after(sales, menu, members)) == [
         ("A", "curry", day(8)),
         ("A", "sushi", day(2)),
     ]
@@ -205,3 +202,33 @@ def test_answers_come_in_order(spark):
     ):
         rows = [tuple(r) for r in found.collect()]
         assert len(rows) > 10 and [r[:2] for r in rows] == sorted(r[:2] for r in rows)
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"], ids=["one run", "many runs"])
+def test_nearest_days_of_a_busy_key_over_many_runs(spark, coalesce):
+    """Against a look at every event for every anchor; one key has most of the events."""
+    import random
+
+    from tallyhouse.operators import asof
+
+    r = random.Random(4)
+    start = dt.date(2020, 1, 1)
+    days = lambda: start + dt.timedelta(days=r.randrange(900))
+    events = [(r.choice(["hot", "hot", "hot", "b", None]), r.choice([days(), days(), days(), None]), i) for i in range(600)]
+    anchors = [(r.choice(["hot", "b", "c", None]), r.choice([days(), start, dt.date(2023, 1, 1), None])) for _ in range(80)]
+    event_df = spark.createDataFrame(events, "k string, d date, id int").repartition(5)
+    anchor_df = spark.createDataFrame(anchors, "k string, a date")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        if coalesce == "false":
+            runs = asof._merged(event_df, anchor_df, "k", "d", "a")
+            assert runs.where("k = 'hot'").select("__run").distinct().count() > 1
+        for search, fits, pick in ((asof.first_on_or_after, lambda d, a: d >= a, min), (asof.last_before, lambda d, a: d < a, max)):
+            expected = set()
+            for k, a in set(anchors):
+                near = [d for key, d, _ in events if k is not None and key == k and a and d and fits(d, a)]
+                expected |= {(k, d, i, a) for key, d, i in events if near and key == k and d == pick(near)}
+            found = [tuple(x) for x in search(event_df, anchor_df, "k", "d", "a").select("k", "d", "id", "a").collect()]
+            assert len(found) == len(set(found)) and set(found) == expected
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

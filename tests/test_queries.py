@@ -6,8 +6,9 @@ import pytest
 
 from __spark_entry__ import entry
 from __spark_entry__ import queries as registered
+from tallyhouse.operators import asof
 from tallyhouse.operators.ranking import nth_values
-from tallyhouse.plans import gold, loyalty
+from tallyhouse.plans import gold
 from tests.compare import DATA, connect, difference
 from workload.oracles import ORACLES
 from workload.queries import queries
@@ -55,12 +56,17 @@ def test_no_query_pairs_all_rows(spark, no_broadcast, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["top_item_per_customer", "dedup_latest", "clean_events", "cart_accepted"]
+    "name", ["top_item_per_customer", "dedup_latest", "clean_events"]
 )
 def test_losers_are_dropped_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit.*Partial", plan(spark, name))
 
 
+@pytest.mark.parametrize("name", ["cart_accepted", "cart_remaining", "cart_bill", "inventory_after", "rank", "ntile"])
+def test_no_python_worker_takes_part(spark, name):
+    assert not re.search("Python|Arrow|Pandas", plan(spark, name))
+
+
 def test_lower_values_are_dropped_before_the_shuffle(spark):
     orders = Tables(spark, FOLDER).read("orders")
     nth = nth_values(orders, ["o_orderpriority"], "o_totalprice", 3)
@@ -68,12 +74,12 @@ def test_lower_values_are_dropped_before_the_shuffle(spark):
     assert re.search(r"WindowGroupLimit.*Partial", text)
 
 
-def test_many_anchors_meet_one_row_per_day(spark, no_broadcast):
+def test_a_day_is_in_the_merged_stream_once(spark):
     t = Tables(spark, FOLDER)
-    found = loyalty.first_item_after(t.loyalty_sales(), t.menu(), t.members(), broadcast_rows=0)
-    text = re.sub(r"#\d+L?", "", found._jdf.queryExecution().executedPlan().toString())
-    anchored = text[text.index("SortMergeJoin [customer_id], [customer_id], Inner") :]
-    assert "HashAggregate(keys=[customer_id, order_date], functions=[]" in anchored
+    sales, members = t.loyalty_sales(), t.members()
+    stream = asof._merged(sales, members, "customer_id", "order_date", "join_date")
+    days = sales.select("customer_id", "order_date").distinct().count()
+    assert stream.count() == days + members.count() < sales.count() + members.count()
 
 
 @pytest.mark.parametrize(
