@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.quality import MinRows, NotNull, Rule, Unique, key_rules
-from tallyhouse.operators.rollup import ROW_COUNT, Rollup
+from tallyhouse.operators.rollup import ROW_COUNT, DistinctCount, Rollup
 
 CHANNEL_PERFORMANCE = Rollup(
     "channel_performance",
@@ -57,6 +57,10 @@ ROLLUPS = {
 }
 
 
+#: Videos, not rows: a video that comes back in a later batch counts once.
+DISTINCT_VIDEOS = DistinctCount("distinct_videos", ("country",), "video_id")
+
+
 def with_month(rows: DataFrame) -> DataFrame:
     """The calendar parts the monthly rollup groups by."""
     return rows.withColumns({"year": F.year("trending_date"), "month": F.month("trending_date")})

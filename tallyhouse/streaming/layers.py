@@ -7,7 +7,8 @@
 
 A step that dies before its commit leaves nothing visible and is repeated from the same input, so
 rows are neither lost nor counted twice. Videos are unique within a silver batch; a video that
-comes back in a later batch is a new row, and gold counts rows.
+comes back in a later batch is a new row, and gold counts rows. Beside the five tables gold keeps a sketch
+of the videos of each country, in which such a video counts once.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from tallyhouse.plans.gold import (
     CATEGORY_PERFORMANCE,
     CHANNEL_COUNTRY,
     CHANNEL_PERFORMANCE,
+    DISTINCT_VIDEOS,
     MONTHLY_TRENDING,
     OVERALL_KPIS,
     ROLLUPS,
@@ -168,6 +170,8 @@ def roll_up(silver: Mapping[str, BatchedTable], gold: VersionedTables) -> int |
     )
     kpis = channels.withColumnRenamed("video_count", "total_videos")
     draft.write(OVERALL_KPIS.name, add_up(kpis, OVERALL_KPIS.keys, list(OVERALL_KPIS.measures)))
+    seen = gold.read(DISTINCT_VIDEOS.name)
+    draft.write(DISTINCT_VIDEOS.name, DISTINCT_VIDEOS.merge(seen, DISTINCT_VIDEOS.delta(delta)))
     return draft.commit(covered=covered)
 
 

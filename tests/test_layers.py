@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.quality import QualityError
-from tallyhouse.plans.gold import ROLLUPS, with_month
+from tallyhouse.plans.gold import DISTINCT_VIDEOS, ROLLUPS, with_month
 from tallyhouse.sources.schemas import RAW_VIDEOS
 from tallyhouse.sources.versions import BatchedTable, VersionedTables
 from tallyhouse.streaming import layers
@@ -152,6 +152,9 @@ def test_same_video_in_two_batches(lake):
         layers.ingest(lake.source(rows), lake.bronze["ca"])
     layers.refine(lake.bronze["ca"], lake.silver["ca"])
     assert lake.silver["ca"].read().count() == 4
+    layers.roll_up(lake.silver, lake.gold)
+    assert lake.gold.read("overall_kpis").first().total_videos == 4
+    assert rows_of(DISTINCT_VIDEOS.estimate(lake.gold.read("distinct_videos"))) == [("ca", 3)]
     layers.refine(lake.bronze["ca"], lake.silver["us"], skip_known="video_id")
     assert lake.silver["us"].read().count() == 3
 

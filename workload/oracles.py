@@ -389,6 +389,11 @@ ORACLES: dict[str, str] = {
     "rollup_merge_overall_kpis": _with("videos", _rollup("country", _KPIS)),
     "rollup_merge_channel_country": _with("videos", _rollup(
         "channel_title, country", "CAST(sum(views) AS BIGINT) AS total_views")),
+    "gold_distinct_videos": _with("videos", """
+        SELECT country, count(*) FILTER (WHERE publish_ts <= TIMESTAMP '2024-01-16')
+                 + count(*) FILTER (WHERE publish_ts > TIMESTAMP '2024-01-16' - INTERVAL 5 DAY) AS row_count,
+               count(DISTINCT video_id) AS distinct_videos, true AS within_2_percent
+        FROM videos GROUP BY country"""),
     "daily_sales": _with("revenue_orders", """
         SELECT CAST(order_date AS VARCHAR) AS order_date, CAST(sum(amount) AS DOUBLE) AS total_sales
         FROM revenue_orders GROUP BY order_date"""),

@@ -150,6 +150,23 @@ def _rollup_merge(name: str) -> Callable[[Tables], DataFrame]:
     return merged
 
 
+def _distinct_videos(t: Tables) -> DataFrame:
+    """Two batches that share five days, the later one merged twice: rows counted and videos counted."""
+    videos, distinct = t.silver_videos(), gold.DISTINCT_VIDEOS
+    mark = F.lit(ROLLUP_MARK.isoformat(sep=" ")).cast("timestamp_ntz")
+    first = videos.where(F.col("publish_ts") <= mark)
+    second = videos.where(F.col("publish_ts") > mark - F.expr("INTERVAL '5' DAY"))
+    state, delta = distinct.delta(first), distinct.delta(second)
+    estimate = distinct.estimate(distinct.merge(distinct.merge(state, delta), delta), "estimate")
+    counted = first.unionByName(second).groupBy("country").agg(
+        F.count("*").alias("row_count"), F.count_distinct("video_id").alias("distinct_videos")
+    )
+    error = F.abs(F.col("estimate") - F.col("distinct_videos"))
+    return counted.join(estimate, "country").select(
+        "country", "row_count", "distinct_videos", (error <= 0.02 * F.col("distinct_videos")).alias("within_2_percent")
+    )
+
+
 def _daily_sales(t: Tables) -> DataFrame:
     slips = t.revenue_orders().withColumn("sum", F.col("sum").cast("decimal(18,2)"))
     return grouping.daily_total(slips, "order_date", "sum")
@@ -317,6 +334,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rollup_merge_monthly_trending": _rollup_merge("monthly_trending"),
     "rollup_merge_overall_kpis": _rollup_merge("overall_kpis"),
     "rollup_merge_channel_country": _rollup_merge("channel_country"),
+    "gold_distinct_videos": _distinct_videos,
     "daily_sales": _daily_sales,
     # patterns
     "above_group_avg": lambda t: ranking.above_group_mean(_staff(t), ["dept"], "salary"),
