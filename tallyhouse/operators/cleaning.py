@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import (
@@ -83,16 +83,69 @@ def with_publish_instant(raw: DataFrame) -> DataFrame:
     return raw.withColumn("publish_ts", parse_instant("publish_time")).drop("updated_at")
 
 
+def _video_casts() -> dict[str, Column]:
+    return {
+        "category_id": as_int("category_id"),
+        **{c: as_long(c) for c in VIDEO_COUNTS},
+        **{c: as_boolean(c) for c in VIDEO_FLAGS},
+        "trending_date": parse_day("trending_date", TRENDING_DAY),
+    }
+
+
+def _newest_first(columns: list[str]) -> list[Column]:
+    first = ("publish_ts", "trending_date")
+    return [F.col(c).desc() for c in (*first, *[c for c in columns if c not in first])]
+
+
 def clean_videos(bronze: DataFrame) -> DataFrame:
     """Cast, drop rows with any NULL (also those made by the casts), keep the newest per video."""
-    typed = bronze.withColumns(
-        {
-            "category_id": as_int("category_id"),
-            **{c: as_long(c) for c in VIDEO_COUNTS},
-            **{c: as_boolean(c) for c in VIDEO_FLAGS},
-            "trending_date": parse_day("trending_date", TRENDING_DAY),
-        }
-    ).drop("publish_time")
-    ordering = [F.col("publish_ts").desc(), F.col("trending_date").desc()]
-    ties = [F.col(c).desc() for c in typed.columns if c not in ("publish_ts", "trending_date")]
-    return latest_per_key(typed.where(_complete(typed.columns)), ["video_id"], ordering + ties)
+    typed = bronze.withColumns(_video_casts()).drop("publish_time")
+    complete = typed.where(_complete(typed.columns))
+    return latest_per_key(complete, ["video_id"], _newest_first(typed.columns))
+
+
+#: Why a video row is rejected; the n-th reason is bit n of the mask.
+VIDEO_REASONS = ("missing value", "unreadable number", "unreadable flag", "unreadable day", "older copy")
+
+
+def judge_videos(bronze: DataFrame) -> DataFrame:
+    """Every row of clean_videos' input, typed, with ``reasons`` (a bit mask, 0 for the rows that clean_videos keeps)
+    and, for the others, ``raw``: the row as it came, as JSON.
+
+    One pass: a row may have several reasons; only rows without another one are compared with other copies.
+    """
+    casts = _video_casts()
+    unreadable = {c: F.col(c).isNotNull() & cast.isNull() for c, cast in casts.items()}
+    some = lambda columns: reduce(lambda a, b: a | b, [unreadable[c] for c in columns])
+    found = [
+        ~_complete([c for c in bronze.columns if c != "publish_time"]),
+        some(["category_id", *VIDEO_COUNTS]),
+        some(VIDEO_FLAGS),
+        some(["trending_date"]),
+    ]
+    mask = reduce(lambda a, b: a + b, [F.when(c, 1 << bit).otherwise(0) for bit, c in enumerate(found)])
+    raw = F.to_json(F.struct(*bronze.columns))
+    marked = bronze.withColumns({"reasons": mask, "raw": raw}).withColumns(casts).drop("publish_time")
+    columns = [c for c in marked.columns if c not in ("reasons", "raw")]
+    copies = Window.partitionBy("video_id", F.col("reasons") == 0).orderBy(*_newest_first(columns))
+    older = (F.col("reasons") == 0) & (F.row_number().over(copies) > 1)
+    judged = marked.withColumn("reasons", F.when(older, 1 << len(found)).otherwise(F.col("reasons")))
+    return judged.withColumn("raw", F.when(F.col("reasons") != 0, F.col("raw")))
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    return judged.where("reasons = 0").drop("reasons", "raw")
+
+
+def rejected(judged: DataFrame) -> DataFrame:
+    """(reasons, raw) of the rows that are not accepted."""
+    return judged.where("reasons != 0").select("reasons", "raw")
+
+
+def count_reasons(judged: DataFrame) -> DataFrame:
+    """(reason, n_rows) for every reason, from one aggregate; ``accepted`` has no reason. A row counts for each of its."""
+    bits = [F.count_if(F.col("reasons").bitwiseAND(1 << b) != 0) for b in range(len(VIDEO_REASONS))]
+    names = ["accepted", *VIDEO_REASONS]
+    counts = judged.agg(*[c.alias(n) for c, n in zip([F.count_if(F.col("reasons") == 0), *bits], names, strict=True)])
+    rows = [F.struct(F.lit(n).alias("reason"), F.col(f"`{n}`").alias("n_rows")) for n in names]
+    return counts.select(F.inline(F.array(*rows)))

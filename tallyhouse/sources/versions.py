@@ -32,6 +32,7 @@ class BatchedTable:
         self.spark, self.root = spark, root.rstrip("/")
         self.log = CommitLog(spark, f"{self.root}/_commits")
         self._drafts: dict[int, str] = {}
+        self._rejects: dict[int, dict] = {}
 
     def state(self) -> tuple[int, dict]:
         """(last committed batch, its record)."""
@@ -47,13 +48,35 @@ class BatchedTable:
     def commit(self, batch: int, written: DataFrame, **facts: object) -> None:
         """Make what ``write`` returned for this batch visible."""
         record = {**facts, "folder": self._drafts[batch], "schema": written.schema.jsonValue()}
-        self.log.commit(batch, record)
-        del self._drafts[batch]
+        self.log.commit(batch, {**record, **self._beside(batch)})
+        self._forget(batch)
+
+    def write_rejects(self, batch: int, df: DataFrame) -> None:
+        """Write the rows a batch leaves out; they become visible by the commit of the batch."""
+        name = f"rejects={batch}-{_run_id()}"
+        df.write.parquet(f"{self.root}/{name}")
+        self._rejects[batch] = {"folder": name, "schema": df.schema.jsonValue()}
+
+    def _beside(self, batch: int) -> dict:
+        return {"rejects": self._rejects[batch]} if batch in self._rejects else {}
+
+    def _forget(self, batch: int) -> None:
+        self._drafts.pop(batch, None)
+        self._rejects.pop(batch, None)
+
+    def rejects(self, first: int, last: int) -> DataFrame | None:
+        """The rows that a range of committed batches left out, or None when none was kept."""
+        kept = [r["rejects"] for r in map(self.log.record, range(first, last + 1)) if "rejects" in r]
+        if not kept:
+            return None
+        return self.spark.read.schema(StructType.fromJson(kept[-1]["schema"])).parquet(
+            *[f"{self.root}/{r['folder']}" for r in kept]
+        )
 
     def pass_over(self, batch: int, **facts: object) -> None:
         """Commit a record without rows: the facts move on, nothing is written or read for it."""
-        self.log.commit(batch, dict(facts))
-        self._drafts.pop(batch, None)
+        self.log.commit(batch, {**facts, **self._beside(batch)})
+        self._forget(batch)
 
     def batches(self, first: int, last: int) -> DataFrame | None:
         """Rows of a range of committed batches; no other folder is listed or read. None without any."""

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyhouse.operators.cleaning import clean_videos, with_publish_instant
+from tallyhouse.operators.cleaning import accepted, clean_videos, judge_videos, rejected, with_publish_instant
 from tallyhouse.operators.grouping import union_by_name
+from tallyhouse.operators.lineage import saved
 from tallyhouse.operators.quality import assert_all, validate, validate_all
 from tallyhouse.operators.rollup import add_up
 from tallyhouse.plans.gold import (
@@ -106,22 +107,27 @@ def refine(
     silver: BatchedTable,
     clean: Callable[[DataFrame], DataFrame] = clean_videos,
     skip_known: str | None = None,
+    keep_rejects: bool = False,
 ) -> int:
     """Clean every bronze batch silver has not seen; returns the number of batches done.
 
     Silver's record holds the last bronze batch it covers, so its own numbers are free for other
     writers, such as a stream. ``skip_known`` names a key; rows whose key silver already holds are
-    then left out.
+    then left out. With ``keep_rejects`` a batch is judged once (by ``judge_videos``) and split into its accepted
+    rows and a reject table that the same commit makes visible.
     """
     number, record = silver.state()
     done = record.get("bronze", 0)
     last, _ = bronze.state()
     for covers in range(done + 1, last + 1):
-        rows = clean(bronze.batches(covers, covers))
+        judged = saved(judge_videos(bronze.batches(covers, covers))) if keep_rejects else None
+        rows = clean(bronze.batches(covers, covers)) if judged is None else accepted(judged)
         known = silver.read() if skip_known else None
         if known is not None:
             rows = rows.join(known.select(skip_known), skip_known, "left_anti")
         number += 1
+        if judged is not None:
+            silver.write_rejects(number, rejected(judged))
         _commit(silver, number, rows, {**_marks(record), "bronze": covers})
     return max(last - done, 0)
 
@@ -213,7 +219,7 @@ def run_pipeline(
     """
     for country, source in sources.items():
         catch_up(source, bronze[country], batch_rows)
-        refine(bronze[country], silver[country])
+        refine(bronze[country], silver[country], keep_rejects=True)
     check_silver(silver, gold.state()[1].get("covered", {}))
     version = roll_up(silver, gold)
     check_gold(gold)

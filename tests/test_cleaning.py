@@ -4,6 +4,7 @@ import pytest
 
 from tallyhouse.operators import cleaning, dedup
 from tallyhouse.sources.schemas import RAW_ORDERS, RAW_VIDEOS
+from tests.conftest import rows_of
 
 
 @pytest.fixture
@@ -101,3 +102,31 @@ def test_whole_row_dedup_treats_nulls_as_equal(table, rows):
 def test_latest_per_key(table, rows):
     df = table("k int, ts int, v string", [(1, 1, "a"), (1, 3, "b"), (1, 2, "c"), (2, 1, "d")])
     assert rows(dedup.latest_per_key(df, ["k"], [df.ts.desc()])) == [(1, 3, "b"), (2, 1, "d")]
+
+
+def test_every_row_is_accepted_or_rejected_with_its_reasons(spark):
+    day = "2017-11-13T17:00:0{}.000Z"
+    raw = spark.createDataFrame(
+        [
+            video("a", day.format(1), views="1"),
+            video("a", day.format(2), views="2"),
+            video("a", day.format(3), views="?"),
+            video("b", day.format(1), likes=None),
+            video("b", day.format(1), views="x", comments_disabled="maybe", trending="soon"),
+            video("c", "soon"),
+            video("d", day.format(4)),
+            video("d", day.format(4)),
+        ],
+        RAW_VIDEOS,
+    )
+    bronze = cleaning.with_publish_instant(raw)
+    judged = cleaning.judge_videos(bronze)
+    assert rows_of(cleaning.accepted(judged)) == rows_of(cleaning.clean_videos(bronze))
+    found = {(r.reasons, r.raw.count('"a"')) for r in cleaning.rejected(judged).collect()}
+    assert cleaning.rejected(judged).count() + cleaning.accepted(judged).count() == 8
+    assert {r for r, _ in found} == {16, 2, 1, 2 | 4 | 8}
+    counted = {r.reason: r.n_rows for r in cleaning.count_reasons(judged).collect()}
+    assert counted == {
+        "accepted": 2, "missing value": 2, "unreadable number": 2, "unreadable flag": 1, "unreadable day": 1, "older copy": 2,
+    }
+    assert cleaning.count_reasons(judged.limit(0)).count() == 6

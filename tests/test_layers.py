@@ -99,6 +99,11 @@ def test_an_emptied_batch_does_not_block_the_gates(lake):
             layers.run_pipeline({"ca": lake.source(rows)}, lake.bronze, lake.silver, lake.gold, batch_rows=10)
         )
     assert versions == [None, 1, 2]
+    for number in (1, 2, 3):  # every row of a batch is in silver or among its rejects
+        rows = lake.silver["ca"].batches(number, number)
+        kept = rows.count() if rows is not None else 0
+        assert kept + lake.silver["ca"].rejects(number, number).count() == lake.bronze["ca"].batches(number, number).count()
+    assert [r.reasons for r in lake.silver["ca"].rejects(1, 3).collect()] == [2]
     assert lake.silver["ca"].read().count() == 6
     lake.assert_gold_is_whole()
 

@@ -496,6 +496,29 @@ ORACLES: dict[str, str] = {
               AND comments_disabled IS NOT NULL AND ratings_disabled IS NOT NULL
               AND video_error_or_removed IS NOT NULL AND publish_ts IS NOT NULL)
         WHERE age = 1"""),
+    "clean_rejects": _with("first_crawl raw_videos", """
+        SELECT unnest(['accepted', 'missing value', 'unreadable number', 'unreadable flag', 'unreadable day', 'older copy']) AS reason,
+               unnest([count(*) FILTER (good AND age = 1), count(*) FILTER (missing), count(*) FILTER (bad_number),
+                       count(*) FILTER (bad_flag), count(*) FILTER (bad_day), count(*) FILTER (good AND age > 1)]) AS n_rows
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY video_id, good ORDER BY publish_ts DESC) AS age FROM (
+                SELECT *, NOT (missing OR bad_number OR bad_flag OR bad_day) AS good FROM (
+                    SELECT video_id, try_strptime(publish_time, '%Y-%m-%dT%H:%M:%S.%fZ') AS publish_ts,
+                           video_id IS NULL OR channel_title IS NULL OR trending_date IS NULL OR category_id IS NULL
+                             OR views IS NULL OR likes IS NULL OR dislikes IS NULL OR comment_count IS NULL
+                             OR comments_disabled IS NULL OR ratings_disabled IS NULL OR video_error_or_removed IS NULL
+                             OR try_strptime(publish_time, '%Y-%m-%dT%H:%M:%S.%fZ') IS NULL AS missing,
+                           (category_id IS NOT NULL AND TRY_CAST(category_id AS INTEGER) IS NULL)
+                             OR (views IS NOT NULL AND TRY_CAST(views AS BIGINT) IS NULL)
+                             OR (likes IS NOT NULL AND TRY_CAST(likes AS BIGINT) IS NULL)
+                             OR (dislikes IS NOT NULL AND TRY_CAST(dislikes AS BIGINT) IS NULL)
+                             OR (comment_count IS NOT NULL AND TRY_CAST(comment_count AS BIGINT) IS NULL) AS bad_number,
+                           (comments_disabled IS NOT NULL AND TRY_CAST(comments_disabled AS BOOLEAN) IS NULL)
+                             OR (ratings_disabled IS NOT NULL AND TRY_CAST(ratings_disabled AS BOOLEAN) IS NULL)
+                             OR (video_error_or_removed IS NOT NULL
+                                 AND TRY_CAST(video_error_or_removed AS BOOLEAN) IS NULL) AS bad_flag,
+                           trending_date IS NOT NULL AND try_strptime(trending_date, '%y.%d.%m') IS NULL AS bad_day
+                    FROM raw_videos)))"""),
     "dedup_full": "SELECT DISTINCT text, lang, source FROM documents",
     "dedup_latest": """
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value

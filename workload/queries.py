@@ -180,6 +180,10 @@ def _clean_events(t: Tables) -> DataFrame:
     return cleaned.withColumn("publish_us", F.unix_micros("publish_ts")).drop("publish_ts")
 
 
+def _clean_rejects(t: Tables) -> DataFrame:
+    return cleaning.count_reasons(cleaning.judge_videos(cleaning.with_publish_instant(t.raw_videos())))
+
+
 def _dedup_latest(t: Tables) -> DataFrame:
     newest = [F.col("ts").desc(), F.col("event_id").desc()]
     return dedup.latest_per_key(t.read("events").drop("props"), ["user_id"], newest)
@@ -370,6 +374,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "clean_status_pivot": lambda t: revenue.status_pivot(_cleaned(t), ["o"]),
     "clean_audit": lambda t: cleaning.audit_orders(t.raw_orders()),
     "clean_events": _clean_events,
+    "clean_rejects": _clean_rejects,
     "dedup_full": lambda t: dedup.distinct_rows(t.read("documents").select("text", "lang", "source")),
     "dedup_latest": _dedup_latest,
     # table changes
