@@ -9,11 +9,12 @@ file to read it from.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tallyhouse.operators import membership
 from tallyhouse.sources.storage import CommitLog, children, remove
 
 
@@ -33,6 +34,7 @@ class BatchedTable:
         self.log = CommitLog(spark, f"{self.root}/_commits")
         self._drafts: dict[int, str] = {}
         self._rejects: dict[int, dict] = {}
+        self._members: dict[int, dict] = {}
 
     def state(self) -> tuple[int, dict]:
         """(last committed batch, its record)."""
@@ -57,12 +59,39 @@ class BatchedTable:
         df.write.parquet(f"{self.root}/{name}")
         self._rejects[batch] = {"folder": name, "schema": df.schema.jsonValue()}
 
+    def write_members(self, batch: int, written: DataFrame, key: str, rows: int) -> None:
+        """Write a filter of the keys of a batch of so many rows; its commit record names it."""
+        name, blocks = f"members={batch}-{_run_id()}", membership.blocks_for(rows)
+        membership.filter_of(written, key, batch, blocks).write.parquet(f"{self.root}/{name}")
+        self._members[batch] = {"folder": name, "key": key, "blocks": blocks}
+
     def _beside(self, batch: int) -> dict:
-        return {"rejects": self._rejects[batch]} if batch in self._rejects else {}
+        written = {"rejects": self._rejects, "members": self._members}
+        return {name: facts[batch] for name, facts in written.items() if batch in facts}
 
     def _forget(self, batch: int) -> None:
-        self._drafts.pop(batch, None)
-        self._rejects.pop(batch, None)
+        for written in (self._drafts, self._rejects, self._members):
+            written.pop(batch, None)
+
+    def holding(self, rows: DataFrame, key: str) -> list[int]:
+        """The committed batches that may hold a key of ``rows``, in order, found from their filters alone.
+
+        No batch that does hold one is left out. A batch written without a filter of this key is always named.
+        """
+        last, _ = self.state()
+        found, filtered = [], {}
+        for number in range(1, last + 1):
+            record = self.log.record(number)
+            members = record.get("members", {})
+            if members.get("key") == key:
+                filtered.setdefault(members["blocks"], []).append(f"{self.root}/{members['folder']}")
+            elif "folder" in record:
+                found.append(number)
+        for blocks, folders in filtered.items():
+            filters = self.spark.read.schema(membership.SCHEMA).parquet(*folders)
+            hits = membership.may_hold(filters, rows, key, blocks)
+            found += [row.batch for row in hits.collect()]  # batch numbers, no keys
+        return sorted(found)
 
     def rejects(self, first: int, last: int) -> DataFrame | None:
         """The rows that a range of committed batches left out, or None when none was kept."""
@@ -80,7 +109,11 @@ class BatchedTable:
 
     def batches(self, first: int, last: int) -> DataFrame | None:
         """Rows of a range of committed batches; no other folder is listed or read. None without any."""
-        records = [self.log.record(n) for n in range(first, last + 1)]
+        return self.picked(range(first, last + 1))
+
+    def picked(self, numbers: Iterable[int]) -> DataFrame | None:
+        """Rows of the committed batches with these numbers; None without any."""
+        records = [self.log.record(n) for n in numbers]
         records = [r for r in records if "folder" in r]
         if not records:
             return None

@@ -113,7 +113,7 @@ def refine(
 
     Silver's record holds the last bronze batch it covers, so its own numbers are free for other
     writers, such as a stream. ``skip_known`` names a key; rows whose key silver already holds are
-    then left out. With ``keep_rejects`` a batch is judged once (by ``judge_videos``) and split into its accepted
+    then left out, and a filter of the keys is kept with each batch, so only batches that may hold one are read. With ``keep_rejects`` a batch is judged once (by ``judge_videos``) and split into its accepted
     rows and a reject table that the same commit makes visible.
     """
     number, record = silver.state()
@@ -122,20 +122,27 @@ def refine(
     for covers in range(done + 1, last + 1):
         judged = saved(judge_videos(bronze.batches(covers, covers))) if keep_rejects else None
         rows = clean(bronze.batches(covers, covers)) if judged is None else accepted(judged)
-        known = silver.read() if skip_known else None
-        if known is not None:
-            rows = rows.join(known.select(skip_known), skip_known, "left_anti")
+        if skip_known:
+            rows = saved(rows)
+            known = silver.picked(silver.holding(rows, skip_known))
+            if known is not None:
+                rows = rows.join(known.select(skip_known), skip_known, "left_anti")
         number += 1
         if judged is not None:
             silver.write_rejects(number, rejected(judged))
-        _commit(silver, number, rows, {**_marks(record), "bronze": covers})
+        _commit(silver, number, rows, {**_marks(record), "bronze": covers}, skip_known)
     return max(last - done, 0)
 
 
-def _commit(silver: BatchedTable, number: int, rows: DataFrame, facts: Mapping[str, object]) -> None:
-    """Commit a cleaned batch. One that cleans to nothing only moves the record on."""
+def _commit(
+    silver: BatchedTable, number: int, rows: DataFrame, facts: Mapping[str, object], members: str | None = None
+) -> None:
+    """Commit a cleaned batch, with a filter of the key ``members``. One that cleans to nothing only moves the
+    record on."""
     written, seen = _write(silver, number, rows)
     if seen["rows"]:
+        if members:
+            silver.write_members(number, written, members, seen["rows"])
         silver.commit(number, written, **facts)
     else:
         silver.pass_over(number, **facts)
