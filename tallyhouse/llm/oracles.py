@@ -6,7 +6,7 @@ brute force instead.
 
 from __future__ import annotations
 
-from tallyhouse.llm import rules, sharding
+from tallyhouse.llm import sharding
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"'[^\x20\x09-\x0D]+'"
@@ -248,28 +248,34 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-_SHARES = {
-    "symbol_share": "n_symbols / greatest(word_chars, 1)",
-    "dup_line_share": f"n_dup_lines / greatest(n_lines, {rules.FEW_LINES})",
-    "repeat_share": "n_repeat_words / greatest(n_words, 1)",
-    "word_length": "word_chars / greatest(n_words, 1)",
+#: rule -> value, level in thousandths, reach, distance without spread. Stated here on their own, not taken from rules.py.
+_RULES = {
+    "symbol_share": ("n_symbols / greatest(word_chars, 1)", 950, 1.0, 0.08),
+    "dup_line_share": ("n_dup_lines / greatest(n_lines, 8)", 975, 2.0, 0.25),
+    "repeat_share": ("n_repeat_words / greatest(n_words, 1)", 975, 3.0, 0.3),
+    "word_length": ("word_chars / greatest(n_words, 1)", 900, 3.0, 3.0),
 }
+_GAMMA = "1.0202020202020203::DOUBLE"
 _VALUES = " UNION ALL ".join(
-    f"SELECT doc_id, lang, source, base_failed, '{rule}' AS rule, ({value})::DOUBLE AS value, "
-    f"{rules.SLACK[rule]}::DOUBLE AS slack, {str(rule in rules.TWO_SIDED).upper()} AS two_sided FROM base"
-    for rule, value in _SHARES.items()
+    f"SELECT doc_id, lang, source, base_failed, '{rule}' AS rule, ({value})::DOUBLE AS value, {level} AS level FROM base"
+    for rule, (value, level, _, _) in _RULES.items()
 )
+_CONSTANTS = ", ".join(f"('{rule}', {reach}::DOUBLE, {slack}::DOUBLE)" for rule, (_, _, reach, slack) in _RULES.items())
 
 
-def _quartile_sql(name: str, keys: str) -> str:
-    """Quartiles of the merged sketches: the value of the first bin at which the count reaches the rank."""
+def _quantile_sql(name: str, keys: str) -> str:
+    """Quantiles of the merged sketches: the first bin at which the count reaches the rank."""
     part = f"PARTITION BY {keys}"
-    at = ", ".join(f"min(value) FILTER (upto >= total * {q}) AS {n}" for n, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)))
-    return f"""{name} AS (
-  SELECT {keys}, max(total) AS docs, {at} FROM (
+    at = lambda rank: f"min(edge) FILTER (1000 * upto >= total * {rank})"
+    return f"""{name}_q AS (
+  SELECT {keys}, max(total) AS docs, {at("500")} * 0.99 AS mid, {at("level")} AS high,
+         {at("(1000 - level)")} / {_GAMMA} AS low FROM (
     SELECT *, sum(n) OVER ({part} ORDER BY bin NULLS FIRST) AS upto, sum(n) OVER ({part}) AS total,
-           CASE WHEN bin IS NULL THEN 0 ELSE {2 / (rules.GAMMA + 1)!r} * pow({rules.GAMMA!r}, bin) END AS value
-    FROM (SELECT {keys}, bin, count(*) AS n FROM bins GROUP BY {keys}, bin)) GROUP BY {keys})"""
+           CASE WHEN bin IS NULL THEN 0 ELSE pow({_GAMMA}, bin) END AS edge
+    FROM (SELECT {keys}, level, bin, count(*) AS n FROM bins GROUP BY {keys}, level, bin)) GROUP BY {keys}),
+{name} AS (
+  SELECT *, CASE WHEN rule = 'word_length' THEN greatest(high - mid, mid - low) ELSE high - mid END AS away,
+         away > mid * ({_GAMMA} - 1) AS wide FROM {name}_q)"""
 
 
 QUALITY_RULES = rf"""
@@ -295,20 +301,24 @@ base AS (
   FROM docs LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
 vals AS ({_VALUES}),
 bins AS (
-  SELECT lang, source, rule, CASE WHEN value > 0 THEN ceil(ln(value) / ln({rules.GAMMA!r}))::INTEGER END AS bin
+  SELECT lang, source, rule, level, CASE WHEN value > 0 THEN ceil(ln(value) / ln({_GAMMA}))::INTEGER END AS bin
   FROM vals WHERE NOT base_failed),
-{_quartile_sql("cell", "lang, source, rule")},
-{_quartile_sql("of_lang", "lang, rule")},
-{_quartile_sql("overall", "rule")},
+{_quantile_sql("cell", "lang, source, rule")},
+{_quantile_sql("of_lang", "lang, rule")},
+{_quantile_sql("overall", "rule")},
+constants(rule, reach, slack) AS (VALUES {_CONSTANTS}),
 chosen AS (
   SELECT c.lang, c.source, c.rule,
-         CASE WHEN c.docs >= {rules.LEAST_DOCS} THEN [c.q1, c.q2, c.q3]
-              WHEN l.docs >= {rules.LEAST_DOCS} THEN [l.q1, l.q2, l.q3] ELSE [o.q1, o.q2, o.q3] END AS q
+         CASE WHEN c.docs >= 200 AND c.wide THEN [c.mid, reach * c.away]
+              WHEN l.docs >= 200 AND l.wide THEN [l.mid, reach * l.away]
+              WHEN o.wide THEN [o.mid, reach * o.away]
+              WHEN c.docs >= 200 THEN [c.mid, slack]
+              WHEN l.docs >= 200 THEN [l.mid, slack] ELSE [o.mid, slack] END AS fence
   FROM cell c JOIN of_lang l ON c.lang IS NOT DISTINCT FROM l.lang AND c.rule = l.rule
-  JOIN overall o ON c.rule = o.rule),
+  JOIN overall o ON c.rule = o.rule JOIN constants k ON c.rule = k.rule),
 judged AS (
-  SELECT doc_id, bool_and(q IS NULL OR (value <= greatest(q[3] + {rules.SPREAD} * (q[3] - q[1]), q[2] + slack)
-         AND (NOT two_sided OR value >= least(q[1] - {rules.SPREAD} * (q[3] - q[1]), q[2] - slack)))) AS inside
+  SELECT doc_id, bool_and(fence IS NULL OR (value <= fence[1] + fence[2]
+         AND (v.rule <> 'word_length' OR value >= fence[1] - fence[2]))) AS inside
   FROM vals v LEFT JOIN chosen c ON v.lang IS NOT DISTINCT FROM c.lang
        AND v.source IS NOT DISTINCT FROM c.source AND v.rule = c.rule
   GROUP BY doc_id)

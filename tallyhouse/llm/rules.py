@@ -21,8 +21,15 @@ from tallyhouse.llm.storage import stored
 ERROR = 0.01
 GAMMA = (1 + ERROR) / (1 - ERROR)
 LEAST_DOCS = 200  # a cell with fewer documents takes the sketch of its language, then that of all
-SPREAD = 3.0  # fences stand this many quartile distances outside the quartiles
-#: Smallest distance of the fences from the median: shares of characters, lines, words; characters a word.
+#: rule -> (level in thousandths, reach): a fence stands ``reach`` times as far from the median as that quantile
+#: of the cell; two-sided rules take the larger of their two distances. Levels leave room for the junk a cell may hold, reaches for the tail of its sound documents.
+FENCES = {
+    "symbol_share": (950, 1.0),
+    "dup_line_share": (975, 2.0),
+    "repeat_share": (975, 3.0),
+    "word_length": (900, 3.0),
+}
+#: Distance from the median where neither the cell nor what it merges into has any spread at that level.
 SLACK = {"symbol_share": 0.08, "dup_line_share": 0.25, "repeat_share": 0.3, "word_length": 3.0}
 TWO_SIDED = ("word_length",)
 FEW_LINES = 8  # texts of fewer lines count as having so many: one repeated line is no pattern yet
@@ -109,51 +116,72 @@ def sketch(measured: DataFrame) -> DataFrame:
     )
 
 
-def _quartiles(bins: DataFrame, by: list[str]) -> DataFrame:
-    """Quartiles of each sketch: the value of the first bin at which the count reaches the rank."""
+def _per_rule(values: dict[str, object]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("rule")]
+
+
+def _quantiles(bins: DataFrame, by: list[str]) -> DataFrame:
+    """docs, low, mid, high of each sketch: the median and the quantiles at the level of the rule and opposite it.
+
+    A quantile is the first bin at which the count reaches the rank: its middle for the median, its outer edge
+    for the others, so that the level's share of the documents lies within.
+    """
     keys = [*by, "rule"]
     ordered = W.partitionBy(*keys).orderBy(F.col("bin").asc_nulls_first())
-    value = F.when(F.col("bin").isNull(), 0.0).otherwise(F.lit(2 / (GAMMA + 1)) * F.pow(F.lit(GAMMA), F.col("bin")))
     ranked = (
         bins.groupBy(*keys, "bin")
         .agg(F.sum("n").alias("n"))
         .withColumn("upto", F.sum("n").over(ordered))
         .withColumn("total", F.sum("n").over(W.partitionBy(*keys)))
-        .withColumn("value", value)
+        .withColumn("edge", F.when(F.col("bin").isNull(), 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bin"))))
+        .withColumn("level", _per_rule({name: level for name, (level, _) in FENCES.items()}))
     )
-    at = lambda q: F.min(F.when(F.col("upto") >= F.col("total") * q, F.col("value")))
+
+    def at(level: Column | int) -> Column:
+        return F.min(F.when(1000 * F.col("upto") >= F.col("total") * level, F.col("edge")))
+
     return ranked.groupBy(*keys).agg(
-        F.max("total").alias("docs"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3")
+        F.max("total").alias("docs"),
+        (at(1000 - F.col("level")) / F.lit(GAMMA)).alias("low"),
+        (at(500) * F.lit(2 / (GAMMA + 1))).alias("mid"),
+        at(F.col("level")).alias("high"),
     )
 
 
 def thresholds(bins: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """(lang, source, rule) -> low, high. Small cells use the merged sketches of larger ones."""
-    cell = _quartiles(bins, ["lang", "source"])
-    by_lang = _quartiles(bins, ["lang"]).select(
-        F.col("lang").alias("l_lang"), F.col("rule").alias("l_rule"), F.struct("docs", "q1", "q2", "q3").alias("of_lang")
+    """(lang, source, rule) -> low, high, by_data.
+
+    Cells with few documents, or without spread at the level of the rule, use the merged sketch of their language,
+    then that of all. ``by_data`` is false where none of them has spread, and the constants of SLACK decide.
+    """
+    quantiles = F.struct("docs", "low", "mid", "high")
+    cell = _quantiles(bins, ["lang", "source"]).select("lang", "source", "rule", quantiles.alias("of_cell"))
+    by_lang = _quantiles(bins, ["lang"]).select(
+        F.col("lang").alias("l_lang"), F.col("rule").alias("l_rule"), quantiles.alias("of_lang")
     )
-    overall = _quartiles(bins, []).select(F.col("rule").alias("a_rule"), F.struct("q1", "q2", "q3").alias("of_all"))
+    overall = _quantiles(bins, []).select(F.col("rule").alias("a_rule"), quantiles.alias("of_all"))
     joined = cell.join(
         by_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("rule") == F.col("l_rule"))
     ).join(overall, F.col("rule") == F.col("a_rule"))
 
-    def pick(q: str) -> Column:
-        return (
-            F.when(F.col("docs") >= least_docs, F.col(q))
-            .when(F.col("of_lang.docs") >= least_docs, F.col(f"of_lang.{q}"))
-            .otherwise(F.col(f"of_all.{q}"))
-        )
-
-    slack = F.create_map(*[F.lit(x) for pair in SLACK.items() for x in pair])[F.col("rule")]
-    chosen = joined.select("lang", "source", "rule", *[pick(q).alias(q) for q in ("q1", "q2", "q3")])
-    spread = SPREAD * (F.col("q3") - F.col("q1"))
-    low = F.when(
-        F.col("rule").isin(*TWO_SIDED), F.least(F.col("q1") - spread, F.col("q2") - slack)
-    ).otherwise(F.lit(-1.0))
+    def distance(q: Column) -> Column:
+        above = q["high"] - q["mid"]
+        return F.when(F.col("rule").isin(*TWO_SIDED), F.greatest(above, q["mid"] - q["low"])).otherwise(above)
+
+    # the edges of the median's own bin are nearer to it than its own relative width
+    has_spread = lambda q: distance(q) > q["mid"] * (GAMMA - 1)
+    large = F.filter(F.array("of_cell", "of_lang"), lambda q: q["docs"] >= least_docs)
+    levels = F.concat(large, F.array("of_all"))
+    spread = F.get(F.filter(levels, has_spread), F.lit(0))
+    reach = _per_rule({name: reach for name, (_, reach) in FENCES.items()})
+    chosen = joined.select(
+        "lang", "source", "rule", spread.isNotNull().alias("by_data"),
+        F.coalesce(spread, F.get(levels, F.lit(0))).alias("q"),
+    )
+    away = F.when(F.col("by_data"), reach * distance(F.col("q"))).otherwise(_per_rule(SLACK))
+    low = F.when(F.col("rule").isin(*TWO_SIDED), F.col("q.mid") - away).otherwise(F.lit(-1.0))
     return chosen.select(
-        "lang", "source", "rule", low.alias("low"),
-        F.greatest(F.col("q3") + spread, F.col("q2") + slack).alias("high"),
+        "lang", "source", "rule", low.alias("low"), (F.col("q.mid") + away).alias("high"), "by_data"
     )
 
 
@@ -161,8 +189,7 @@ def judge(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """doc_id, counts, base_failed and kept for every row of docs.
 
     A document is kept if it passes the fixed rules and all its shares lie within the fences of its
-    language and source: quartiles plus and minus SPREAD quartile distances, and at least SLACK from
-    the median. Null languages and sources are cells of their own; null and empty texts have no words
+    language and source, which follow the quantiles named in FENCES. Null languages and sources are cells of their own; null and empty texts have no words
     and fail; repeated rows are judged each; an empty table gives an empty result.
     """
     measured = stored(measure(docs))

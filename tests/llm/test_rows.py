@@ -151,11 +151,36 @@ def test_counts_and_verdicts(spark):
 def test_sketches_merge_to_the_sketch_of_all(spark):
     docs = documents(spark, [(i, prose(i, 60 + i), "en", "abc"[i % 3], 1) for i in range(90)])
     bins = rules.sketch(rules.measure(docs))
-    merged = rules._quartiles(bins, ["lang"]).collect()
-    whole = rules._quartiles(rules.sketch(rules.measure(docs.withColumn("source", F.lit("one")))), ["lang"]).collect()
+    merged = rules._quantiles(bins, ["lang"]).collect()
+    whole = rules._quantiles(rules.sketch(rules.measure(docs.withColumn("source", F.lit("one")))), ["lang"]).collect()
     assert sorted(map(tuple, merged)) == sorted(map(tuple, whole))
     lengths = sorted(len(r[0]) for r in docs.select("text").collect())
-    assert lengths and all(r.q1 <= r.q2 <= r.q3 for r in merged)
+    assert lengths and all(r.low <= r.mid <= r.high for r in merged)
     words = sorted(c[1] / c[0] for c in (cases.base_counts(r.text) for r in docs.collect()))
-    middle = next(r.q2 for r in merged if r.rule == "word_length")
+    middle = next(r.mid for r in merged if r.rule == "word_length")
     assert middle == pytest.approx(words[44], rel=2 * rules.ERROR)
+
+
+def test_fences_follow_the_documents_of_each_source(spark):
+    text = lambda i, marks: prose(i, 90) + " #" * marks
+    plain = [(i, text(i, i % 3), "en", "plain", 1) for i in range(60)]
+    marked = [(100 + i, text(i, 40 + i % 9), "en", "marked", 1) for i in range(60)]
+    probes = [(200, text(7, 25), "en", "plain", 1), (201, text(7, 25), "en", "marked", 1)]
+    docs = documents(spark, plain + marked + probes)
+    limits = {
+        r.source: r for r in rules.thresholds(rules.sketch(rules.measure(docs)), 40).collect() if r.rule == "symbol_share"
+    }
+    assert limits["plain"].by_data and limits["marked"].by_data
+    assert limits["plain"].high < 0.02 < 0.05 < limits["marked"].high
+    verdict = {r.doc_id: r.kept for r in rules.judge(docs, 40).collect()}
+    assert not verdict[200] and verdict[201]
+    # too few documents for cells of their own: one limit, from all of them
+    merged = rules.thresholds(rules.sketch(rules.measure(docs)), 1000).where("rule = 'symbol_share'")
+    assert merged.select("high").distinct().count() == 1 and merged.where("by_data").count() == 2
+
+
+def test_fences_without_spread_are_constants(spark):
+    docs = documents(spark, [(i, prose(i, 80), "en", "a", 1) for i in range(30)])
+    found = {r.rule: r for r in rules.thresholds(rules.sketch(rules.measure(docs)), 10).collect()}
+    assert not found["symbol_share"].by_data and found["symbol_share"].high == rules.SLACK["symbol_share"]
+    assert found["word_length"].by_data and found["word_length"].low < found["word_length"].high
