@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,9 @@ def saved(df: DataFrame) -> DataFrame:
     """
     _use_checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path beside the checkpoints, seen by the driver and all executors."""
+    _use_checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex[:12]}"

@@ -384,6 +384,7 @@ ORACLES: dict[str, str] = {
     "gold_channel_country": _with("videos", _rollup(
         "channel_title, country", "CAST(sum(views) AS BIGINT) AS total_views")),
     "rollup_merge": _with("videos", _rollup("channel_title, country", _CHANNEL)),
+    "rollup_merge_in_place": _with("videos", _rollup("channel_title, country", _CHANNEL)),
     "rollup_merge_category_performance": _with("videos", _rollup("category_id, country", _VIEWS_AND_COUNT)),
     "rollup_merge_monthly_trending": _with("videos", _rollup(_MONTH, _VIEWS_AND_COUNT)),
     "rollup_merge_overall_kpis": _with("videos", _rollup("country", _KPIS)),
@@ -525,6 +526,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
               AS age FROM events) WHERE age = 1""",
     # table changes
+    "merge_upsert_in_place": _with("old_feed new_feed merged_feed", "SELECT * FROM merged_feed"),
     "merge_upsert": _with("old_feed new_feed merged_feed", "SELECT * FROM merged_feed"),
     "delete_missing": _with("old_feed new_feed", """
         SELECT * FROM old_feed o WHERE EXISTS (SELECT 1 FROM new_feed n

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.operators import changes, cleaning, dedup, fulfilment, grouping, joins, ranking
+from tallyhouse.operators.lineage import shared_folder
 from tallyhouse.operators.quality import HasType, foreign_key, key_rules, validate, validate_all
 from tallyhouse.plans import gold, loyalty, revenue, sales
+from tallyhouse.sources.buckets import BucketedState
 from tallyhouse.streaming import batches, catchup
 from workload.tables import (
     BATCH_ROWS,
@@ -29,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LINE_SEQUENCE = ("placed_on", "cart_id", "line_no")
 FEED_KEYS = ("customer_id", "priority")
+FOLDERS = 16  # of tables kept by key
 
 
 def _portable(df: DataFrame) -> DataFrame:
@@ -139,15 +142,36 @@ def _rolled(name: str) -> Callable[[Tables], DataFrame]:
     return lambda t: gold.ROLLUPS[name].delta(gold.with_month(t.silver_videos()))
 
 
+def _two_totals(t: Tables, name: str) -> tuple[DataFrame, DataFrame]:
+    videos = gold.with_month(t.silver_videos())
+    mark = F.lit(ROLLUP_MARK.isoformat(sep=" ")).cast("timestamp_ntz")
+    rollup = gold.ROLLUPS[name]
+    return tuple(rollup.delta(videos.where(c)) for c in (F.col("publish_ts") <= mark, F.col("publish_ts") > mark))
+
+
 def _rollup_merge(name: str) -> Callable[[Tables], DataFrame]:
-    def merged(t: Tables) -> DataFrame:
-        videos = gold.with_month(t.silver_videos())
-        mark = F.lit(ROLLUP_MARK.isoformat(sep=" ")).cast("timestamp_ntz")
-        rollup = gold.ROLLUPS[name]
-        stored = rollup.delta(videos.where(F.col("publish_ts") <= mark))
-        return rollup.merge(stored, rollup.delta(videos.where(F.col("publish_ts") > mark)))
+    return lambda t: gold.ROLLUPS[name].merge(*_two_totals(t, name))
+
+
+def _rollup_in_place(t: Tables) -> DataFrame:
+    """Channel totals kept by key: the second step rewrites only the folders its channels fall in."""
+    rollup = gold.CHANNEL_PERFORMANCE
+    state = BucketedState(t.spark, shared_folder(t.spark, "channels"), rollup.keys, FOLDERS)
+    for step, delta in enumerate(_two_totals(t, rollup.name), 1):
+        state.apply(step, delta, rollup.merge)
+    return state.read()
+
+
+def _upsert_in_place(t: Tables) -> DataFrame:
+    """The older feed as a stored table, the newer one merged into the folders its keys fall in."""
+
+    def merge(held: DataFrame | None, delta: DataFrame) -> DataFrame:
+        return delta if held is None else changes.merge_upsert(held, delta, FEED_KEYS)
 
-    return merged
+    state = BucketedState(t.spark, shared_folder(t.spark, "feed"), FEED_KEYS, FOLDERS)
+    state.apply(1, t.feed(False), merge)
+    state.apply(2, t.feed(True), merge)
+    return state.read()
 
 
 def _distinct_videos(t: Tables) -> DataFrame:
@@ -338,6 +362,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rollup_merge_monthly_trending": _rollup_merge("monthly_trending"),
     "rollup_merge_overall_kpis": _rollup_merge("overall_kpis"),
     "rollup_merge_channel_country": _rollup_merge("channel_country"),
+    "rollup_merge_in_place": _rollup_in_place,
     "gold_distinct_videos": _distinct_videos,
     "daily_sales": _daily_sales,
     # patterns
@@ -379,6 +404,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dedup_latest": _dedup_latest,
     # table changes
     "merge_upsert": lambda t: changes.merge_upsert(t.feed(False), t.feed(True), FEED_KEYS),
+    "merge_upsert_in_place": _upsert_in_place,
     "delete_missing": lambda t: changes.delete_missing(t.feed(False), t.feed(True), FEED_KEYS),
     "full_sync": lambda t: changes.full_sync(t.feed(False), t.feed(True), FEED_KEYS).orderBy(*FEED_KEYS),
     "delete_where": lambda t: changes.delete_where(
