@@ -17,6 +17,7 @@ SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
+AT_ONCE = 1 << 23  # log-probabilities gathered at a time in a task, four bytes each
 UNKNOWN = "und"
 HELD_OUT = (4, 2)  # crc32(doc_id) modulo 4 is 2
 
@@ -138,6 +139,23 @@ def fit(docs: DataFrame, training: Column | None = None) -> Model:
     )
 
 
+def _add_logs(
+    total: np.ndarray, log_slots: np.ndarray, slot: np.ndarray, bad: np.ndarray, starts: np.ndarray, rows: np.ndarray
+) -> None:
+    """Add to total the logs of each row's grams, for so many characters at a time that AT_ONCE numbers are held.
+
+    rows begin at starts and fill all characters; a row may reach over several pieces.
+    """
+    step = max(1, AT_ONCE // log_slots.shape[1])
+    for begin in range(0, len(slot), step):
+        end = min(begin + step, len(slot))
+        each = log_slots[slot[begin:end]]
+        each[bad[begin:end]] = 0
+        low, high = np.searchsorted(starts, begin, "right") - 1, np.searchsorted(starts, end)
+        inside = np.maximum(starts[low:high], begin) - begin
+        total[rows[low:high]] += np.add.reduceat(each, inside, axis=0, dtype=np.float64)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score (the posterior of lang_pred) for every row of docs.
 
@@ -155,9 +173,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for slot, bad in _grams(chars, first):
                 if not len(filled) or not m.languages:
                     break
-                each = m.log_slots[slot]
-                each[bad] = 0
-                total[filled] += np.add.reduceat(each, first[:-1][filled], axis=0, dtype=np.float64)
+                _add_logs(total, m.log_slots, slot, bad, first[:-1][filled], filled)
             letters = tx.sums_by_row((chars != 32).astype(np.int64), first)
             known = (letters > 0) & bool(m.languages)
             if m.languages:

@@ -131,3 +131,21 @@ def test_repetition_of_any_word_shares_a_feature():
     slots, values, first = quality_model.features(part)
     assert 0 in slots[: first[1]] and 0 in slots[first[1] :]
     assert np.sum(values[: first[1]] ** 2) == pytest.approx(1)
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 40, 1 << 20])
+def test_language_logs_are_added_in_pieces(monkeypatch, at_once):
+    monkeypatch.setattr(language, "AT_ONCE", at_once)
+    rng = np.random.default_rng(3)
+    lengths = np.array([3, 0, 1, 11, 0, 5])
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    slot, bad = rng.integers(0, 50, first[-1]), rng.random(first[-1]) < 0.2
+    logs = rng.normal(size=(50, 3)).astype(np.float32)
+    found = np.ones((len(lengths), 3))
+    filled = np.flatnonzero(lengths)
+    language._add_logs(found, logs, slot, bad, first[:-1][filled], filled)
+    for row in range(len(lengths)):
+        wanted = np.ones(3)
+        for at in range(first[row], first[row + 1]):
+            wanted += 0 if bad[at] else logs[slot[at]].astype(float)
+        assert found[row] == pytest.approx(wanted)
