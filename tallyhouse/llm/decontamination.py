@@ -20,6 +20,7 @@ from tallyhouse.llm.storage import stored
 
 WINDOW = 13
 BLOCK_WORDS = 1_000_000  # words of benchmark items looked up in one pass: 8 MB of terms are broadcast
+FEW_QUESTIONS = 100_000  # windows that are broadcast, about 300 bytes each; 30 MB at most
 
 
 def _hashed(part: tx.Slice) -> tuple[tx.Spans, np.ndarray]:
@@ -156,10 +157,18 @@ def _equal_run(equal: Column, reach: int) -> Column:
     return F.when(at == 0, reach).otherwise(at - 1).cast("int")
 
 
-def phrases(index: DataFrame, questions: DataFrame, window: int = WINDOW) -> DataFrame:
+def _to_postings(questions: DataFrame, few: int) -> DataFrame:
+    """The questions, to be broadcast if counted to be few; beyond that both sides are shuffled by term, where
+    adaptive execution splits the frequent ones. questions is a stored table, so counting it reads no text."""
+    return F.broadcast(questions) if questions.count() <= few else questions.hint("merge")
+
+
+def phrases(
+    index: DataFrame, questions: DataFrame, window: int = WINDOW, few: int = FEW_QUESTIONS
+) -> DataFrame:
     """Exact matches: doc_id, text_key, item_id, first, last (places of the document's hit words).
 
-    questions must be small enough to broadcast: find() passes BLOCK_WORDS words' worth at most.
+    Up to ``few`` questions are broadcast, more are joined by a shuffle.
     """
     reach = window - 1
     posting = index.select("doc_id", "text_key", F.explode("postings").alias("p")).select(
@@ -168,7 +177,7 @@ def phrases(index: DataFrame, questions: DataFrame, window: int = WINDOW) -> Dat
     second_there = F.col("second").isNull() | (
         F.element_at("around", F.col("shift") + (reach + 1)) == F.col("second")
     )
-    met = posting.join(F.broadcast(questions), (F.col("p_term") == F.col("term")) & second_there)
+    met = posting.join(_to_postings(questions, few), (F.col("p_term") == F.col("term")) & second_there)
     same = F.zip_with("around", "context", lambda a, b: F.coalesce(a == b, F.lit(False)))
     met = met.withColumn("same", same)
     met = met.withColumn("left", _equal_run(F.reverse(F.slice("same", 1, reach)), reach))
@@ -189,7 +198,7 @@ def phrases(index: DataFrame, questions: DataFrame, window: int = WINDOW) -> Dat
     )
 
 
-def proximities(index: DataFrame, questions: DataFrame, slop: int) -> DataFrame:
+def proximities(index: DataFrame, questions: DataFrame, slop: int, few: int = FEW_QUESTIONS) -> DataFrame:
     """Places where a window's two rarest words stand within ``slop`` words of each other, in any order.
 
     doc_id, text_key, item_id, pos (of the rarest), distance (of the nearest second word). An index whose
@@ -199,7 +208,7 @@ def proximities(index: DataFrame, questions: DataFrame, slop: int) -> DataFrame:
     posting = index.select("doc_id", "text_key", F.explode("postings").alias("p")).select(
         "doc_id", "text_key", F.col("p.term").alias("p_term"), F.col("p.pos").alias("pos"), F.col("p.around").alias("around")
     )
-    met = posting.join(F.broadcast(questions.where("second is not null")), F.col("p_term") == F.col("term"))
+    met = posting.join(_to_postings(questions.where("second is not null"), few), F.col("p_term") == F.col("term"))
     places = F.transform("around", lambda a, i: F.when((a == F.col("second")) & (i != reach), F.abs(i - reach)))
     narrow = F.raise_error(F.lit(f"build the index with slop={slop}: its neighbourhoods are narrower")).cast("int")
     distance = F.when(reach >= slop, F.array_min(places)).otherwise(narrow)
@@ -216,8 +225,8 @@ def _terms(rows: DataFrame, column: str) -> np.ndarray:
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS):
     """(sizes, hits): sizes has doc_id, text_key, n_words of every row of docs; hits as phrases() gives them.
 
-    Items are looked up in blocks of about block_words words, each against all documents, so what is
-    broadcast does not grow with the benchmark (an item of more words makes a block larger by itself).
+    Items are looked up in blocks of about block_words words, each against all documents, so the terms held
+    do not grow with the benchmark (an item of more words makes a block larger by itself).
     """
     items = stored(tokens(benchmark))
     words = items.agg(F.sum(F.size("words"))).first()[0] or 0

@@ -179,3 +179,23 @@ def test_proximity_beyond_the_window(spark):
     assert [(r.doc_id, r.pos, r.distance) for r in found] == [(1, 0, 15)]
     with pytest.raises(Exception, match="slop=20"):
         decontamination.proximities(decontamination.build_index(far, terms), questions, slop=20).collect()
+
+
+def test_many_questions_are_joined_without_a_broadcast(spark):
+    import numpy as np
+
+    asked = decontamination.tokens(
+        spark.createDataFrame([(1, "one two three four"), (2, "three four five"), (3, "six")], "item_id long, text string")
+    )
+    terms = decontamination._terms(asked.selectExpr("explode(words) AS term"), "term")
+    questions = decontamination.lookups(asked, terms, np.arange(len(terms)))
+    texts = ["zero one two three four five", "three four", None, "", "six six", "four five three four five"]
+    index = decontamination.build_index(documents(spark, list(enumerate(texts))), terms)
+    key = lambda r: (r.doc_id, r.item_id, r.first, r.last)
+    few = decontamination.phrases(index, questions, few=100)
+    many = decontamination.phrases(index, questions, few=0)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
+    found = sorted(map(key, many.collect()))
+    assert found == sorted(map(key, few.collect()))
+    assert found == [(0, 1, 1, 4), (0, 2, 3, 5), (4, 3, 0, 0), (4, 3, 1, 1), (5, 2, 2, 4)]
