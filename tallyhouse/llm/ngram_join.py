@@ -308,6 +308,7 @@ def _rest_of_long_lists(lists: DataFrame, docs: DataFrame, grams: Grams) -> Data
     members = members.join(group, F.col("doc_id") == F.col("node")).select(
         F.col("root").alias("group"), "size_block", "doc_id", "label"
     )
+    members = stored(members)
     by_label = members.groupBy("group", "size_block", "label").agg(F.count(F.lit(1)).alias("n"))
     # a label that fills a block gets blocks of its own, so that they need not be compared to each other
     by_label = by_label.withColumn("own", F.when(F.col("n") >= BLOCK, F.col("label")))
@@ -358,11 +359,16 @@ def _rest_of_long_lists(lists: DataFrame, docs: DataFrame, grams: Grams) -> Data
         & (F.col("part") == F.col("m_part"))
         & same("own", "m_own"),
     ).select("pair", "side", F.col("m_doc_id").alias("doc_id"), F.col("m_label").alias("label"))
+    dealt = stored(dealt)
     return _compare_blocks(dealt.join(texts_of(docs, dealt.select("doc_id")), "doc_id"), grams)
 
 
 def links(docs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
-    """a, b: enough links between classes that the components are those of all links."""
+    """a, b: enough links between classes that the components are those of all links.
+
+    Each kind of link is stored by itself: the driver holds plans, threads and broadcasts of all that runs
+    at once.
+    """
     postings = classes.where("doc_id is not null and n_shingles > 0").select(
         "doc_id", grams.size_block(F.col("n_shingles")).alias("size_block"), F.explode("prefix").alias("gram")
     )
@@ -384,10 +390,10 @@ def links(docs: DataFrame, classes: DataFrame, grams: Grams) -> DataFrame:
     open_pairs = short.join(other, "gram").where(near & (F.col("label") != F.col("o_label")))
     open_pairs = stored(pairs(open_pairs, "doc_id", "o_doc"))
     if not open_pairs.isEmpty():
-        found = found.union(compare(open_pairs, docs, classes, grams))
+        found = found.union(stored(compare(open_pairs, docs, classes, grams)))
     long = rest.where(F.col("members") > LONG_LIST)
     if not long.isEmpty():
-        found = found.union(_rest_of_long_lists(long, docs, grams))
+        found = found.union(stored(_rest_of_long_lists(long, docs, grams)))
     return found
 
 
@@ -406,16 +412,18 @@ def join(docs: DataFrame, grams: Grams = Grams()) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix")
     )
     classes = stored(classes)
-    of_row = signed.select("doc_id", *same_set).join(
-        classes.select(*same_set, F.col("doc_id").alias("class_id")), same_set, "left"
-    )
+    found = links(docs, classes, grams)
     # a document with several texts links the classes of its texts
     repeated = signed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
-    several = of_row.join(repeated, "doc_id").groupBy("doc_id").agg(
-        F.min("class_id").alias("a"), F.collect_set("class_id").alias("others")
-    )
-    several = several.select("a", F.explode("others").alias("b")).where("a != b")
-    found = components(links(docs, classes, grams).union(several))
+    repeated = stored(repeated.select("doc_id"))
+    if not repeated.isEmpty():
+        of_row = signed.select("doc_id", *same_set).join(repeated, "doc_id").join(
+            classes.select(*same_set, F.col("doc_id").alias("class_id")), same_set
+        )
+        several = of_row.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.collect_set("class_id").alias("others"))
+        several = several.select("a", F.explode("others").alias("b")).where("a != b")
+        found = found.union(stored(several))
+    found = components(found)
     roots = classes.join(found, F.col("doc_id") == F.col("node"), "left").select(
         *same_set, F.coalesce("root", "doc_id").alias("root")
     )

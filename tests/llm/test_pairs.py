@@ -2,6 +2,7 @@
 
 import pytest
 
+import tallyhouse.llm.components as components_of
 from tallyhouse.llm import decontamination, ngram_join, rules, suffix_dedup
 from tallyhouse.llm.components import components
 from tests.llm import cases
@@ -33,6 +34,38 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, n, percent, long_
     assert {r.doc_id: r.n_shingles for r in found} == {i: len(cases.grams(t, n)) for i, t in rows}
 
 
+def test_links_between_long_lists_are_not_planned_all_at_once(spark, monkeypatch, capsys):
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 2)
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    exchanges = []
+
+    def planned(df, stored=ngram_join.stored):
+        df.explain()
+        exchanges.append(capsys.readouterr().out.count("- Exchange hashpartitioning"))
+        return stored(df)
+
+    for module in (ngram_join, components_of):
+        monkeypatch.setattr(module, "stored", planned)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ngram_join.join(documents(spark, near_copies()), ngram_join.Grams(5, 80)).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(exchanges) <= 20, exchanges
+
+
+def test_settled_components_take_no_round(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(components_of, "stored", lambda df, stored=components_of.stored: made.append(df) or stored(df))
+    stars = [(1, 2), (3, 1), (1, 3), (1, 4), (7, 6), (6, 6)]
+    found = {tuple(r) for r in components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 1), (6, 6), (7, 6)} and len(made) == 1
+    path = [(i, i + 1) for i in range(1, 12)] + [(30, 20), (30, 21), (21, 40), (None, 1)]
+    found = {tuple(r) for r in components(spark.createDataFrame(path, "a long, b long")).collect()}
+    assert found == {(i, 1) for i in range(1, 13)} | {(i, 20) for i in (20, 21, 30, 40)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_odd_rows_of_the_join(spark):
     rows = odd_rows()
     docs = with_clashes(documents(spark, rows))
